@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +47,17 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers this package, through Spark's own file server, once a context."""
+    context = spark.sparkContext
+    if getattr(context, "_kinloom_shipped", False):
+        return
+    home = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="kinloom-")) / "kinloom.zip"
+    with zipfile.ZipFile(archive, "w") as packed:
+        for module in sorted(home.rglob("*.py")):
+            packed.write(module, f"{home.name}/{module.relative_to(home)}")
+    context.addPyFile(str(archive))
+    context._kinloom_shipped = True
