@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from kinloom.session import ship_package
+
 #: A slice handed to an operator holds about this many bytes of text, or one longer document.
 SLICE_BYTES = 8 << 20
 
@@ -38,6 +40,7 @@ def map_text(
     array for each input and returns one array or list for each field. Kept columns
     pass through untouched.
     """
+    ship_package(docs.sparkSession)
     keep = keep or []
     kept = [c.alias(f"__k{i}") for i, c in enumerate(keep)]
     given = docs.select(*kept, *[c.alias(f"__i{i}") for i, c in enumerate(inputs)])

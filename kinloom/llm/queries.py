@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinloom.llm import sharding
+from kinloom.llm import packing, sharding
 from kinloom.session import read_table
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op7_sharding": op7_sharding}
+QUERIES = {"op6_packing": op6_packing, "op7_sharding": op7_sharding}
 ORACLE_SQL: dict[str, str] = {}
