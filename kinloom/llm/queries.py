@@ -5,10 +5,25 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinloom.llm import packing, sharding
+from kinloom.llm import bpe, langid, packing, quality, sharding
 from kinloom.session import read_table
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit_references(docs))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe.encode_decode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, digests=True)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -17,5 +32,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op6_packing": op6_packing, "op7_sharding": op7_sharding}
+QUERIES = {
+    "op2_language_id": op2_language_id,
+    "op3_quality_rules": op3_quality_rules,
+    "op4_byte_bpe": op4_byte_bpe,
+    "op6_packing": op6_packing,
+    "op7_sharding": op7_sharding,
+}
 ORACLE_SQL: dict[str, str] = {}
