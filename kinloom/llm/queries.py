@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinloom.llm import bpe, langid, packing, quality, sharding
+from kinloom.llm import bpe, langid, packing, pii, quality, secret_scan, sharding, winnow
 from kinloom.session import read_table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.extract(read_table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train(docs))
@@ -24,6 +28,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(read_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, digests=True)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -32,11 +40,18 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(read_table(spark, sf_dir, "documents"))
 
 
+def op8_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.compare_edited(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_language_id": op2_language_id,
     "op3_quality_rules": op3_quality_rules,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_secret_scan": op5_secret_scan,
     "op6_packing": op6_packing,
     "op7_sharding": op7_sharding,
+    "op8_winnow": op8_winnow,
 }
 ORACLE_SQL: dict[str, str] = {}
