@@ -30,8 +30,8 @@ from kinloom.llm.arrow_map import map_text, texts_of
 
 #: Longest piece, in bytes, that goes through the recursive query.
 LONG_PIECE = 512
-#: Pieces in one recursive query, and pieces kept from slice to slice of a task.
-CHUNK, CACHE = 20_000, 400_000
+#: Pieces in one recursive query, and pieces and runs that a worker keeps from slice to slice.
+CHUNK, CACHE = 20_000, 1_400_000
 
 # One row for each token: its place, the next row's place and token. A step finds each live
 # piece's best pair (rank, place, next place packed in one number, so the minimum is the
@@ -50,14 +50,15 @@ WITH RECURSIVE state(piece, pos, after, tok, nxt, live) AS (
      WHERE s.live)
    SELECT s.piece, s.pos,
      CASE WHEN s.pos = (b.cut >> 16) & 65535 THEN d.after ELSE s.after END,
-     CASE WHEN s.pos = (b.cut >> 16) & 65535 THEN b.cut >> 32 ELSE s.tok END,
-     CASE WHEN s.pos = (b.cut >> 16) & 65535 THEN d.nxt WHEN s.after = (b.cut >> 16) & 65535 THEN b.cut >> 32 ELSE s.nxt END,
+     CASE WHEN s.pos = (b.cut >> 16) & 65535 THEN (b.cut >> 32)::INTEGER ELSE s.tok END,
+     CASE WHEN s.pos = (b.cut >> 16) & 65535 THEN d.nxt WHEN s.after = (b.cut >> 16) & 65535 THEN (b.cut >> 32)::INTEGER ELSE s.nxt END,
      b.cut IS NOT NULL
    FROM state s LEFT JOIN best b ON b.piece = s.piece LEFT JOIN dropped d ON d.piece = s.piece
    WHERE s.live AND (b.cut IS NULL OR s.pos <> b.cut & 65535))
 )
-SELECT piece, string_agg(tok::VARCHAR, ',' ORDER BY pos) AS ids, count(*) AS n, string_agg(shown, '' ORDER BY pos) AS decoded
-FROM state JOIN vocabulary USING (tok) WHERE NOT live GROUP BY piece ORDER BY piece
+SELECT piece, string_agg(shown, ',') AS tokens
+FROM (SELECT piece, shown FROM state JOIN vocabulary USING (tok) WHERE NOT live ORDER BY piece, pos)
+GROUP BY piece ORDER BY piece
 """
 
 
@@ -66,8 +67,19 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+_ENCODERS: dict[tuple[str, str], DuckBpe] = {}
+
+
+def worker_encoder(ranks_path: str, pattern: str) -> DuckBpe:
+    """The worker process's encoder: later tasks find the pieces of earlier ones."""
+    key = (ranks_path, pattern)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = DuckBpe(load_ranks(ranks_path), pattern)
+    return _ENCODERS[key]
+
+
 class DuckBpe:
-    """Encoder of one task: a DuckDB connection with the merge table, and a cache of pieces."""
+    """Encoder of a worker: a DuckDB connection with the merge table, and a cache of pieces."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         import duckdb
@@ -75,20 +87,22 @@ class DuckBpe:
 
         self.ranks, self.pattern = ranks, regex.compile(pattern)
         self.tokens = {rank: token for token, rank in ranks.items()}
-        self.bytes_to_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.bytes_to_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [(a << 32 | b, rank) for token, rank in ranks.items() for i in range(1, len(token)) if (a := ranks.get(token[:i])) is not None and (b := ranks.get(token[i:])) is not None]
         self.merges = dict(pairs)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
         for name, table in (
-            ("merges", pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()), "rank": pa.array([r for _, r in pairs], pa.int64())})),
-            ("vocabulary", pa.table({"tok": pa.array(list(self.tokens), pa.int64()), "shown": [t.hex() for t in self.tokens.values()]})),
+            ("merges", pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()), "rank": pa.array([r for _, r in pairs], pa.int32())})),
+            ("vocabulary", pa.table({"tok": pa.array(list(self.tokens), pa.int32()), "shown": [f"{rank}:{token.hex()}" for rank, token in self.tokens.items()]})),
         ):
             self.db.register("given", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        #: piece (or a run of them, see encode) -> ids as text, their number, decoded bytes
-        self.pieces: dict[str, tuple[str, int, bytes]] = {}
-        self.runs: dict[str, tuple[str, int, bytes] | None] = {}
+        #: piece -> ids as text and decoded bytes; the same for runs of pieces, see _cut
+        self.pieces: dict[str, tuple[str, bytes]] = {}
+        self.run_ids: dict[str, str] = {}
+        self.run_bytes: dict[str, bytes] = {}
+        self.odd: set[str] = set()
 
     def _by_heap(self, raw: bytes) -> list[int]:
         """Leftmost least pair first, for pieces too long for the recursive query."""
@@ -115,17 +129,18 @@ class DuckBpe:
 
     def _contract(self, pieces: list[str]) -> None:
         raw = [p.encode() for p in pieces]
-        lengths = np.array([len(x) for x in raw], np.int64)
-        starts = np.cumsum(lengths) - lengths
-        piece = np.repeat(np.arange(len(raw)), lengths)
-        pos = np.arange(len(piece)) - starts[piece]
+        lengths = np.array([len(x) for x in raw], np.int32)
+        starts = np.cumsum(lengths, dtype=np.int32) - lengths
+        piece = np.repeat(np.arange(len(raw), dtype=np.int32), lengths)
+        pos = np.arange(len(piece), dtype=np.int32) - starts[piece]
         tok = self.bytes_to_ids[np.frombuffer(b"".join(raw), np.uint8)]
         last = pos == lengths[piece] - 1
-        self.db.register("starts", pa.table({"piece": piece, "pos": pos, "after": pa.array(pos + 1, mask=last), "tok": tok, "nxt": pa.array(np.append(tok[1:], 0), mask=last)}))
+        self.db.register("starts", pa.table({"piece": piece, "pos": pos, "after": pa.array(pos + 1, mask=last), "tok": tok, "nxt": pa.array(np.append(tok[1:], np.int32(0)), mask=last)}))
         found = self.db.sql(_CONTRACT).to_arrow_table()
         self.db.unregister("starts")
-        for own, ids, n, decoded in zip(pieces, *(found.column(k).to_pylist() for k in ("ids", "n", "decoded")), strict=True):
-            self.pieces[own] = (ids, n, bytes.fromhex(decoded))
+        for own, line in zip(pieces, found.column("tokens").to_pylist(), strict=True):
+            tokens = [t.partition(":") for t in line.split(",")]
+            self.pieces[own] = (",".join([t[0] for t in tokens]), bytes.fromhex("".join([t[2] for t in tokens])))
 
     def _learn(self, pieces: set[str]) -> None:
         rest = []
@@ -134,10 +149,10 @@ class DuckBpe:
                 raw = piece.encode()
                 rank = self.ranks.get(raw)
                 if rank is not None:
-                    self.pieces[piece] = (str(rank), 1, self.tokens[rank])
+                    self.pieces[piece] = (str(rank), self.tokens[rank])
                 elif len(raw) > LONG_PIECE:
                     ids = self._by_heap(raw)
-                    self.pieces[piece] = (",".join(map(str, ids)), len(ids), b"".join([self.tokens[i] for i in ids]))
+                    self.pieces[piece] = (",".join(map(str, ids)), b"".join([self.tokens[i] for i in ids]))
                 else:
                     rest.append(piece)
         for k in range(0, len(rest), CHUNK):
@@ -151,28 +166,37 @@ class DuckBpe:
             return None
         return text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split("\x00")
 
-    def encode(self, texts: list[str]) -> list[tuple[list[str], int, list[bytes]]]:
-        """For each text: its ids as texts, their number, and the decoded parts."""
-        if len(self.pieces) + len(self.runs) > CACHE:
-            self.pieces.clear()
-            self.runs.clear()
+    def encode(self, texts: list[str]) -> list[tuple[str, int, bytes]]:
+        """For each text: its ids joined by commas, their number, and the bytes decoded from them."""
+        if len(self.pieces) + len(self.run_ids) > CACHE:
+            for kept in (self.pieces, self.run_ids, self.run_bytes, self.odd):
+                kept.clear()
         runs = [self._cut(t) for t in texts]
-        fresh = {r for own in runs if own for r in own if r not in self.runs}
-        # A run that begins or ends with other white space may touch its neighbour's.
-        cuts = {r: self.pattern.findall(r) if r == "\n" or r.removeprefix(" ") == r.strip() else None for r in fresh}
-        whole = {i: self.pattern.findall(t) for i, t in enumerate(texts) if runs[i] is None or any(cuts.get(r, ()) is None or self.runs.get(r, ()) is None for r in runs[i])}
-        self._learn({p for own in (*cuts.values(), *whole.values()) if own for p in own})
+        fresh = set().union(*[r for r in runs if r]) - self.run_ids.keys() - self.odd
+        cuts = {}
+        for run in fresh:
+            if run == "\n" or run.removeprefix(" ") == run.strip():
+                cuts[run] = self.pattern.findall(run)
+            else:  # it begins or ends with other white space, which may touch its neighbour's
+                self.odd.add(run)
+        whole = {i: self.pattern.findall(t) for i, t in enumerate(texts) if runs[i] is None or (self.odd and not self.odd.isdisjoint(runs[i]))}
+        self._learn({p for own in (*cuts.values(), *whole.values()) for p in own})
         for run, own in cuts.items():
-            self.runs[run] = None if own is None else self._join(own)
+            self.run_ids[run], self.run_bytes[run] = self._join(own)
         out = []
         for i, own in enumerate(runs):
-            known = [self.pieces[p] for p in whole[i]] if i in whole else [self.runs[r] for r in own]
-            out.append(([k[0] for k in known], sum([k[1] for k in known]), [k[2] for k in known]))
+            if i in whole:
+                ids, decoded = self._join(whole[i])
+            else:
+                ids, decoded = ",".join(map(self.run_ids.__getitem__, own)), b"".join(map(self.run_bytes.__getitem__, own))
+            out.append((ids, ids.count(",") + 1 if ids else 0, decoded))
         return out
 
-    def _join(self, pieces: list[str]) -> tuple[str, int, bytes]:
+    def _join(self, pieces: list[str]) -> tuple[str, bytes]:
+        if len(pieces) == 1:
+            return self.pieces[pieces[0]]
         known = [self.pieces[p] for p in pieces]
-        return (",".join([k[0] for k in known]), sum(k[1] for k in known), b"".join([k[2] for k in known]))
+        return ",".join([k[0] for k in known]), b"".join([k[1] for k in known])
 
 
 FIELDS = [("n_tokens", T.LongType()), ("ids", T.StringType()), ("decoded", T.BinaryType())]
@@ -184,17 +208,13 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     SHA-256 digests of both."""
 
     def make() -> Callable:
-        bpe = DuckBpe(load_ranks(ranks_path), pattern)
+        bpe = worker_encoder(ranks_path, pattern)
 
         def work(texts: pa.Array) -> list:
-            counts, ids, decoded = [], [], []
-            for parts, n, raw in bpe.encode(texts_of(texts)):
-                counts.append(n)
-                ids.append(",".join(parts))
-                decoded.append(b"".join(raw))
-                if digests:
-                    ids[-1] = hashlib.sha256(ids[-1].encode()).hexdigest()
-                    decoded[-1] = hashlib.sha256(decoded[-1]).hexdigest()
+            ids, counts, decoded = (list(x) for x in zip(*bpe.encode(texts_of(texts)), strict=True))
+            if digests:
+                ids = [hashlib.sha256(x.encode()).hexdigest() for x in ids]
+                decoded = [hashlib.sha256(x).hexdigest() for x in decoded]
             return [counts, ids, decoded]
 
         return work

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from kinloom.llm import bpe, jaccard_join, langid, packing, pii, quality, secret_scan, sharding, winnow
+from kinloom.llm import bpe, hpylm, jaccard_join, langid, packing, pii, quality, secret_scan, sharding, winnow
 from kinloom.session import read_table
 
 
@@ -44,6 +44,10 @@ def op8_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.compare_edited(read_table(spark, sf_dir, "documents"))
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpylm.score(read_table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join_components(read_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op7_sharding": op7_sharding,
     "op8_winnow": op8_winnow,
+    "op9_lm_score": op9_lm_score,
     "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLE_SQL: dict[str, str] = {}
