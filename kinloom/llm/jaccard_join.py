@@ -360,8 +360,8 @@ def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return summed.where(f"100 * common >= {percent} * (sizes - common)").select("a", "b")
 
 
-def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+def _rooted(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
+    """Every document with its keys and set; (sid, root) of the sets that are linked with others."""
     ship_package(docs.sparkSession)
     base = staged(document_sets(docs, id_col, text_col, size), "join-documents")
     partnered = base.where(f"n_shingles > 0 AND 100 * shared >= {percent} * n_shingles")
@@ -391,9 +391,15 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             turn += 1
         else:  # more pivots won't help: compare what is left
             turn = PIVOT_ROUNDS if turn < PIVOT_ROUNDS else turn + 1
+    return base, None if components is None else components.toDF("sid", "root")
+
+
+def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    base, linked = _rooted(docs, id_col, text_col, size, percent)
     least = base.where("n_shingles > 0").groupBy("sid").agg(F.min("doc_id").alias("least"))
-    if components is not None:
-        grouped = least.join(components.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("component", "sid"))
+    if linked is not None:
+        grouped = least.join(linked, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         # Equal components meet by root; only a set's least id goes there, not its documents.
         roots = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
         least = grouped.join(roots, "root").select("sid", "component_id")
@@ -402,3 +408,20 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     in_sets = base.where("n_shingles > 0").join(least, "sid").select("doc_id", "n_shingles", "component_id")
     alone = base.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return in_sets.unionByName(alone)
+
+
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
+    """docs with one row of each component: that of the least id (null ids last), then of the
+    least text key; all of a component's other rows go, and rows without words all stay."""
+    base, linked = _rooted(docs, id_col, text_col, size, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key", "key2")).alias("first")
+    # Sets first, their components next: only a set's first row goes on.
+    chosen = base.where("n_shingles > 0").groupBy("sid").agg(first)
+    if linked is not None:
+        chosen = chosen.join(linked, "sid", "left").groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("first").alias("first"))
+    kept = staged(chosen.select(*[F.col(f"first.{n}").alias(f"__{n}") for n in ("doc_id", "key", "key2")]), "join-kept")
+    words = F.coalesce(F.col(text_col), F.lit("")).rlike("[^ \\t\\n\\x0B\\f\\r]")
+    keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), words.alias("words"), *text_keys(text_col))
+    meets = keyed["id"].eqNullSafe(kept["__doc_id"]) & (keyed["key"] == kept["__key"]) & (keyed["key2"] == kept["__key2"])
+    single = keyed.where("words").join(kept, meets, "left_semi").dropDuplicates(["id", "key", "key2"])
+    return single.unionByName(keyed.where("NOT words")).select("row.*")
