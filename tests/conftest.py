@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     session = get_session(
         "tests",
-        "local[4]",
+        "local[2]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
