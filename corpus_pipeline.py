@@ -15,8 +15,8 @@ from kinloom.session import read_table, staged
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages."""
-    return langid.filter_documents(docs, langid.train(docs))
+    """Documents in one of the learned languages, not much less sure than a guess among four."""
+    return langid.filter_documents(docs, langid.train(docs), least=0.4)
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
