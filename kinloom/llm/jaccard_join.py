@@ -9,8 +9,9 @@ fragments, and a document into the segments that fall in each.
 2. What is left is put in the order of frequency, rarest first. Two similar sets share
    a shingle of their prefixes, and at the first one both have enough left to reach
    the overlap they need. Within such a bucket, sets are first compared with pivots, one
-   for each class of sizes, so a bucket of k copies costs about k pairs; further rounds
-   take other pivots, and only sets that are still in different components.
+   for each class of sizes and one for each set, so a group of k copies costs about k
+   pairs; further rounds take others, twice as many each, and only sets that are still
+   in different components.
 3. A pair's overlap is counted fragment by fragment, and the partial counts are summed.
 4. After PIVOT_ROUNDS, all pairs that share a bucket and are not connected yet are
    compared, so that no component is missed. Pairs already connected need no test,
@@ -33,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -47,7 +48,7 @@ PIVOT_ROUNDS = 6
 #: Bytes of text for each fragment of the first step, and at least so many fragments.
 FRAGMENT_BYTES, LEAST_FRAGMENTS = 32 << 20, 64
 #: Fragments of the sets that are compared, and pairs in one cell of that comparison.
-SEGMENTS, CELL_PAIRS = 8, 100_000
+SEGMENTS, CELL_PAIRS = 4, 100_000
 _A, _M = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SHARED = 1  # added to owner numbers, so that 0 says "several documents of this slice"
 
@@ -292,22 +293,30 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     )
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("x.sid", "y.sid").alias("a"), F.greatest("x.sid", "y.sid").alias("b")).distinct()
-
-
-def _pivot_pairs(postings: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Pairs of each set with the pivots of its bucket, in its own and the next smaller class."""
-    who = F.min_by(F.struct("sid", "n", "rest", "component"), F.xxhash64("sid", F.lit(turn)))
-    pivots = postings.groupBy("h", "class").agg(who.alias("p")).select("h", "class", "p.*").alias("y")
-    tried = postings.select("h", "sid", "n", "rest", "component", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class")).alias("x")
-    return _ordered(tried.join(pivots, (F.col("x.h") == F.col("y.h")) & (F.col("x.class") == F.col("y.class")) & _may_link("x", "y", percent)))
+def _pivot_pairs(postings: DataFrame, tried: DataFrame | None, turn: int, percent: int) -> DataFrame:
+    """2^turn new pairs for each set: with the first, by this round's hash, of the pivots of its
+    buckets, in its own and the next smaller class. A bucket has 2^turn pivots; the hash is the
+    same in all buckets, so a group of copies shares its pivots."""
+    count, first = 1 << turn, lambda sid: F.xxhash64(sid, F.lit(turn))
+    at = F.row_number().over(Window.partitionBy("h", "class").orderBy(first("sid"), "sid"))
+    pivots = postings.withColumn("at", at).where(F.col("at") <= count).select("h", "class", "sid", "n", "rest", "component").alias("y")
+    asked = postings.select("h", "sid", "n", "rest", "component", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class")).alias("x")
+    met = asked.join(pivots, (F.col("x.h") == F.col("y.h")) & (F.col("x.class") == F.col("y.class")) & _may_link("x", "y", percent))
+    met = met.select(F.col("x.sid").alias("own"), F.col("y.sid").alias("pivot")).distinct()
+    if tried is not None:
+        done = tried.select(F.col("a").alias("own"), F.col("b").alias("pivot"))
+        done = done.unionByName(tried.select(F.col("b").alias("own"), F.col("a").alias("pivot")))
+        met = met.join(done, ["own", "pivot"], "left_anti")
+    nearest = F.row_number().over(Window.partitionBy("own").orderBy(first("pivot"), "pivot"))
+    chosen = met.withColumn("at", nearest).where(F.col("at") <= count)
+    return chosen.select(F.least("own", "pivot").alias("a"), F.greatest("own", "pivot").alias("b")).distinct()
 
 
 def _rest_pairs(postings: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket that are not connected yet."""
     x, y = postings.alias("x"), postings.alias("y")
-    return _ordered(x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.sid") < F.col("y.sid")) & _may_link("x", "y", percent)))
+    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.sid") < F.col("y.sid")) & _may_link("x", "y", percent))
+    return met.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
 
 
 # ---------------------------------------------------------------- 3. overlaps by fragment
@@ -334,30 +343,47 @@ def _segments(sets: DataFrame) -> DataFrame:
 def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """The pairs whose summed overlaps reach the similarity.
 
-    A cell is a fragment and a group of pairs; it gets each set's segment once."""
+    Pairs are dealt to cells of about CELL_PAIRS, so a set of many pairs stands in many. A cell
+    meets its sets' segments fragment by fragment; the partial counts of a cell are
+    one vector for each fragment, and the sum of these decides."""
     cells = 1 + pairs.count() // CELL_PAIRS
-    grouped = pairs.withColumn("cell", F.pmod(F.hash("b"), F.lit(cells)))
-    members = grouped.select("cell", F.explode(F.array("a", "b")).alias("sid")).distinct()
+    dealt = pairs.withColumn("cell", F.pmod(F.hash("a", "b"), F.lit(cells)))
+    members = dealt.select("cell", F.col("a").alias("sid")).unionByName(dealt.select("cell", F.col("b").alias("sid"))).distinct()
     left = segments.join(members, "sid").select("fragment", "cell", "sid", "n", "segment")
-    right = grouped.select("a", "b", "cell", F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("fragment")).toDF("a", "b", "at_cell", "at_fragment")
-    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()), T.StructField("common", T.LongType()), T.StructField("sizes", T.LongType())])
-    target = to_arrow_schema(schema)
+    listed = dealt.groupBy("cell").agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("pairs"))
+    fragments = F.explode(F.sequence(F.lit(0), F.lit(SEGMENTS - 1))).alias("fragment")
+    right = listed.select("cell", F.col("pairs.a").alias("a"), F.col("pairs.b").alias("b"), fragments).toDF("at_cell", "a", "b", "at_fragment")
+    ids = T.ArrayType(T.BinaryType())
+    partial_schema = T.StructType([T.StructField("cell", T.IntegerType()), T.StructField("a", ids), T.StructField("b", ids), T.StructField("sizes", T.BinaryType()), T.StructField("common", T.BinaryType())])
+    partial_target = to_arrow_schema(partial_schema)
 
     def count(sets: pa.Table, wanted: pa.Table) -> pa.Table:
         held = {s: (np.frombuffer(c, np.uint64), n) for s, c, n in zip(sets["sid"].to_pylist(), sets["segment"].to_pylist(), sets["n"].to_pylist(), strict=True)}
-        a, b = wanted["a"].to_pylist(), wanted["b"].to_pylist()
+        row = wanted.to_pylist()[0]
         common, sizes = [], []
-        for x, y in zip(a, b, strict=True):
+        for x, y in zip(row["a"], row["b"], strict=True):
             (p, n), (q, m) = held[x], held[y]
             both = np.concatenate([p, q])
             both.sort()
             common.append(int((both[1:] == both[:-1]).sum()))
             sizes.append(n + m)
-        return pa.Table.from_arrays([pa.array(v, f.type) for v, f in zip((a, b, common, sizes), target, strict=True)], schema=target)
+        # The first fragment's row also says which pairs these are.
+        told = (row["a"], row["b"], np.array(sizes, "<i8").tobytes()) if row["at_fragment"] == 0 else (None, None, None)
+        values = (row["at_cell"], *told, np.array(common, "<i8").tobytes())
+        return pa.Table.from_arrays([pa.array([v], f.type) for v, f in zip(values, partial_target, strict=True)], schema=partial_target)
+
+    partial = left.groupBy("fragment", "cell").cogroup(right.groupBy("at_fragment", "at_cell")).applyInArrow(count, partial_schema)
+    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+    target = to_arrow_schema(schema)
+
+    def decide(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        told = next(r for r in rows if r["sizes"] is not None)
+        common = sum(np.frombuffer(r["common"], "<i8") for r in rows)
+        links = np.flatnonzero(100 * common >= percent * (np.frombuffer(told["sizes"], "<i8") - common))
+        return pa.Table.from_arrays([pa.array([told[c][i] for i in links], f.type) for c, f in zip(("a", "b"), target, strict=True)], schema=target)
 
-    partial = left.groupBy("fragment", "cell").cogroup(right.groupBy("at_fragment", "at_cell")).applyInArrow(count, schema)
-    summed = partial.groupBy("a", "b", "sizes").agg(F.sum("common").alias("common"))
-    return summed.where(f"100 * common >= {percent} * (sizes - common)").select("a", "b")
+    return partial.groupBy("cell").applyInArrow(decide, schema)
 
 
 def _rooted(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> tuple[DataFrame, DataFrame | None]:
@@ -375,12 +401,15 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
         # Buckets whose sets are all connected are done.
         mixed = open_.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("h")
         open_ = staged(open_.join(mixed, "h", "left_semi"), "join-open")
-        if not open_.head(1):
-            break
-        pairs = _pivot_pairs(open_, turn, percent) if turn < PIVOT_ROUNDS else _rest_pairs(open_, percent)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        if turn < PIVOT_ROUNDS:
+            pairs = _pivot_pairs(open_, tried, turn, percent)
+        else:
+            pairs = _rest_pairs(open_, percent)
+            pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(pairs, "join-pairs")
+        if not pairs.head(1):  # no pivot is left to try: compare the rest, if any
+            turn = PIVOT_ROUNDS if turn < PIVOT_ROUNDS else turn + 1
+            continue
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = staged(_linked(pairs, segments, percent), "join-links")
         if found.head(1):
@@ -388,9 +417,7 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
             components = connected_components(links)
             moved = components.select(F.col("node").alias("sid"), F.col("component").alias("end"))
             open_ = open_.join(moved, "sid", "left").select("h", "sid", "n", "rest", "class", F.coalesce("end", "sid").alias("component"))
-            turn += 1
-        else:  # more pivots won't help: compare what is left
-            turn = PIVOT_ROUNDS if turn < PIVOT_ROUNDS else turn + 1
+        turn += 1
     return base, None if components is None else components.toDF("sid", "root")
 
 
