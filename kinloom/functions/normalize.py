@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinloom.session import ship_package, staged
+
 # Texts that stand for nothing, legal forms, countries, states, road words.
 MISSING = ["", "null", "<null>", "none", "<none>", "n/a", "na", "nan", "<na>", "-", "--"]
 LEGAL_FORMS = {"pvt": "private", "ltd": "limited", "corp": "corporation", "co": "company", "inc": "incorporated", "llp": "llp", "llc": "llc"}
@@ -122,7 +124,8 @@ def zero_normalized(text: Column) -> Column:
 
 
 def with_name_columns(df: DataFrame, raw: str = "business_name") -> DataFrame:
-    """The ten name columns; two UDF columns, the rest native."""
+    """The name columns but the accent-free one; two UDF columns, the rest native."""
+    ship_package(df.sparkSession)
     text = F.coalesce(F.col(raw), F.lit(""))
     df = df.withColumns({"name_raw": text, "name_normalized_unicode": unicode_normalized(text), "__untagged": unicode_normalized(F.regexp_replace(text, _ID_TAG, " "))})
     missing = is_missing(F.col("name_normalized_unicode"))
@@ -138,7 +141,6 @@ def with_name_columns(df: DataFrame, raw: str = "business_name") -> DataFrame:
     df = df.withColumn("name_without_suffix", core)
     return df.withColumns(
         {
-            "name_latin_folded": latin_folded(F.col("name_without_suffix")),
             "name_token_key": token_key(F.col("name_without_suffix")),
             "name_compact": F.replace(F.col("name_without_suffix"), F.lit(" "), F.lit("")),
         }
@@ -163,7 +165,8 @@ def _road_words(part: Column, country: Column) -> Column:
 
 
 def with_address_columns(df: DataFrame, raw: str = "business_address") -> DataFrame:
-    """The sixteen address columns; needs country_key."""
+    """The address columns but the accent-free one; needs country_key."""
+    ship_package(df.sparkSession)
     text, country = F.coalesce(F.col(raw), F.lit("")), F.col("country_key")
     df = df.withColumns({"address_raw": text, "__pieces": F.split(unicode_normalized(F.regexp_replace(text, r"[,;|\n\r]+", _CUT)), _CUT)})
     placeholder = r"<\s*(?:null|none|na)\s*>"
@@ -202,7 +205,6 @@ def with_address_columns(df: DataFrame, raw: str = "business_address") -> DataFr
     df = df.withColumn("address_normalized", F.array_join("__roads", " "))
     return df.withColumns(
         {
-            "address_latin_folded": latin_folded(F.col("address_normalized")),
             "address_tokens": F.array_join(F.array_sort(F.array_distinct(F.filter(F.split("address_normalized", " "), lambda t: t != ""))), "|"),
             "address_numbers": F.array_join("__numbers", "|"),
             "address_numbers_zero_normalized": F.array_join(F.array_sort(F.array_distinct(F.transform("__numbers", zero_normalized))), "|"),
@@ -214,7 +216,13 @@ def with_address_columns(df: DataFrame, raw: str = "business_address") -> DataFr
     ).drop("__pieces", "__parts", "__found", "__at", "__first", "__roads", "__numbers")
 
 
+def with_latin_columns(df: DataFrame) -> DataFrame:
+    """Accent-free name and address; their inputs must be stored columns, not expressions over other UDFs."""
+    return df.withColumns({f"{f}_latin_folded": latin_folded(F.col(c)) for f, c in (("name", "name_without_suffix"), ("address", "address_normalized"))})
+
+
 def clean_records(raw: DataFrame) -> DataFrame:
     """Raw columns and the derived ones of names, addresses and countries."""
     keyed = raw.withColumn("country_key", country_key(unicode_normalized(F.coalesce("country", F.lit("")))))
-    return with_address_columns(with_name_columns(keyed))
+    # Staged: Spark does not tell UDFs over long expressions of other UDFs apart in one projection.
+    return with_latin_columns(staged(with_address_columns(with_name_columns(keyed)), "cleaned"))

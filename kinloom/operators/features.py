@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinloom.functions import similarity as sim
 from kinloom.functions import tokens
+from kinloom.session import ship_package
 
 FEATURES = [
     "name_token_sort_ratio", "address_token_sort_ratio", "name_levenshtein_ratio", "name_jaro_winkler", "name_token_jaccard", "name_tfidf_cosine",
@@ -58,6 +59,7 @@ def native_features(a: str, b: str) -> dict[str, Column]:
 
 def pair_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """pairs (q, r, cosines and the pair columns) with all 36 features."""
+    ship_package(pairs.sparkSession)
     side = lambda s: records.select(F.col("rid").alias(s), F.struct(*_COMPARED).alias(f"{s}_record"))
     joined = pairs.join(side("q"), "q").join(side("r"), "r")
     udf = {

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kinloom.functions import hashing, tokens
 from kinloom.functions.similarity import sparse_cosine
-from kinloom.session import staged
+from kinloom.session import ship_package, staged
 
 
 def exact_terms(terms: DataFrame) -> DataFrame:
@@ -23,6 +23,7 @@ def hashed_terms(bits: int) -> Callable[[DataFrame], DataFrame]:
     """Terms in 2^bits buckets; each distinct term is hashed once."""
 
     def keyed(terms: DataFrame) -> DataFrame:
+        ship_package(terms.sparkSession)
         table = terms.select("term").distinct().withColumn("key", hashing.term_bucket(bits)("term"))
         return terms.join(table, "term")
 

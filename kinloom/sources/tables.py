@@ -50,7 +50,7 @@ def read_tsv(spark: SparkSession, path: str, required: list[str] | None = None,
         raise ValueError(f"{path} already has {', '.join(clashing)}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _CORRUPT]])
     read = spark.read.options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=_CORRUPT, nullValue="\x00", emptyValue="", enforceSchema=True).schema(schema).csv(path)
-    require_none(read.where(F.col(_CORRUPT).isNotNull()).select(_CORRUPT), f"malformed rows in {path}")
+    require_none(read.where(F.col(_CORRUPT).isNotNull()), f"malformed rows in {path}")
     return read.select(*[F.coalesce(F.col(f"`{n}`"), F.lit("")).alias(n) for n in names])
 
 
