@@ -64,4 +64,15 @@ QUERIES = {
     "op9_lm_score": op9_lm_score,
     "op10_jaccard_join": op10_jaccard_join,
 }
-ORACLE_SQL: dict[str, str] = {}
+# All pairs that share a shingle: right, and affordable on small tables only.
+ORACLE_SQL: dict[str, str] = {
+    "op10_jaccard_join": r"""WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] ELSE list_transform(range(1, greatest(2, len(w) - 3)), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM d),
+e AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS n, b.n AS m, count(*) AS k FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+l AS (SELECT a, b FROM c WHERE 100 * k >= 80 * (n + m - k)),
+u AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a AS node, a AS label FROM u UNION SELECT u.b, r.label FROM r JOIN u ON u.a = r.node WHERE r.label < u.b),
+f AS (SELECT node, min(label) AS label FROM r GROUP BY node)
+SELECT s.doc_id, len(s) AS n_shingles, coalesce(label, s.doc_id) AS component_id FROM s LEFT JOIN f ON f.node = s.doc_id"""
+}
