@@ -199,5 +199,5 @@ def blocking_report(pairs: DataFrame, manifest: DataFrame) -> DataFrame:
         F.count_if(F.col("union_candidates") > F.col("n_candidates")).alias("queries_capped"),
         F.count_if(F.size("overflow_blocks") > 0).alias("queries_with_overflow_blocks"),
     )
-    one = F.broadcast(by_query)  # a single row
-    return by_channel.join(one, F.lit(True)).withColumn("average_candidates", F.col("pairs") / F.greatest(F.lit(1), F.col("queries")))
+    only = F.lit(1).alias("only")  # both sides are a single row
+    return by_channel.select(only, "*").join(by_query.select(only, "*"), "only").drop("only").withColumn("average_candidates", F.col("pairs") / F.greatest(F.lit(1), F.col("queries")))

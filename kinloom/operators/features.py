@@ -9,6 +9,7 @@ from kinloom.functions import similarity as sim
 from kinloom.functions import tokens
 from kinloom.session import ship_package
 
+# The names and order of the features, and of the columns a matcher sees.
 FEATURES = [
     "name_token_sort_ratio", "address_token_sort_ratio", "name_levenshtein_ratio", "name_jaro_winkler", "name_token_jaccard", "name_tfidf_cosine",
     "name_char_ngram_similarity", "name_exact", "name_without_suffix_similarity", "name_expanded_similarity", "address_levenshtein",
