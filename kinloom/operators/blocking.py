@@ -67,8 +67,8 @@ def limited_blocks(queries: DataFrame, references: DataFrame, query_tokens: Data
     also share one of its tokens (q, field, token); without tokens, none. Keys of more than
     `limit` references overflow by themselves and are never joined whole.
     """
-    left = staged(key_table(queries, channels, query_scopes(F.col("country_key"))).withColumnRenamed("rid", "q"), "block-query-keys")
-    right = staged(key_table(references, channels, reference_scopes(F.col("country_key"))).withColumnRenamed("rid", "r"), "block-keys")
+    left = key_table(queries, channels, query_scopes(F.col("country_key"))).withColumnRenamed("rid", "q")
+    right = key_table(references, channels, reference_scopes(F.col("country_key"))).withColumnRenamed("rid", "r")
     key = ["channel", "key", "scope"]
     wanted = right.join(left.select(*key).distinct(), key, "left_semi")
     hot = staged(wanted.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > limit).select(*key), "block-hot-keys")
@@ -201,3 +201,9 @@ def blocking_report(pairs: DataFrame, manifest: DataFrame) -> DataFrame:
     )
     only = F.lit(1).alias("only")  # both sides are a single row
     return by_channel.select(only, "*").join(by_query.select(only, "*"), "only").drop("only").withColumn("average_candidates", F.col("pairs") / F.greatest(F.lit(1), F.col("queries")))
+
+
+def first_queries(records: DataFrame, n: int) -> DataFrame:
+    """Smoke runs: the first n queries and all references. What comes of it must not be submitted."""
+    kept = records.where("source = 1").orderBy("rid").limit(n)
+    return kept.unionByName(records.where("source IN (2, 3)"))

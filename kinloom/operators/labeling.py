@@ -97,3 +97,29 @@ def cluster_leaks(splits: DataFrame, clusters: DataFrame) -> DataFrame:
 
 def staged_truth(raw: DataFrame) -> DataFrame:
     return staged(parse_truth(raw), "truth")
+
+
+def cleaning_report(cleaned: DataFrame) -> DataFrame:
+    """Rows and missing parts by country, and over all (null)."""
+    sums = {c: F.sum(c).cast("long").alias(c) for c in ("name_missing", "address_missing", "address_component_missing", "name_had_id_tag") if c in cleaned.columns}
+    return cleaned.groupingSets([[], ["country_key"]], "country_key").agg(F.count("*").alias("rows"), *sums.values())
+
+
+def training_stats(labeled: DataFrame) -> DataFrame:
+    """Pairs, positives and negatives by split."""
+    return labeled.groupBy("dataset_split").agg(F.count("*").alias("pairs"), F.count_if(F.col("label") == 1).alias("positives"), F.count_if(F.col("label") == 0).alias("negatives"))
+
+
+def recall_at_k(found: DataFrame, truth: DataFrame, k: int) -> DataFrame:
+    """One row: true links, those among the first k found, and their share.
+
+    found: q, r, rank. truth: q, r."""
+    near = found.where(F.col("rank") <= k).select("q", "r").distinct().withColumn("hit", F.lit(1))
+    counted = truth.select("q", "r").distinct().join(near, ["q", "r"], "left").agg(F.count("*").alias("links"), F.coalesce(F.sum("hit"), F.lit(0)).alias("hits"))
+    return counted.withColumn("recall", F.col("hits") / F.greatest(F.lit(1), F.col("links")))
+
+
+def require_complete(manifest: DataFrame, records: DataFrame) -> None:
+    """Every query of the source stands in the manifest, so that no smoke run is submitted."""
+    own = records.where("source = 1").select(F.col("entity_id").alias("source1_entity_id"))
+    require_none(own.join(manifest.select("source1_entity_id"), "source1_entity_id", "left_anti"), "query outside the manifest")

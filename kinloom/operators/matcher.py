@@ -64,3 +64,9 @@ def importances(model: PipelineModel) -> list[tuple[str, float]]:
     """Features by falling gain."""
     gains = model.stages[-1].featureImportances.toArray()
     return sorted(zip(feature_columns(model), map(float, gains), strict=True), key=lambda x: (-x[1], x[0]))
+
+
+def learning_curve(model: PipelineModel, features: DataFrame) -> list[float]:
+    """Loss on the given pairs after each tree."""
+    given = _filled(features, feature_columns(model)).withColumn("label", F.col("label").cast("double"))
+    return [float(x) for x in model.stages[-1].evaluateEachIteration(model.stages[0].transform(given), "logistic")]
