@@ -14,7 +14,7 @@ from kinloom.config import DenseConfig, MatcherConfig, PrepConfig
 from kinloom.functions import hashing, tokens
 from kinloom.functions.normalize import clean_records
 from kinloom.operators import blocking, evaluation, features, knn, labeling, matcher, tfidf
-from kinloom.session import staged
+from kinloom.session import shared_folder, staged
 from kinloom.sources import tables
 
 
@@ -112,13 +112,15 @@ def run(spark: SparkSession, root: str, out: str, prep: PrepConfig, trees: Match
     labeled, labels = label(prepared, labeling.staged_truth(tables.read_truth(spark, root)), prep)
     model = matcher.train(labeled, trees)
     sweep, threshold = validate(model, labeled, labels, trees.thresholds)
-    matches, listed = submit(model, prepare(read_records(spark, root, "test"), terms, prep, dense), threshold)
+    test = prepare(read_records(spark, root, "test"), terms, prep, dense)
+    labeling.require_complete(test.queries, test.records)
+    matches, listed = submit(model, test, threshold)
     tables.write_parquet(labeling.recall_report(labels), f"{out}/candidate_recall")
     tables.write_parquet(sweep, f"{out}/validation_f05")
     model.write().save(f"{out}/matcher")
     tables.write_lists(matches, f"{out}/matching_results")
     tables.write_lists(listed, f"{out}/candidate_pairs")
-    report = {"signature": signature(prep, trees, *([dense] if dense else [])), "threshold": threshold, "importances": matcher.importances(model)[:20]}
+    report = {"signature": signature(prep, trees, *([dense] if dense else [])), "threshold": threshold, "importances": matcher.importances(model)[:20], "learning_curve": matcher.learning_curve(model, labeled.where("dataset_split = 'validation'"))}
     tables.write_json(spark, report, f"{out}/report")
     return report
 
@@ -138,3 +140,10 @@ def split_share(sid: str, country: str, has_match: bool, seed: int, spark: Spark
     """The number in [0, 1) that decides a query's split."""
     row = spark.createDataFrame([(sid, country, has_match)], "sid string, country string, m boolean")
     return row.select(hashing.unit_hash(hashing.query_split_key(seed, F.col("country"), F.col("m"), F.col("sid"))).alias("u")).first()["u"]
+
+
+def doctor(spark: SparkSession) -> dict:
+    """Whether the shared folder can be written and read and workers run the package's UDFs."""
+    probe = clean_records(spark.createDataFrame([("S1-0", "A.B.C. Motors Ltd", "1 Elm St", "usa")], "entity_id string, business_name string, business_address string, country string"))
+    row = probe.first()
+    return {"spark": spark.version, "workers": row["name_without_suffix"] == "abc motors", "country": row["country_key"], "shared_folder": shared_folder(spark)}

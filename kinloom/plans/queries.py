@@ -151,6 +151,16 @@ def clean_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.with_address_columns(raw).select("rid", "form", *columns)
 
 
+@query("""SELECT c AS country_key, count(*) AS "rows", CAST(sum(n) AS BIGINT) AS address_missing, CAST(sum(m) AS BIGINT) AS address_component_missing FROM (
+  SELECT CASE p_partkey % 4 WHEN 0 THEN 'US' WHEN 1 THEN 'IN' WHEN 2 THEN 'FR' ELSE '' END AS c, CAST(p_partkey % 4 = 3 AS INT) AS n, CAST(p_partkey % 4 IN (1, 3) AS INT) AS m FROM part)
+GROUP BY GROUPING SETS ((), (c))""")
+def cleaning_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    form = F.col("p_partkey") % 4
+    country = F.when(form == 0, "US").when(form == 1, "IN").when(form == 2, "FR").otherwise("")
+    raw = read_table(spark, sf_dir, "part").select(country.alias("country_key"), F.expr(_RAW_ADDRESS).alias("business_address"))
+    return labeling.cleaning_report(normalize.with_address_columns(raw))
+
+
 @query("SELECT c_custkey, regexp_replace(c_name, '#0*([0-9])', '#\\1') AS name FROM customer")
 def zero_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "customer").select("c_custkey", normalize.zero_normalized(F.col("c_name")).alias("name"))
@@ -405,6 +415,24 @@ def truth_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labeled(spark, sf_dir).select("source1_entity_id", "candidate_entity_id", F.col("label").cast("int").alias("label"))
 
 
+@query(f"""WITH {_FIRST}, {_TRUTH}, own AS (SELECT rid, entity_id, country, CAST(EXISTS (SELECT 1 FROM truth WHERE q = rid) AS INT) AS m FROM rec WHERE source = 1),
+s AS (SELECT rid, CASE WHEN {_SHARE} < 0.2 THEN 'validation' ELSE 'train' END AS split FROM own)
+SELECT split AS dataset_split, count(*) AS pairs, count(t.r) AS positives, count(*) - count(t.r) AS negatives FROM pairs p JOIN s ON s.rid = p.q LEFT JOIN truth t USING (q, r) GROUP BY split""")
+def training_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labeling.training_stats(_labeled(spark, sf_dir))
+
+
+@query(f"""WITH {_REC}, {_TRUTH}, met AS (SELECT q.rid AS q, r.rid AS r, row_number() OVER (PARTITION BY q.rid ORDER BY r.rid) AS rank {_BOTH} WHERE q.name = r.name AND {_MAY})
+SELECT count(*) AS links, count(m.r) AS hits, round(count(m.r) / greatest(1, count(*)), 6) AS recall FROM truth t LEFT JOIN met m ON m.q = t.q AND m.r = t.r AND m.rank <= 3""")
+def recall_at_three(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the true references, those among the first three of equal name."""
+    given = records(spark, sf_dir).select("entity_id", F.col("rid"))
+    named = _truth(spark, sf_dir).select(F.col("sid").alias("entity_id"), F.explode("ids").alias("eid")).join(given.withColumnRenamed("rid", "q"), "entity_id").drop("entity_id")
+    truth = named.withColumnRenamed("eid", "entity_id").join(given.withColumnRenamed("rid", "r"), "entity_id").select("q", "r")
+    found = first_matches(spark, sf_dir).withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("r")))
+    return labeling.recall_at_k(found, truth, 3).select("links", "hits", F.round("recall", 6).alias("recall"))
+
+
 def _query_labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     queries, _ = sides(spark, sf_dir)
     labeled = _labeled(spark, sf_dir)
