@@ -69,4 +69,4 @@ def importances(model: PipelineModel) -> list[tuple[str, float]]:
 def learning_curve(model: PipelineModel, features: DataFrame) -> list[float]:
     """Loss on the given pairs after each tree."""
     given = _filled(features, feature_columns(model)).withColumn("label", F.col("label").cast("double"))
-    return [float(x) for x in model.stages[-1].evaluateEachIteration(model.stages[0].transform(given), "logistic")]
+    return [float(x) for x in model.stages[-1].evaluateEachIteration(model.stages[0].transform(given))]

@@ -127,6 +127,8 @@ def test_matcher(spark):
     got = matcher.predict(model, df).join(df, ["source1_entity_id", "candidate_entity_id"]).collect()
     assert len(got) == len(rows) and all((r["match_probability"] >= 0.5) == bool(r["label"]) for r in got)
     assert matcher.importances(model)[0][0] in ("name_exact", "lev")
+    losses = matcher.learning_curve(model, df)
+    assert losses == sorted(losses, reverse=True) and losses[-1] < losses[0]
     sample = [sorted(r["candidate_entity_id"] for r in matcher.sampled_rows(df.repartition(n), 20, 1).collect()) for n in (1, 5)]
     assert sample[0] == sample[1] and len(sample[0]) == 20
     with pytest.raises(ValueError):
