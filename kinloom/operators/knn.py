@@ -66,6 +66,8 @@ def ranked(pairs: DataFrame, k: int, on: str) -> DataFrame:
 def ivf_top_k(queries: DataFrame, references: DataFrame, config: DenseConfig, on: str = "part") -> DataFrame:
     """As exact_top_k, approximately: inverted lists of k-means cells.
 
+    A query probes the nprobe nearest of the cells that hold rows of its own partition, and further ones
+    until those hold k rows, so it gets k neighbours wherever its partition has them.
     Cells are fitted on at most ann_training_rows references chosen by hash; every reference is
     listed. The cell centres (nlist vectors) go to every task; that bound is config.nlist."""
     n = references.count()
@@ -75,17 +77,27 @@ def ivf_top_k(queries: DataFrame, references: DataFrame, config: DenseConfig, on
     lists = min(config.nlist, max(1, min(n, config.ann_training_rows) // 40))
     vectors = chosen.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     centres = np.array(KMeans(k=lists, seed=config.seed, maxIter=10).fit(vectors).clusterCenters())
-    probes = min(config.nprobe, len(centres))
 
     @F.pandas_udf("array<int>")
-    def cells(embeddings: pd.Series, count: pd.Series) -> pd.Series:
+    def cells(embeddings: pd.Series, held: pd.Series, sizes: pd.Series) -> pd.Series:
         given = np.stack(embeddings.to_numpy())
         far = (centres**2).sum(1) - 2 * given @ centres.T
-        wanted = int(count.iloc[0])
-        return pd.Series(list(np.argsort(far, axis=1, kind="stable")[:, :wanted].astype(np.int32)))
-
-    listed = references.withColumn("cell", cells("embedding", F.lit(1))[0])
-    asked = queries.withColumn("cell", F.explode(cells("embedding", F.lit(probes))))
+        out = []
+        for row, own, rows in zip(far, held, sizes, strict=True):
+            order = np.argsort(row[own], kind="stable")
+            enough = int(np.searchsorted(np.cumsum(rows[order]), config.ann_top_k)) + 1
+            out.append(own[order[: max(config.nprobe, enough)]].astype(np.int32))
+        return pd.Series(out)
+
+    @F.pandas_udf("int")
+    def nearest_cell(embeddings: pd.Series) -> pd.Series:
+        return pd.Series(np.argmin((centres**2).sum(1) - 2 * np.stack(embeddings.to_numpy()) @ centres.T, axis=1).astype(np.int32))
+
+    listed = references.withColumn("cell", nearest_cell("embedding"))
+    # A row for each partition, with at most `lists` cells.
+    held = listed.groupBy(on, "cell").agg(F.count("*").alias("n")).groupBy(on).agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("held"))
+    placed = queries.join(held, on)
+    asked = placed.withColumn("cell", F.explode(cells("embedding", F.col("held.cell"), F.col("held.n")))).drop("held")
     pairs = asked.withColumnRenamed("embedding", "own").join(listed, [on, "cell"]).select("q", "r", on, dot(F.col("own"), F.col("embedding")).alias("cosine"))
     return ranked(pairs, config.ann_top_k, on)
 

@@ -202,3 +202,20 @@ def test_whole_run(spark, tmp_path):
     assert matcher.feature_columns(model) == features.MODEL_COLUMNS
     with pytest.raises(ValueError):
         linkage.load_matcher(spark, str(tmp_path / "out"), "other")
+
+
+def test_ivf_finds_k_in_partitions_far_from_the_query(spark):
+    """Partition b lies far from the queries, whose nearest cells hold rows of a alone."""
+    rng = np.random.default_rng(5)
+    near, far = rng.normal(size=(2, 16))
+    cloud = lambda centre, n: [[float(x) for x in v / np.linalg.norm(v)] for v in centre + 0.4 * rng.normal(size=(n, 16))]
+    rows = [(i, "a", v) for i, v in enumerate(cloud(near, 900))] + [(1000 + i, "b", v) for i, v in enumerate(cloud(far, 300))]
+    references = spark.createDataFrame(rows, "r long, part string, embedding array<double>")
+    queries = spark.createDataFrame([(i, p, v) for i, v in enumerate(cloud(near, 20)) for p in "ab"], "q long, part string, embedding array<double>")
+    config = DenseConfig(ann_top_k=5, nlist=16, nprobe=8)
+    pairs = lambda df: {(r["q"], r["part"], r["r"]) for r in df.collect()}
+    exact, got = pairs(knn.exact_top_k(queries, references, 5)), pairs(knn.ivf_top_k(queries, references, config))
+    for part in "ab":
+        wanted = {x for x in exact if x[1] == part}
+        assert len({x for x in got if x[1] == part}) == len(wanted) == 100
+        assert len(wanted & got) >= 0.9 * len(wanted)
