@@ -1,7 +1,9 @@
 """Secret scans by assignment-aware lexing, on top of three base patterns.
 
 Source and configuration text is lexed into name-literal pairs: `name = "literal"`,
-`name: literal`, `"name": "literal"`, `name := "a" + other`. A literal bound to a
+`name: literal`, `"name": "literal"`, `name := "a" + other`, `name: type = "literal"`,
+`table["name"] = "literal"`. Literals may be bare, quoted, triple-quoted or in backticks, with
+a prefix such as r or f. A literal bound to a
 name is a constant; a later assignment from that name carries the literal on, so
 `k = "..."; password = k` marks the literal at its own place. Literals are scored by
 the sensitive words in the names they reach and by their own look.
@@ -44,8 +46,13 @@ _PLACEHOLDER = re.compile(r"(?i)(?:change_?me|example|placeholder|redacted|your[
 
 _NAME = r"[A-Za-z_$][A-Za-z0-9_$.-]*"
 _STRING = r'"(?:[^"\\\n]|\\.)*"' + r"|'(?:[^'\\\n]|\\.)*'"
-_BINDING = re.compile(rf"""(?<![A-Za-z0-9_$.-])(["']?)({_NAME})\1[ \t]*(?::=|=>|[=:](?![=:]))[ \t]*(?=[^\s])""")
+_TYPE = r"[&*]*(?:'[a-z]+[ \t]+)?(?:(?:const|mut|dyn|readonly)[ \t]+)*[A-Za-z_][A-Za-z0-9_.]*(?:::[A-Za-z0-9_.]+)*(?:\[[^\n=]*\]|<[^\n=]*>)?\??"
+_TYPED = rf"[?!]?[ \t]*:[ \t]*({_TYPE}(?:[ \t]*\|[ \t]*{_TYPE})*)[ \t]*=(?![=>])"
+_BINDING = re.compile(rf"""(?<![A-Za-z0-9_$.-])(["'`]?)({_NAME})\1(?:[ \t]*\])?[ \t]*(?:{_TYPED}|:=|=>|[=:](?![=:]))[ \t]*(?=[^\s])""")
 _STRING_AT = re.compile(_STRING)
+_PREFIX_AT = re.compile(r"""[rRbBuUfF@$]{1,2}(?=["'`])""")
+#: Literals over several lines: what opens them, and their rest.
+_LONG = {q: re.compile(rf"(?:[^\\]|\\.)*?{q}", re.DOTALL) for q in ('"""', "'''", "`")}
 _BARE_AT = re.compile(r"""[^\s"'`,;<>(){}\[\]]+""")
 _PLUS_AT = re.compile(r"[ \t]*\+[ \t]*")
 _HUMP = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
@@ -76,17 +83,34 @@ def literal_score(value: str) -> float:
     return min(1.0, entropy / min(4.0, math.log2(n))) * (1.0 if mixed else 0.4)
 
 
+def quoted(text: str, at: int, open_for_ever: set[str]) -> tuple[int, int, int] | None:
+    """Start and end of the string literal that begins here, and where its quotes end."""
+    if prefix := _PREFIX_AT.match(text, at):
+        at = prefix.end()
+    for quotes, rest in _LONG.items():
+        if text.startswith(quotes, at) and quotes not in open_for_ever:
+            if closed := rest.match(text, at + len(quotes)):
+                return at + len(quotes), closed.end() - len(quotes), closed.end()
+            open_for_ever.add(quotes)  # no later one closes either
+    string = _STRING_AT.match(text, at)
+    return string and (string.start() + 1, string.end() - 1, string.end())
+
+
 def lexed(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
     """Name, literals and names on the right hand, for each binding in reading order."""
     out = []
     at = 0
+    open_for_ever: set[str] = set()
     while binding := _BINDING.search(text, at):
         at = binding.end()
         literals, names = [], []
+        inside = None
         while True:  # literal or name, more after each plus
-            if string := _STRING_AT.match(text, at):
-                literals.append((string.start() + 1, string.end() - 1))
-                at = string.end()
+            if string := quoted(text, at, open_for_ever):
+                literals.append(string[:2])
+                if inside is None and "\n" in text[string[0] : string[1]]:
+                    inside = string[0]
+                at = string[2]
             elif bare := _BARE_AT.match(text, at):
                 if _WHOLE_NAME.match(bare[0]):
                     names.append(bare[0])
@@ -99,6 +123,10 @@ def lexed(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
             at = plus.end()
         if literals:
             out.append((binding[2], literals, names))
+            if binding[3] and name_score(binding[3]) > 0.4:  # `log: password = "..."`: a name, or a type that tells
+                out.append((binding[3], literals, names))
+        if inside is not None:
+            at = inside  # bindings within a literal over several lines count too
     return out
 
 

@@ -74,3 +74,28 @@ def test_masking_takes_the_secrets_and_nothing_else(documents):
 def test_empty_table(documents):
     assert secret_scan.scan(documents([])).collect() == []
     assert secret_scan.masked_documents(documents([])).collect() == []
+
+
+@pytest.mark.parametrize(
+    "text,literal",
+    [
+        ('password: str = "S3cr3tValue99"', "S3cr3tValue99"),
+        ('const apiKey: string = "Zk81mQ0vTr55";', "Zk81mQ0vTr55"),
+        ("password: Optional[str] | None = 'S3cr3tValue99'", "S3cr3tValue99"),
+        ("let secret: &'static str = \"S3cr3tValue99\";", "S3cr3tValue99"),
+        ('config["password"] = "hG7#kk2!pQz9"', "hG7#kk2!pQz9"),
+        ("os.environ['DB_SECRET'] = 'S3cr3tValue99'", "S3cr3tValue99"),
+        ('password = """S3cr3tValue99"""', "S3cr3tValue99"),
+        ("db_pwd = '''Zk81\nmQ0vTr55'''", "Zk81\nmQ0vTr55"),
+        ("authKey := `9fQ2-77ab-KKq1`", "9fQ2-77ab-KKq1"),
+        ('db_pwd = b"hG7#kk2!pQz9"', "hG7#kk2!pQz9"),
+        ('note = """one\ndb_pwd = hG7#kk2!pQz9\n"""', "hG7#kk2!pQz9"),
+    ],
+)
+def test_further_forms_of_assignment(text, literal, documents):
+    assert literal in [text[s:e] for s, e, _ in secret_scan.literal_spans(text)]
+    assert literal not in secret_scan.mask(text)
+
+
+def test_quotes_that_never_close_cost_one_search():
+    assert secret_scan.literal_spans('a = """x = `y\n' * 20_000) == []
