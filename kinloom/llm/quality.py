@@ -16,6 +16,7 @@ rules alone decide; null languages share one reference; repeated rows are judged
 
 from __future__ import annotations
 
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Callable
 
@@ -46,14 +47,21 @@ _LONG, _BOOL = T.LongType(), T.BooleanType()
 BASE_FIELDS = [("n_words", _LONG), ("word_chars", _LONG), ("n_symbols", _LONG), ("n_dup_lines", _LONG), ("n_repeat_words", _LONG), ("base_failed", _BOOL)]
 
 
+#: First bytes at which a further script begins: after Latin marks (C2) Latin letters (C3), phonetic and
+#: combining (CA), Greek (CD), Cyrillic (D0), Armenian and Hebrew (D5), Arabic (D8), further Semitic (DC), Indic
+#: and Thai (E0), Georgian, Ethiopic and Khmer (E1), punctuation (E2), kana (E3), Han (E4), Hangul (EA), the rest.
+SCRIPTS = np.array([0xC3, 0xCA, 0xCD, 0xD0, 0xD5, 0xD8, 0xDC, 0xE0, 0xE1, 0xE2, 0xE3, 0xE4, 0xEA, 0xEE, 0xF0])
+LATER = 8 + len(SCRIPTS)
+
+
 def _class_table() -> np.ndarray:
-    """Class of each byte: 0 other, 1 lower, 2 upper, 3 digit, 4 white space, 5 sentence mark,
-    6 symbol, 7 first byte of a longer character, 8 a later byte (not counted)."""
+    """Class of each byte: 0 other, 1 lower, 2 upper, 3 digit, 4 white space, 5 sentence mark, 6 symbol,
+    from 7 on the first bytes of longer characters by script, LATER a later byte (not counted)."""
     table = np.zeros(256, np.uint8)
     for number, characters in enumerate(("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", _SPACES, ".,;:?'\"()-", _SYMBOLS + "!=_~^@{}[]\\/+`"), 1):
         table[np.frombuffer(characters.encode(), np.uint8)] = number
-    table[0xC0:] = 7
-    table[0x80:0xC0] = 8
+    table[0xC0:] = np.searchsorted(SCRIPTS, np.arange(0xC0, 0x100), side="right") + 7
+    table[0x80:0xC0] = LATER
     return table
 
 
@@ -61,12 +69,21 @@ _CLASS = _class_table()
 
 
 def class_counts(raw: bytes) -> np.ndarray:
-    return np.bincount(_CLASS[np.frombuffer(raw, np.uint8)], minlength=9)[:8]
+    return np.bincount(_CLASS[np.frombuffer(raw, np.uint8)], minlength=LATER + 1)[:LATER]
 
 
 def short_words(words: list[bytes]) -> list[bytes]:
-    """The words of at most SHORT letters, lower-cased; bytes stand in for letters beyond a to z."""
-    return [w.lower() for w in words if len(w) <= SHORT and w.isalpha()]
+    """The words of at most SHORT letters of any script, lower-cased; combining marks belong to their letters."""
+    out = []
+    for w in words:
+        if len(w) <= SHORT and w.isalpha():  # a to z alone
+            out.append(w.lower())
+        elif not w.isascii():
+            text = w.decode()
+            letters = text if text.isalpha() else "".join(c for c in text if unicodedata.category(c)[0] != "M")
+            if len(letters) <= SHORT and letters.isalpha():
+                out.append(text.lower().encode())
+    return out
 
 
 def base_rules(text: str) -> tuple[list[bytes], tuple[int, int, int, int, int, bool]]:
@@ -100,7 +117,7 @@ def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 class References:
-    """Histograms of each language: `chars` (languages x 8), `words` (languages x vocabulary + 1)."""
+    """Histograms of each language: `chars` (languages x LATER), `words` (languages x vocabulary + 1)."""
 
     def __init__(self, chars: np.ndarray, vocabulary: list[bytes], words: np.ndarray) -> None:
         self.chars, self.words = chars, words
@@ -122,13 +139,13 @@ class References:
 
 def fit_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> References:
     """Counts over all of docs that pass the base rules; what reaches the driver is at most
-    (MAX_LANGUAGES + 1) x (COMMON_WORDS + 9) rows."""
+    (MAX_LANGUAGES + 1) x (COMMON_WORDS + LATER + 1) rows."""
     lang = F.coalesce(F.col(lang_col), F.lit("")).alias("lang")
     item = T.ArrayType(T.StructType([T.StructField("lang", T.StringType()), T.StructField("item", T.BinaryType()), T.StructField("n", T.LongType())]))
 
     def make() -> Callable:
         def work(texts: pa.Array, langs: pa.Array) -> list:
-            chars: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(8, np.int64))
+            chars: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(LATER, np.int64))
             totals: Counter = Counter()
             counts: dict[str, Counter] = defaultdict(Counter)
             for text, own in zip(texts_of(texts), langs.to_pylist(), strict=True):
@@ -149,17 +166,19 @@ def fit_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
     kind = F.substring(F.col("item"), 1, 1).cast("string")
     rank = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
     largest = counted.where(kind == "n").orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).select("lang")
+    own = F.broadcast(largest.withColumn("own", F.lit(True)))  # MAX_LANGUAGES rows
+    # All others share the language null; a null lang has become the empty one.
+    shared = counted.join(own, "lang", "left").groupBy(F.when(F.col("own"), F.col("lang")).alias("lang"), "item").agg(F.sum("n").alias("n"))
     rows = (
-        counted.withColumn("kind", kind)
+        shared.withColumn("kind", kind)
         .withColumn("rank", F.row_number().over(rank))
         .where(F.col("rank") <= COMMON_WORDS)
-        .join(F.broadcast(largest), "lang", "left_semi")  # MAX_LANGUAGES rows
         .collect()
     )
-    langs = sorted({r["lang"] for r in rows})
+    langs = sorted({r["lang"] for r in rows}, key=lambda x: (x is None, x or ""))
     vocabulary = sorted({bytes(r["item"])[1:] for r in rows if r["kind"] == "w"})
     place = {w: i for i, w in enumerate(vocabulary)}
-    chars, words = np.zeros((len(langs), 8)), np.zeros((len(langs), len(vocabulary) + 1))
+    chars, words = np.zeros((len(langs), LATER)), np.zeros((len(langs), len(vocabulary) + 1))
     for r in rows:
         i, own = langs.index(r["lang"]), bytes(r["item"])[1:]
         if r["kind"] == "c":

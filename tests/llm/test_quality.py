@@ -53,3 +53,20 @@ def test_verdict(documents):
 def test_empty_table(documents):
     docs = documents([])
     assert quality.judge(docs, quality.fit_references(docs)).collect() == []
+
+
+def test_languages_beyond_the_largest_share_a_reference(documents, monkeypatch):
+    monkeypatch.setattr(quality, "MAX_LANGUAGES", 1)
+    large = [(i, " ".join(f"the {w} of" for w in prose(i, 60).split()), "en") for i in range(40)]
+    small = [(100 + i, " ".join(f"и слово{i}{k} не" for k in range(60)), "ru" if i % 2 else "bg") for i in range(10)]
+    docs = documents(large + small)
+    references = quality.fit_references(docs)
+    assert len(references.chars) == 2
+    assert quality.judge(docs, references).where("kept").count() == 50
+
+
+def test_short_words_and_classes_of_any_script():
+    words = "für und слово не και في है 日本 x1 Über langes".split()
+    assert [w.decode() for w in quality.short_words([w.encode() for w in words])] == ["für", "und", "не", "και", "في", "है", "日本", "über"]
+    seen = {int(np.flatnonzero(quality.class_counts(c.encode()))[0]) for c in "éжλאف日あ한ก—"}
+    assert len(seen) == 10
