@@ -10,6 +10,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Spark then deletes the shuffle files of a query when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def get_session(app: str = "kinloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,10 +29,18 @@ def get_session(app: str = "kinloom", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process, so that a local folder is seen by all."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a local one is made only where it is unset (tests)."""
+    """The folder named by spark.checkpoint.dir. Where it is unset, a local master gets a temporary
+    one (tests); on a cluster each executor would write to its own disk, so that is an error."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     if not folder:
+        if not is_local(spark.sparkContext.master):
+            raise ValueError(f"{CHECKPOINT_DIR} must name a folder that driver and executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="kinloom-")
         spark.conf.set(CHECKPOINT_DIR, folder)
     return folder.rstrip("/")
@@ -38,11 +48,31 @@ def shared_folder(spark: SparkSession) -> str:
 
 def staged(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared folder and read it back: lineage ends there, and a lost
-    executor costs a re-read instead of a recomputation."""
+    executor costs a re-read instead of a recomputation. What was shuffled for it goes at once."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kinloom_staged = path
+    return out
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Delete the folders of staged frames that nothing reads any more."""
+    for df in frames:
+        path = df.__dict__.get("_kinloom_staged")
+        if path:
+            context = df.sparkSession.sparkContext
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
