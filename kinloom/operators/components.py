@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinloom.session import staged
+from kinloom.session import staged, unstage
 
 
 def _is_empty(df: DataFrame) -> bool:
@@ -26,14 +26,15 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     )
     labels = None
     while True:
-        hooks = staged(graph.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component")), "hooks")
+        last = hooks = staged(graph.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("component")), "hooks")
         while True:
             ends = hooks.select(F.col("node").alias("component"), F.col("component").alias("further"))
             jumped = staged(
                 hooks.join(ends, "component", "left").select("node", F.coalesce("further", "component").alias("component"), F.col("further").isNotNull().alias("moved")),
                 "jumps",
             )
-            hooks = jumped.select("node", "component")
+            unstage(last)
+            last, hooks = jumped, jumped.select("node", "component")
             if _is_empty(jumped.where("moved")):
                 break
         ends = hooks.select(F.col("node").alias("component"), F.col("component").alias("further"))
@@ -41,9 +42,10 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             labels = hooks
         else:
             moved = labels.join(ends, "component", "left").select("node", F.coalesce("further", "component").alias("component"))
-            labels = staged(moved.unionByName(hooks), "labels")
+            before, labels = labels, staged(moved.unionByName(hooks), "labels")
+            unstage(before)
         lo, hi = (hooks.select(F.col("node").alias(c), F.col("component").alias(f"{c}_end")) for c in ("lo", "hi"))
-        graph = staged(
+        before, graph = graph, staged(
             graph.join(lo, "lo", "left")
             .join(hi, "hi", "left")
             .select(F.coalesce("lo_end", "lo").alias("a"), F.coalesce("hi_end", "hi").alias("b"))
@@ -52,5 +54,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             .distinct(),
             "graph",
         )
+        unstage(before)
+        if labels is not hooks:
+            unstage(last)
         if _is_empty(graph):
+            unstage(graph)
             return labels
