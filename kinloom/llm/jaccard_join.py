@@ -5,7 +5,9 @@ fragments, and a document into the segments that fall in each.
 
 1. In each fragment, count how many of a document's shingles another document has too, and
    sum the counts by document. One with fewer shared shingles than the similarity asks
-   for has no partner; it leaves here. Equal sets are one set from now on.
+   for has no partner; it leaves here. Equal sets are one set from now on. A slice of
+   documents sends a fragment its shingles and whose they are, five bytes each at most, so what
+   is sent does not depend on the number of fragments.
 2. What is left is put in the order of frequency, rarest first. Two similar sets share
    a shingle of their prefixes, and at the first one both have enough left to reach
    the overlap they need. Within such a bucket, sets are first compared with pivots, one
@@ -21,7 +23,8 @@ Defined cases: null or blank text has an empty set, size 0, linked with nothing,
 component; fewer words than a shingle make one shingle; rows with equal sets are
 linked (similarity 1); an empty table gives an empty result; a null id takes part
 and its component is the least non-null id, if any. Shingles are told apart by 64-bit
-hashes, equal sets by 128-bit ones.
+hashes, equal sets by 128-bit ones. Of rows with equal id and text, `distinct_documents`
+keeps the one whose columns have the least hash.
 """
 
 from __future__ import annotations
@@ -41,14 +44,16 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinloom.llm.arrow_map import map_text, text_slices, texts_of
 from kinloom.operators.components import connected_components
-from kinloom.session import ship_package, staged
+from kinloom.session import ship_package, staged, unstage
 
 SHINGLE, SIMILARITY = 5, 80
 PIVOT_ROUNDS = 6
 #: Bytes of text for each fragment of the first step, and at least so many fragments.
 FRAGMENT_BYTES, LEAST_FRAGMENTS = 32 << 20, 64
-#: Fragments of the sets that are compared, and pairs in one cell of that comparison.
-SEGMENTS, CELL_PAIRS = 4, 100_000
+#: Fragments of the sets that are compared; pairs, and bytes of their sets, in one cell of that comparison.
+SEGMENTS, CELL_PAIRS, CELL_BYTES = 4, 100_000, 64 << 20
+#: A bucket with more than one in HOT_SHARE postings (so fewer than HOT_SHARE are) is dealt to SALTS tasks.
+HOT_SHARE, SALTS = 1000, 32
 _A, _M = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SHARED = 1  # added to owner numbers, so that 0 says "several documents of this slice"
 
@@ -86,17 +91,59 @@ def _slice_sets(texts: pa.Array, size: int, seen: dict[bytes, int]) -> list[np.n
 # ---------------------------------------------------------------- 1. shared shingles by fragment
 
 
+def pack_owners(counts: np.ndarray) -> bytes:
+    """How often each owner occurs: a number each, or the gaps from one occurrence to the next
+    (255: 255 further and on), whichever is shorter."""
+    width, total = 1 if counts.max(initial=0) < 256 else 4, int(counts.sum())
+    if len(counts) * width <= total + len(counts) // 255:
+        return bytes([width]) + len(counts).to_bytes(4, "little") + counts.astype(f"<u{width}").tobytes()
+    gaps = np.diff(np.repeat(np.arange(len(counts)), counts), prepend=0)
+    ends = np.cumsum(gaps // 255 + 1)
+    out = np.full(ends[-1] if total else 0, 255, "u1")
+    out[ends - 1] = gaps % 255
+    return bytes([0]) + len(counts).to_bytes(4, "little") + out.tobytes()
+
+
+def unpack_owners(packed: bytes) -> np.ndarray:
+    width, n = packed[0], int.from_bytes(packed[1:5], "little")
+    if width:
+        return np.frombuffer(packed, f"<u{width}", -1, 5).astype(np.int64)
+    gaps = np.frombuffer(packed, "u1", -1, 5)
+    return np.bincount(np.cumsum(gaps, dtype=np.int64)[gaps != 255], minlength=n)
+
+
 def _packed(counts: np.ndarray, codes: np.ndarray) -> bytes:
-    """Shingle counts by owner (0: several), one byte each where they fit, and the shingles in that order."""
-    width = 1 if counts[1:].max() < 256 else 4
-    head = np.array([width, len(counts) - 1, counts[0]], "<u4")
-    return head.tobytes() + counts[1:].astype(f"<u{width}").tobytes() + codes.tobytes()
+    """Shingle counts by owner (0: several) and the shingles in that order."""
+    owners = pack_owners(counts[1:])
+    return np.array([counts[0], len(owners)], "<u4").tobytes() + owners + codes.tobytes()
 
 
 def _unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
-    width, n, several = (int(x) for x in np.frombuffer(payload, "<u4", 3))
-    counts = np.frombuffer(payload, f"<u{width}", n, 12).astype(np.int64)
-    return np.concatenate([[several], counts]), np.frombuffer(payload, "<u4", -1, 12 + n * width)
+    several, n = (int(x) for x in np.frombuffer(payload, "<u4", 2))
+    return np.concatenate([[several], unpack_owners(payload[8 : 8 + n])]), np.frombuffer(payload, "<u4", -1, 8 + n)
+
+
+def slice_payloads(sets: list[np.ndarray], bits: int) -> tuple[list[int], list[bytes], np.ndarray]:
+    """Fragments that get a shingle of these sets, what each gets, and the shingles that each set
+    shares with another of them."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
+    codes = np.concatenate(sets) >> np.uint64(32 - bits)  # fragment number above 32 bits of rest
+    order = np.argsort(codes, kind="stable")
+    codes, owner = codes[order], owner[order]
+    new = np.concatenate([[True], codes[1:] != codes[:-1]])[: len(codes)]
+    # A shingle of several documents of this slice is sent once, for all of them.
+    several = np.zeros(len(codes), bool)
+    several[1:] |= ~new[1:]
+    several[:-1] |= ~new[1:]
+    local = np.bincount(owner[several], minlength=len(sets))
+    codes, owner = codes[new], np.where(several, 0, owner + _SHARED)[new]
+    fragment = (codes >> np.uint64(32)).astype(np.int64)
+    order = np.lexsort((owner, fragment))
+    codes, owner, fragment = codes[order].astype("<u4"), owner[order], fragment[order]
+    edges = np.append(np.flatnonzero(np.diff(fragment, prepend=-1)), len(fragment)).tolist()
+    met = list(zip(edges[:-1], edges[1:], strict=True))
+    return [int(fragment[a]) for a, _ in met], [_packed(np.bincount(owner[a:b], minlength=len(sets) + 1), codes[a:b]) for a, b in met], local
 
 
 def _fragment_rows(docs: DataFrame, size: int, bits: int) -> DataFrame:
@@ -121,35 +168,18 @@ def _fragment_rows(docs: DataFrame, size: int, bits: int) -> DataFrame:
         for given in batches:
             for piece in text_slices(given, 1):
                 sets = _slice_sets(piece.column(1), size, seen)
-                sizes = np.array([len(s) for s in sets], np.int64)
-                owner = np.repeat(np.arange(len(sets), dtype=np.int64), sizes)
-                codes = np.concatenate(sets) >> np.uint64(32 - bits)  # fragment number above 32 bits of rest
-                order = np.argsort(codes, kind="stable")
-                codes, owner = codes[order], owner[order]
-                new = np.concatenate([[True], codes[1:] != codes[:-1]])[: len(codes)]
-                # A shingle of several documents of this slice is sent once, for all of them.
-                several = np.zeros(len(codes), bool)
-                several[1:] |= ~new[1:]
-                several[:-1] |= ~new[1:]
-                local = np.bincount(owner[several], minlength=len(sets))
-                codes, owner = codes[new], np.where(several, 0, owner + _SHARED)[new]
-                edges = np.searchsorted(codes >> np.uint64(32), np.arange((1 << bits) + 1, dtype=np.uint64))
-                rows = []
-                for f in range(1 << bits):
-                    own, rest = owner[edges[f] : edges[f + 1]], codes[edges[f] : edges[f + 1]].astype("<u4")
-                    by_owner = np.argsort(own, kind="stable")
-                    rows.append(_packed(np.bincount(own, minlength=len(sets) + 1), rest[by_owner]))
+                fragments, rows, local = slice_payloads(sets, bits)
                 n = len(rows)
                 marks = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
                 nothing = [None] * n
                 columns = [
                     [first + count] * (n + 1),
-                    [*range(n), -1],
-                    [*rows, local.astype("<u4").tobytes()],
+                    [*fragments, -1],
+                    [*rows, pack_owners(local)],
                     [*nothing, piece.column(0)],
                     [*nothing, piece.column(2)],
                     [*nothing, piece.column(3)],
-                    [*nothing, sizes.tolist()],
+                    [*nothing, [len(x) for x in sets]],
                     [*nothing, marks],
                 ]
                 count += 1
@@ -184,7 +214,7 @@ def _shared_in_fragments(rows: DataFrame) -> DataFrame:
             owner = np.repeat(np.arange(len(counts)), counts)
             flags = shared[at : at + len(own)]
             at += len(own)
-            out.append(np.bincount(owner[flags], minlength=len(counts))[_SHARED:].astype("<u4").tobytes())
+            out.append(pack_owners(np.bincount(owner[flags], minlength=len(counts))[_SHARED:]))
         n = len(group)
         values = [[b for b, _ in group], [fragment] * n, out]
         return pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, target, strict=False)] + [pa.nulls(n, f.type) for f in list(target)[3:]], schema=target)
@@ -232,7 +262,7 @@ def document_sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> Dat
 
     def add_up(table: pa.Table) -> pa.Table:
         info = table.filter(pc.less(table["fragment"], 0))
-        shared = sum(np.frombuffer(p, "<u4").astype(np.int64) for p in table["payload"].to_pylist())
+        shared = sum(unpack_owners(p) for p in table["payload"].to_pylist())
         columns = [info[c].combine_chunks().flatten() for c in ("ids", "keys", "keys2", "sizes", "sets")]
         return pa.Table.from_arrays([c.cast(f.type) for c, f in zip([*columns, pa.array(shared)], target, strict=True)], schema=target)
 
@@ -282,6 +312,23 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
     return rows.select(F.col("o.h").alias("h"), "sid", "n", (F.col("n") - F.col("single") - F.col("pos")).alias("rest"), grade.alias("class"))
 
 
+def _hot_buckets(postings: DataFrame) -> list[int]:
+    """Buckets of more than one in HOT_SHARE postings; fewer than HOT_SHARE can be."""
+    total = postings.count()
+    return [r["h"] for r in postings.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") * HOT_SHARE > max(total, 100 * HOT_SHARE)).select("h").collect()]
+
+
+def _dealt(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """rows with a salt by which those of a hot bucket are dealt out."""
+    return rows.withColumn("salt", F.when(F.col("h").isin(hot), F.pmod(F.xxhash64("sid"), F.lit(SALTS))).otherwise(F.lit(0).cast("long")))
+
+
+def _for_all(rows: DataFrame, hot: list[int]) -> DataFrame:
+    """rows once for each salt of their bucket."""
+    salts = F.when(F.col("h").isin(hot), F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).otherwise(F.array(F.lit(0).cast("long")))
+    return rows.withColumn("salt", F.explode(salts))
+
+
 def _may_link(a: str, b: str, percent: int) -> Column:
     """Sizes allow the similarity and both have enough shingles left for the overlap it needs."""
     needed = (F.col(f"{a}.n") + F.col(f"{b}.n")) * percent  # of (100 + percent) parts
@@ -293,30 +340,31 @@ def _may_link(a: str, b: str, percent: int) -> Column:
     )
 
 
-def _pivot_pairs(postings: DataFrame, tried: DataFrame | None, turn: int, percent: int) -> DataFrame:
+def _pivot_pairs(postings: DataFrame, tried: DataFrame | None, turn: int, percent: int, hot: list[int]) -> DataFrame:
     """2^turn new pairs for each set: with the first, by this round's hash, of the pivots of its
     buckets, in its own and the next smaller class. A bucket has 2^turn pivots; the hash is the
     same in all buckets, so a group of copies shares its pivots."""
     count, first = 1 << turn, lambda sid: F.xxhash64(sid, F.lit(turn))
     at = F.row_number().over(Window.partitionBy("h", "class").orderBy(first("sid"), "sid"))
-    pivots = postings.withColumn("at", at).where(F.col("at") <= count).select("h", "class", "sid", "n", "rest", "component").alias("y")
-    asked = postings.select("h", "sid", "n", "rest", "component", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class")).alias("x")
-    met = asked.join(pivots, (F.col("x.h") == F.col("y.h")) & (F.col("x.class") == F.col("y.class")) & _may_link("x", "y", percent))
-    met = met.select(F.col("x.sid").alias("own"), F.col("y.sid").alias("pivot")).distinct()
+    pivots = _for_all(postings.withColumn("at", at).where(F.col("at") <= count).select("h", "class", "sid", "n", "rest", "component"), hot).alias("y")
+    asked = _dealt(postings.select("h", "sid", "n", "rest", "component", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class")), hot).alias("x")
+    same = (F.col("x.h") == F.col("y.h")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.class") == F.col("y.class"))
+    met = asked.join(pivots, same & _may_link("x", "y", percent))
+    met = met.select(F.col("x.sid").alias("own"), F.col("y.sid").alias("pivot"), (F.col("x.n") + F.col("y.n")).alias("size")).distinct()
     if tried is not None:
         done = tried.select(F.col("a").alias("own"), F.col("b").alias("pivot"))
         done = done.unionByName(tried.select(F.col("b").alias("own"), F.col("a").alias("pivot")))
         met = met.join(done, ["own", "pivot"], "left_anti")
     nearest = F.row_number().over(Window.partitionBy("own").orderBy(first("pivot"), "pivot"))
     chosen = met.withColumn("at", nearest).where(F.col("at") <= count)
-    return chosen.select(F.least("own", "pivot").alias("a"), F.greatest("own", "pivot").alias("b")).distinct()
+    return chosen.select(F.least("own", "pivot").alias("a"), F.greatest("own", "pivot").alias("b"), "size").distinct()
 
 
-def _rest_pairs(postings: DataFrame, percent: int) -> DataFrame:
+def _rest_pairs(postings: DataFrame, percent: int, hot: list[int]) -> DataFrame:
     """All pairs of a bucket that are not connected yet."""
-    x, y = postings.alias("x"), postings.alias("y")
-    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.sid") < F.col("y.sid")) & _may_link("x", "y", percent))
-    return met.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b")).distinct()
+    x, y = _dealt(postings, hot).alias("x"), _for_all(postings, hot).alias("y")
+    met = x.join(y, (F.col("x.h") == F.col("y.h")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.sid") < F.col("y.sid")) & _may_link("x", "y", percent))
+    return met.select(F.col("x.sid").alias("a"), F.col("y.sid").alias("b"), (F.col("x.n") + F.col("y.n")).alias("size")).distinct()
 
 
 # ---------------------------------------------------------------- 3. overlaps by fragment
@@ -343,10 +391,12 @@ def _segments(sets: DataFrame) -> DataFrame:
 def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """The pairs whose summed overlaps reach the similarity.
 
-    Pairs are dealt to cells of about CELL_PAIRS, so a set of many pairs stands in many. A cell
+    Pairs are dealt to cells of about CELL_PAIRS, or CELL_BYTES of their sets, so a set of many pairs
+    stands in many. A cell
     meets its sets' segments fragment by fragment; the partial counts of a cell are
     one vector for each fragment, and the sum of these decides."""
-    cells = 1 + pairs.count() // CELL_PAIRS
+    n, size = pairs.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    cells = 1 + max(n // CELL_PAIRS, 8 * size // CELL_BYTES)
     dealt = pairs.withColumn("cell", F.pmod(F.hash("a", "b"), F.lit(cells)))
     members = dealt.select("cell", F.col("a").alias("sid")).unionByName(dealt.select("cell", F.col("b").alias("sid"))).distinct()
     left = segments.join(members, "sid").select("fragment", "cell", "sid", "n", "segment")
@@ -395,16 +445,18 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
     sets = staged(_sets_of(docs, wanted, text_col, size), "join-sets")
     segments = staged(_segments(sets), "join-segments")
     open_ = staged(_prefixes(sets, percent).withColumn("component", F.col("sid")), "join-prefixes")
-    links = tried = components = None
+    tried = components = None
+    hot = _hot_buckets(open_)
     turn = 0
     while turn <= PIVOT_ROUNDS:
         # Buckets whose sets are all connected are done.
         mixed = open_.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("h")
-        open_ = staged(open_.join(mixed, "h", "left_semi"), "join-open")
+        before, open_ = open_, staged(_dealt(open_, hot).join(_for_all(mixed, hot), ["h", "salt"], "left_semi").drop("salt"), "join-open")
+        unstage(before)
         if turn < PIVOT_ROUNDS:
-            pairs = _pivot_pairs(open_, tried, turn, percent)
+            pairs = _pivot_pairs(open_, tried, turn, percent, hot)
         else:
-            pairs = _rest_pairs(open_, percent)
+            pairs = _rest_pairs(open_, percent, hot)
             pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         pairs = staged(pairs, "join-pairs")
         if not pairs.head(1):  # no pivot is left to try: compare the rest, if any
@@ -413,14 +465,34 @@ def _rooted(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = staged(_linked(pairs, segments, percent), "join-links")
         if found.head(1):
-            links = found if links is None else links.unionByName(found)
-            components = connected_components(links)
-            moved = components.select(F.col("node").alias("sid"), F.col("component").alias("end"))
-            open_ = open_.join(moved, "sid", "left").select("h", "sid", "n", "rest", "class", F.coalesce("end", "sid").alias("component"))
+            components, moved = _merged(components, found)
+            before, open_ = open_, staged(open_.join(moved, open_["component"] == moved["node"], "left").select("h", "sid", "n", "rest", "class", F.coalesce("end", "component").alias("component")), "join-open")
+            unstage(before)
+        unstage(found)
         turn += 1
+    unstage(sets, segments, open_)
     return base, None if components is None else components.toDF("sid", "root")
 
 
+def _merged(components: DataFrame | None, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, component) of all sets that are not the least of theirs, and how components moved.
+
+    Only new links, between the components as they were, are looked at."""
+    if components is not None:
+        for c in ("a", "b"):
+            was = components.select(F.col("node").alias(c), F.col("component").alias("root"))
+            links = links.join(was, c, "left").withColumn(c, F.coalesce("root", c)).drop("root")
+    moves = connected_components(links.where("a <> b"))
+    ends = moves.select("node", F.col("component").alias("end"))
+    if components is None:
+        return moves, ends
+    further = ends.withColumnRenamed("node", "component")
+    kept = components.join(further, "component", "left").select("node", F.coalesce("end", "component").alias("component"))
+    out = staged(kept.unionByName(moves), "join-components")
+    unstage(components)
+    return out, ends
+
+
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, percent: int = SIMILARITY) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     base, linked = _rooted(docs, id_col, text_col, size, percent)
@@ -450,5 +522,5 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     words = F.coalesce(F.col(text_col), F.lit("")).rlike("[^ \\t\\n\\x0B\\f\\r]")
     keyed = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), words.alias("words"), *text_keys(text_col))
     meets = keyed["id"].eqNullSafe(kept["__doc_id"]) & (keyed["key"] == kept["__key"]) & (keyed["key2"] == kept["__key2"])
-    single = keyed.where("words").join(kept, meets, "left_semi").dropDuplicates(["id", "key", "key2"])
-    return single.unionByName(keyed.where("NOT words")).select("row.*")
+    single = keyed.where("words").join(kept, meets, "left_semi").groupBy("id", "key", "key2").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return single.select("row.*").unionByName(keyed.where("NOT words").select("row.*"))

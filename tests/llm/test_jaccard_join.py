@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+
 from kinloom.llm import jaccard_join
 from tests.llm.conftest import prose
 
@@ -84,3 +86,38 @@ def test_many_copies_make_few_pairs(documents):
     rows = [(i, " ".join([*base[:-1], f"end{i}"])) for i in range(300)]
     got = jaccard_join.join_components(documents(rows)).collect()
     assert {r["component_id"] for r in got} == {0}
+
+
+def test_payloads_do_not_grow_with_the_fragments():
+    chance = np.random.default_rng(0)
+    sets = [np.unique(chance.integers(0, 1 << 63, 250, dtype=np.uint64) * np.uint64(2)) for _ in range(4000)]
+    size = {}
+    for bits in (6, 15):
+        fragments, payloads, local = jaccard_join.slice_payloads(sets, bits)
+        assert len(set(fragments)) == len(fragments) and local.sum() < 50  # few of 38 bits meet by chance
+        size[bits] = sum(map(len, payloads))
+    assert size[15] <= 1.3 * size[6]
+
+
+def test_owners_round_trip():
+    chance = np.random.default_rng(1)
+    for n in (1, 5, 300, 5000):
+        for share in (0.0, 0.001, 0.3, 1.0):
+            counts = np.where(chance.random(n) < share, chance.integers(1, 400, n), 0)
+            packed = jaccard_join.pack_owners(counts)
+            assert jaccard_join.unpack_owners(packed).tolist() == counts.tolist()
+            assert len(packed) <= 5 + min(4 * n, counts.sum() + n // 255 + 1)
+
+
+def test_hot_buckets_are_salted(documents, monkeypatch):
+    """The components are the same where every bucket counts as hot."""
+    monkeypatch.setattr(jaccard_join, "_hot_buckets", lambda postings: [r["h"] for r in postings.select("h").distinct().collect()])
+    rows = variants(11)
+    got = jaccard_join.join_components(documents(rows)).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute(rows)
+
+
+def test_equal_rows_with_other_columns_keep_the_same_one(documents):
+    docs = documents([(1, prose(3, 50), "en"), (1, prose(3, 50), "de"), (1, prose(3, 50), None)])
+    kept = {jaccard_join.distinct_documents(docs.repartition(n)).first()["lang"] for n in (1, 2, 3)}
+    assert len(kept) == 1
