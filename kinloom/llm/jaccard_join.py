@@ -91,36 +91,54 @@ def _slice_sets(texts: pa.Array, size: int, seen: dict[bytes, int]) -> list[np.n
 # ---------------------------------------------------------------- 1. shared shingles by fragment
 
 
+def _short(x: int) -> bytes:
+    """A number in as few bytes as it needs, seven bits in each."""
+    out = bytearray()
+    while x > 127:
+        out.append(x & 127 | 128)
+        x >>= 7
+    return bytes([*out, x])
+
+
+def _read_short(packed: bytes, at: int) -> tuple[int, int]:
+    x = shift = 0
+    while packed[at] > 127:
+        x |= (packed[at] & 127) << shift
+        at, shift = at + 1, shift + 7
+    return x | packed[at] << shift, at + 1
+
+
 def pack_owners(counts: np.ndarray) -> bytes:
     """How often each owner occurs: a number each, or the gaps from one occurrence to the next
     (255: 255 further and on), whichever is shorter."""
     width, total = 1 if counts.max(initial=0) < 256 else 4, int(counts.sum())
     if len(counts) * width <= total + len(counts) // 255:
-        return bytes([width]) + len(counts).to_bytes(4, "little") + counts.astype(f"<u{width}").tobytes()
+        return bytes([width]) + _short(len(counts)) + counts.astype(f"<u{width}").tobytes()
     gaps = np.diff(np.repeat(np.arange(len(counts)), counts), prepend=0)
     ends = np.cumsum(gaps // 255 + 1)
     out = np.full(ends[-1] if total else 0, 255, "u1")
     out[ends - 1] = gaps % 255
-    return bytes([0]) + len(counts).to_bytes(4, "little") + out.tobytes()
+    return bytes([0]) + _short(len(counts)) + out.tobytes()
 
 
 def unpack_owners(packed: bytes) -> np.ndarray:
-    width, n = packed[0], int.from_bytes(packed[1:5], "little")
+    width, (n, at) = packed[0], _read_short(packed, 1)
     if width:
-        return np.frombuffer(packed, f"<u{width}", -1, 5).astype(np.int64)
-    gaps = np.frombuffer(packed, "u1", -1, 5)
+        return np.frombuffer(packed, f"<u{width}", n, at).astype(np.int64)
+    gaps = np.frombuffer(packed, "u1", -1, at)
     return np.bincount(np.cumsum(gaps, dtype=np.int64)[gaps != 255], minlength=n)
 
 
 def _packed(counts: np.ndarray, codes: np.ndarray) -> bytes:
     """Shingle counts by owner (0: several) and the shingles in that order."""
     owners = pack_owners(counts[1:])
-    return np.array([counts[0], len(owners)], "<u4").tobytes() + owners + codes.tobytes()
+    return _short(int(counts[0])) + _short(len(owners)) + owners + codes.tobytes()
 
 
 def _unpacked(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
-    several, n = (int(x) for x in np.frombuffer(payload, "<u4", 2))
-    return np.concatenate([[several], unpack_owners(payload[8 : 8 + n])]), np.frombuffer(payload, "<u4", -1, 8 + n)
+    several, at = _read_short(payload, 0)
+    n, at = _read_short(payload, at)
+    return np.concatenate([[several], unpack_owners(payload[at : at + n])]), np.frombuffer(payload, "<u4", -1, at + n)
 
 
 def slice_payloads(sets: list[np.ndarray], bits: int) -> tuple[list[int], list[bytes], np.ndarray]:
