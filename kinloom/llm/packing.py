@@ -50,7 +50,8 @@ def _byte_letters() -> list[str]:
 
 
 class WordTokenizer:
-    """Ids by the tokenizer, a word at a time: its rules never look across white space.
+    """Ids by the tokenizer, a word at a time: its rules never look across white space. A text
+    with one of the vocabulary's added tokens is given to the tokenizer as a whole.
 
     Ids come packed as 16-bit numbers where the vocabulary allows, else as 32-bit ones.
     """
@@ -59,7 +60,8 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        # Added tokens stand for themselves wherever they occur, across the rules for words.
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.model = self.whole.model
         self.dtype = np.dtype("<u2" if self.whole.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         self.code = "H" if self.dtype.itemsize == 2 else "I"
@@ -87,6 +89,8 @@ class WordTokenizer:
 
     def encode(self, text: str) -> bytes:
         """The packed ids of a whole text with the end id."""
+        if any(token in text for token in self.added):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, self.dtype).tobytes() + self.end
         if not text.encode().translate(None, _SIMPLE) and not any(run in text for run in _RUNS):
             words, cache, make = text.lower().replace("\n", " ").replace(".", " . ").replace(",", " , ").split(" "), self.parts, self._part
         else:

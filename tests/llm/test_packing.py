@@ -17,24 +17,23 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return lambda text: [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
 
 
 def noise(seed):
     chance = random.Random(seed)
-    bits = ["the", "Ünï", " ", "  ", "\n", "\t", "123", "'s", "don't", "'LL", "日本", " ", "...", ",.", "!?", "\U0001f600", "<|endoftext|>", "é", "ẞ", "×", "İ", "ﬁ", "é", "\x00"]
+    bits = ["the", "Ünï", " ", "  ", "\n", "\t", "123", "'s", "don't", "'LL", "日本", " ", "...", ",.", "!?", "\U0001f600", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "é", "ẞ", "×", "İ", "ﬁ", "é", "\x00"]
     return "".join(chance.choice(bits) for _ in range(chance.randrange(0, 50)))
 
 
 def test_encoder_is_the_library(library):
     encoder = packing.WordTokenizer(PATH, 1)
-    for text in [noise(i) for i in range(3000)] + ["", "Plain words. And, again", "a" * 3000, ". , .,"]:
+    for text in [noise(i) for i in range(3000)] + ["", "Plain words. And, again", "a" * 3000, ". , .,", "a<|endoftext|>b", "<|startoftext|>", "x <|endoftext|> y"]:
         assert np.frombuffer(encoder.encode(text), encoder.dtype).tolist() == library(text), repr(text)
 
 
 def test_pieces(documents, edge_rows, library):
-    rows = [r for r in edge_rows if r[0] is not None] + [(100 + i, noise(i)) for i in range(200)]
+    rows = [r for r in edge_rows if r[0] is not None] + [(100 + i, noise(i)) for i in range(200)] + [(400, "a <|endoftext|> b")]
     pieces = packing.pack(documents(rows).repartition(3), PATH, with_ids=True).collect()
     # Repeated rows have equal ids and texts, so the pieces of one id hold whole copies.
     by_sequence, by_doc = defaultdict(list), defaultdict(list)
@@ -61,5 +60,10 @@ def test_pieces(documents, edge_rows, library):
             assert [p["start"] for p in own] == np.cumsum([0, *(p["length"] for p in own[:-1])]).tolist()
 
 
+def test_null_ids_are_packed(documents, edge_rows, library):
+    pieces = packing.pack(documents(edge_rows), PATH).where("doc_id IS NULL").collect()
+    assert sum(p["length"] for p in pieces) == sum(len(library(t)) for i, t in edge_rows if i is None)
+
+
 def test_empty_table(documents):
     assert packing.pack(documents([]), PATH).collect() == []

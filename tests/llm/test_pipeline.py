@@ -26,7 +26,6 @@ def test_stages(spark):
     assert secret_scan.scan(docs).where("n_assign + n_access + n_hex > 0").count() == 0
     assert docs.where("n_chars <> length(text)").count() == 0
     tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    tokenizer.encode_special_tokens = True
     expected = sum(len(tokenizer.encode(r["text"], add_special_tokens=False).ids) + 1 for r in docs.collect())
     pieces = corpus_pipeline.run(spark, SF).collect()
     assert sum(r["length"] for r in pieces) == expected
