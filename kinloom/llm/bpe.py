@@ -56,8 +56,8 @@ WITH RECURSIVE state(piece, pos, after, tok, nxt, live) AS (
    FROM state s LEFT JOIN best b ON b.piece = s.piece LEFT JOIN dropped d ON d.piece = s.piece
    WHERE s.live AND (b.cut IS NULL OR s.pos <> b.cut & 65535))
 )
-SELECT piece, string_agg(shown, ',') AS tokens
-FROM (SELECT piece, shown FROM state JOIN vocabulary USING (tok) WHERE NOT live ORDER BY piece, pos)
+SELECT piece, string_agg(shown, ',' ORDER BY pos) AS tokens
+FROM state JOIN vocabulary USING (tok) WHERE NOT live
 GROUP BY piece ORDER BY piece
 """
 
