@@ -13,25 +13,26 @@ not held out and not learned from; repeated rows get the same answer.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinloom.llm.arrow_map import map_text, texts_of, with_row
 
-#: The bound on labelled rows: so many documents a language, windows a document, languages.
-TRAIN_ROWS, TRAIN_WINDOWS, MAX_LANGUAGES = 300, 8, 64
+#: The bound on labelled rows: so many documents a language, in all, and windows a document. Where
+#: there are more languages than TRAIN_TOTAL / TRAIN_ROWS, each gets fewer documents.
+TRAIN_ROWS, TRAIN_TOTAL, TRAIN_WINDOWS = 300, 19_200, 8
 WINDOW, WIDTHS, FILTERS, EMBEDDING, BYTES = 256, (2, 3, 4), 16, 8, 64
 EPOCHS, BATCH, RATE, SEED = 5, 32, 0.004, 7
 #: Windows computed at a time.
 CHUNK = 256
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def _fold_table() -> np.ndarray:
@@ -153,19 +154,23 @@ def remainder(id_col: str, modulus: int) -> Column:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteCNN | None:
     """Learn from labelled rows whose id's checksum is not held out; None without any.
 
-    At most MAX_LANGUAGES x TRAIN_ROWS x TRAIN_WINDOWS windows of WINDOW bytes reach the
-    driver (rows are chosen by a hash, so the count is near that bound, and cut at it)."""
+    At most TRAIN_TOTAL x TRAIN_WINDOWS windows of WINDOW bytes reach the driver. A language's
+    documents are those of the least hashes of id and text, whatever the partitions; of more
+    than TRAIN_TOTAL languages, the largest give one document each."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (remainder(id_col, 4) != 2))
-    sizes = labelled.groupBy(F.col(lang_col).alias("l")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(MAX_LANGUAGES).collect()
+    sizes = labelled.groupBy(F.col(lang_col).alias("l")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(TRAIN_TOTAL).collect()
     if not sizes:
         return None
-    spark = docs.sparkSession
-    shares = spark.createDataFrame([(r["l"], min(1.0, TRAIN_ROWS / r["n"])) for r in sizes], "l string, share double")
-    drawn = F.pmod(F.xxhash64(F.col(id_col), F.lit(SEED)), F.lit(1_000_000)) < F.col("share") * 1_000_000
-    sample = labelled.join(F.broadcast(shares), F.col(lang_col) == F.col("l")).where(drawn)
+    spark, wanted, span = docs.sparkSession, min(TRAIN_ROWS, TRAIN_TOTAL // len(sizes)), 1 << 40
+    # Twice as many as wanted are drawn by hash, or all, before they are ranked.
+    shares = spark.createDataFrame([(r["l"], span if r["n"] <= 20 * wanted else int(span * 2 * wanted / r["n"])) for r in sizes], "l string, share long")
+    order = F.xxhash64(F.col(id_col), F.col(text_col), F.lit(SEED))
+    drawn = labelled.select(F.col(lang_col).alias("l"), F.col(text_col).alias("text"), order.alias("order")).join(F.broadcast(shares), "l").where(F.pmod("order", F.lit(span)) < F.col("share"))
+    ranked = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("l").orderBy("order")))
+    sample = ranked.where(F.col("rank") <= wanted).select("l", "text")
 
     def make() -> Callable:
-        def work(texts: pa.Array, _langs: pa.Array) -> list:
+        def work(texts: pa.Array) -> list:
             out = []
             for text in texts_of(texts):
                 found = windows_of(text)
@@ -175,8 +180,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
         return work
 
-    cut = map_text(sample, make, [F.col(text_col), F.col(lang_col)], [("windows", T.BinaryType())], keep=[F.col(lang_col).alias("l")])
-    rows = sorted((r["l"], bytes(r["windows"])) for r in cut.limit(2 * TRAIN_ROWS * len(sizes)).collect())
+    cut = map_text(sample, make, [F.col("text")], [("windows", T.BinaryType())], keep=[F.col("l")])
+    rows = sorted((r["l"], bytes(r["windows"])) for r in cut.collect())
     languages = sorted({lang for lang, _ in rows})
     if not languages:
         return None

@@ -58,3 +58,21 @@ def test_no_labels_and_empty_table(documents):
     assert langid.train(docs) is None
     assert {r["lang_pred"] for r in langid.identify(docs, None).collect()} == {"und"}
     assert langid.identify(documents([]), None).collect() == []
+
+
+def test_only_letters_make_a_language(documents):
+    rows = [(i, "plain words of a text " * 10, "en") for i in range(20)]
+    texts = {100: "² ½", 101: "Ⅷ 12", 102: "_ -", 103: "ª", 104: "日本", 105: "é"}
+    docs = documents(rows + [(i, t, None) for i, t in texts.items()])
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs, langid.train(docs)).collect()}
+    assert [got[i] for i in texts] == ["und", "und", "und", "en", "en", "en"]
+
+
+def test_many_languages_are_all_learned(documents, monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_TOTAL", 140)
+    rows = [(i, f"word{chr(97 + i % 7)}{i % 70} " * 20, f"l{i % 70:02}") for i in range(700)]
+    docs = documents(rows)
+    model = langid.train(docs)
+    assert model.languages == [f"l{k:02}" for k in range(70)]
+    again = langid.train(docs.repartition(5))
+    assert all((a == b).all() for a, b in zip(model.dense, again.dense, strict=True))
