@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinloom.llm.arrow_map import map_text, texts_of, with_row
+from kinloom.session import staged, unstage
 
 #: A word is common if it is among so many most frequent short words of its language.
 COMMON_WORDS = 60
@@ -162,7 +163,8 @@ def fit_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
         return work
 
     parts = map_text(docs, make, [F.col(text_col), lang], [("found", item)])
-    counted = parts.select(F.explode("found").alias("f")).groupBy("f.lang", "f.item").agg(F.sum("f.n").alias("n"))
+    # Read twice below; the texts are counted once.
+    counted = staged(parts.select(F.explode("found").alias("f")).groupBy("f.lang", "f.item").agg(F.sum("f.n").alias("n")), "quality-counts")
     kind = F.substring(F.col("item"), 1, 1).cast("string")
     rank = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
     largest = counted.where(kind == "n").orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).select("lang")
@@ -175,6 +177,7 @@ def fit_references(docs: DataFrame, text_col: str = "text", lang_col: str = "lan
         .where(F.col("rank") <= COMMON_WORDS)
         .collect()
     )
+    unstage(counted)
     langs = sorted({r["lang"] for r in rows}, key=lambda x: (x is None, x or ""))
     vocabulary = sorted({bytes(r["item"])[1:] for r in rows if r["kind"] == "w"})
     place = {w: i for i, w in enumerate(vocabulary)}
