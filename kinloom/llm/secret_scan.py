@@ -2,7 +2,7 @@
 
 Source and configuration text is lexed into name-literal pairs: `name = "literal"`,
 `name: literal`, `"name": "literal"`, `name := "a" + other`, `name: type = "literal"`,
-`table["name"] = "literal"`. Literals may be bare, quoted, triple-quoted or in backticks, with
+`table["name"] = "literal"`, `<name>literal</name>`. Literals may be bare, quoted, triple-quoted or in backticks, with
 a prefix such as r or f. A literal bound to a
 name is a constant; a later assignment from that name carries the literal on, so
 `k = "..."; password = k` marks the literal at its own place. Literals are scored by
@@ -57,6 +57,7 @@ _BARE_AT = re.compile(r"""[^\s"'`,;<>(){}\[\]]+""")
 _PLUS_AT = re.compile(r"[ \t]*\+[ \t]*")
 _HUMP = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _WHOLE_NAME = re.compile(_NAME + r"\Z")
+_ELEMENT = re.compile(rf"<({_NAME})(?:[ \t][^<>\n]*)?>[ \t]*([^<>\n]*[^<> \t\n])[ \t]*</\1>")
 
 
 def base_spans(text: str) -> list[Span]:
@@ -75,7 +76,7 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str) -> float:
     """Entropy of the characters in relation to what a random literal of this length has."""
-    if len(value) < LEAST_LENGTH or _PLACEHOLDER.match(value) or not value.isascii():
+    if len(value) < LEAST_LENGTH or _PLACEHOLDER.match(value):
         return 0.0
     n = len(value)
     entropy = -sum(c / n * math.log2(c / n) for c in Counter(value).values())
@@ -96,9 +97,9 @@ def quoted(text: str, at: int, open_for_ever: set[str]) -> tuple[int, int, int]
     return string and (string.start() + 1, string.end() - 1, string.end())
 
 
-def lexed(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
-    """Name, literals and names on the right hand, for each binding in reading order."""
-    out = []
+def lexed(text: str) -> list[tuple[str, list[tuple[int, int]], list[tuple[int, int]]]]:
+    """Name, literals and, among these, the bare ones that may be names, for each binding in reading order."""
+    out = [(m[1], [m.span(2)], []) for m in _ELEMENT.finditer(text)] if "</" in text else []
     at = 0
     open_for_ever: set[str] = set()
     while binding := _BINDING.search(text, at):
@@ -113,7 +114,7 @@ def lexed(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
                 at = string[2]
             elif bare := _BARE_AT.match(text, at):
                 if _WHOLE_NAME.match(bare[0]):
-                    names.append(bare[0])
+                    names.append(bare.span())
                 literals.append(bare.span())
                 at = bare.end()
             else:
@@ -132,13 +133,13 @@ def lexed(text: str) -> list[tuple[str, list[tuple[int, int]], list[str]]]:
 
 def literal_spans(text: str) -> list[Span]:
     """Literals that reach a sensitive name, by themselves or through constants."""
-    if "=" not in text and ":" not in text:
+    if "=" not in text and ":" not in text and "</" not in text:
         return []
     constants: dict[str, list[tuple[int, int]]] = {}
     found: set[Span] = set()
     for name, literals, names in lexed(text):
-        bound = [span for other in names for span in constants.get(other, ())]
-        own = [s for s in literals if text[s[0] : s[1]] not in constants] + bound
+        known = {span: constants[text[span[0] : span[1]]] for span in names if text[span[0] : span[1]] in constants}
+        own = [s for s in literals if s not in known] + [s for spans in known.values() for s in spans]
         constants[name] = own
         told = name_score(name)
         for start, end in own:
@@ -157,7 +158,7 @@ def _make() -> Callable:
         filled = pc.fill_null(texts, "")
         # Linear-time automata pick the few texts that the matchers need to see.
         maybe = pc.or_(pc.match_substring_regex(filled, r"(?i)password|passwd|secret|token|api_?key"), pc.match_substring_regex(filled, r"AKIA|[0-9a-f]{32}"))
-        maybe = pc.or_(maybe, pc.match_substring_regex(filled, "[=:]")).to_pylist()
+        maybe = pc.or_(maybe, pc.match_substring_regex(filled, "[=:]|</")).to_pylist()
         rows = []
         for text, look in zip(texts_of(texts), maybe, strict=True):
             if not look:

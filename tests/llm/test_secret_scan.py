@@ -99,3 +99,23 @@ def test_further_forms_of_assignment(text, literal, documents):
 
 def test_quotes_that_never_close_cost_one_search():
     assert secret_scan.literal_spans('a = """x = `y\n' * 20_000) == []
+
+
+def test_quoted_text_is_no_name():
+    """A literal that reads like an earlier constant's name is still a literal."""
+    text = 'LetMeIn42x = "a"\npassword = "LetMeIn42x"'
+    at = text.rindex("LetMeIn42x")
+    assert (at, at + 10, "literal") in secret_scan.literal_spans(text)
+    bare = 'key0 = "Zx81-kQ7p-33"\npassword = key0'
+    assert [bare[a:b] for a, b, _ in secret_scan.literal_spans(bare)] == ["Zx81-kQ7p-33"]
+
+
+def test_other_letters_and_elements():
+    for text, value in [
+        ('password = "Geheimnis-über-42"', "Geheimnis-über-42"),
+        ("<password>Tr0ub4dor&3x</password>", "Tr0ub4dor&3x"),
+        ('<db_secret env="x"> 9f8Kq-zz71 </db_secret>', "9f8Kq-zz71"),
+    ]:
+        assert value in [text[a:b] for a, b, _ in secret_scan.literal_spans(text)], text
+        assert value not in secret_scan.mask(text)
+    assert secret_scan.literal_spans("<p>some ordinary words</p><password></password>") == []
