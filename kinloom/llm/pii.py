@@ -14,6 +14,7 @@ repeated id is carried along, since rows are matched by an internal key.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Callable
@@ -33,17 +34,17 @@ ORDER = {"email": 0, "ip": 1, "card": 2, "phone": 3}
 ROUNDS, LEAST_CONFIDENCE, LEAST_SUPPORT, LEAST_BELIEF = 3, 0.7, 5, 0.9
 #: Added to a pattern's count, so that rare patterns are trusted less.
 SMOOTHING = 2.0
-#: Longest word, in code points, that takes part in a pattern.
-CONTEXT_WORD = 32
+#: Longer words of patterns and longer values, in code points, go by their hash.
+LONG_KEY = 64
 
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IDENTIFIER = re.compile(r"(?<![^ \t\n\v\f\r])" + r"(?=[^ \t\n\v\f\r]*[0-9@])" + LETTERS_SPACES)
-_WORD = re.compile(LETTERS_SPACES)
+_NO_SPACE = re.compile(LETTERS_SPACES)
+_SPACES = " \t\n\v\f\r"
 _DIGITS = re.compile(r"[0-9]")
 
 
@@ -97,17 +98,34 @@ def plausible(value: str) -> list[str]:
     return kinds
 
 
+def as_key(value: str) -> str:
+    return value if len(value) <= LONG_KEY else hashlib.blake2b(value.encode(), digest_size=16).hexdigest()
+
+
+def word_before(text: str, at: int) -> tuple[int, int]:
+    """Start and end of the last word before a place (of what stands of it there); empty if there is none."""
+    end = at
+    while end and text[end - 1] in _SPACES:
+        end -= 1
+    start = end
+    while start and text[start - 1] not in _SPACES:
+        start -= 1
+    return start, end
+
+
 def context(text: str, start: int, end: int) -> list[str]:
     """Lexical patterns around a span: the two words before it, the one before it with the one after."""
-    tidy = lambda w: _DIGITS.sub("0", w[-CONTEXT_WORD:].lower())
-    left = [tidy(w) for w in _WORD.findall(text[max(0, start - 3 * CONTEXT_WORD) : start])[-2:]]
-    right = [tidy(w[:CONTEXT_WORD]) for w in _WORD.findall(text[end : end + 2 * CONTEXT_WORD])[:1]]
+    tidy = lambda w: as_key(_DIGITS.sub("0", w.lower()))
+    a, b = word_before(text, start)
+    c, d = word_before(text, a)
+    left = [tidy(text[x:y]) for x, y in ((c, d), (a, b)) if x < y]
+    after = _NO_SPACE.search(text, end)
     patterns = []
     if len(left) == 2:
         patterns.append(f"{left[0]} {left[1]} _")
-    if left and right:
-        patterns.append(f"{left[-1]} _ {right[0]}")
-    if left and not left[-1][-1:].isalnum():  # a label such as `tel:` tells enough by itself
+    if left and after:
+        patterns.append(f"{left[-1]} _ {tidy(after[0])}")
+    if left and not text[b - 1].isalnum():  # a label such as `tel:` tells enough by itself
         patterns.append(f"{left[-1]} _")
     return patterns
 
@@ -140,13 +158,13 @@ def _make() -> Callable:
             good, bad = base_matches(text)
             counts = Counter(kind for _, _, kind in good)
             taken = sorted(good + bad)
-            found = [{"start": s, "end": e, "value": text[s:e].lower(), "kind": kind, "looks": [], "patterns": context(text, s, e)} for s, e, kind in good]
+            found = [{"start": s, "end": e, "value": as_key(text[s:e].lower()), "kind": kind, "looks": [], "patterns": context(text, s, e)} for s, e, kind in good]
             at = 0
             for m in _IDENTIFIER.finditer(text):
                 while at < len(taken) and taken[at][1] <= m.start():
                     at += 1
                 start, end = m.start(), m.start() + len(m[0].rstrip(".,;:!?)\"'"))
-                near, covered = at, end - start > 4 * CONTEXT_WORD
+                near, covered = at, False
                 while near < len(taken) and taken[near][0] < end and not covered:
                     covered = taken[near][1] > start
                     near += 1
@@ -154,7 +172,7 @@ def _make() -> Callable:
                     continue
                 looks = plausible(text[start:end])
                 if looks:
-                    found.append({"start": start, "end": end, "value": text[start:end].lower(), "kind": None, "looks": looks, "patterns": context(text, start, end)})
+                    found.append({"start": start, "end": end, "value": as_key(text[start:end].lower()), "kind": None, "looks": looks, "patterns": context(text, start, end)})
             rows.append((*(counts[k] for k in ORDER), digest(good, ORDER), joined(good, ORDER), found))
         return [list(x) for x in zip(*rows, strict=True)]
 

@@ -78,3 +78,19 @@ def test_empty_table(documents):
 @pytest.mark.parametrize("number,valid", [("4111111111111111", True), ("4111111111111112", False), ("79927398713", True)])
 def test_luhn(number, valid):
     assert pii.luhn(number) is valid
+
+
+def test_patterns_know_whole_words_and_no_identifier_is_too_long():
+    long = "x" * 500
+    near = pii.context(f"ab{long} tel: 123", len(long) + 8, len(long) + 11)
+    far = pii.context(f"cd{long} tel: 123", len(long) + 8, len(long) + 11)
+    assert near[0] != far[0] and near[-1] == far[-1] == "tel: _"
+    spaced = pii.context("my tel:" + " " * 300 + "123" + "\n" * 200 + "now", 307, 310)
+    assert spaced == ["my tel: _", "tel: _ now", "tel: _"]
+
+
+def test_a_long_identifier_is_discovered(documents):
+    long = "a" * 140 + "@localhost"
+    rows = [(i, f"please mail: user{i}@example{i}.org today") for i in range(60)] + [(100, f"please mail: {long} today")]
+    got = {r["doc_id"]: r["spans"] for r in pii.extract(documents(rows)).collect()}
+    assert got[100] == f"email:13:{13 + len(long)}"
