@@ -2,13 +2,16 @@
 
 Every run of K code points is hashed by a rolling polynomial; of each WINDOW neighbouring
 hashes the least is chosen, the rightmost on ties. Two texts that share a passage
-of at least K + WINDOW - 1 code points therefore share a chosen hash, and positions are
-kept to say where. A shorter text is one gram or one window.
+of at least K + window - 1 code points therefore share a chosen hash, and positions are
+kept to say where. The window is WINDOW, in texts under 8 x WINDOW code points an eighth of the
+length, rounded down to a power of two, LEAST_WINDOW at least; what a larger window chooses, a
+smaller one does too, so half of any text of 46 code points or more has a choice of its own.
+A text shorter than a gram is one gram.
 
 Defined cases: null is the empty text; the empty text has an empty fingerprint, alike
 (1.0) to another empty one only; an empty table gives an empty result; rows with equal
-ids follow each other by text checksum and size, null ids come first; a single
-document is its own next one.
+ids follow each other by text checksum, then scan position, null ids come first; a single
+document is its own next one. Many rows of one id are dealt out like any others.
 """
 
 from __future__ import annotations
@@ -27,8 +30,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from kinloom.llm.arrow_map import map_text, texts_of
 from kinloom.session import ship_package
 
-#: Code points in a gram (a power of two) and grams in a window (a power of two).
-K, WINDOW = 16, 64
+#: Code points in a gram (a power of two) and grams in a window (powers of two).
+K, WINDOW, LEAST_WINDOW = 16, 64, 8
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -46,9 +49,14 @@ def _gram_hashes(codes: np.ndarray, k: int) -> np.ndarray:
     return h >> np.uint64(32)
 
 
+def window_of(n_chars: int) -> int:
+    return min(WINDOW, max(LEAST_WINDOW, 1 << (max(n_chars, 8) // 8).bit_length() - 1))
+
+
 def chosen(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and positions that winnowing chooses, by position."""
     codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    window = window_of(len(codes))
     if not len(codes):
         return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     if len(codes) < K:  # one gram, padded
@@ -57,7 +65,7 @@ def chosen(text: str) -> tuple[np.ndarray, np.ndarray]:
     # Hash above, complement of the position below: the least number is the rightmost least hash.
     least = (hashes << np.uint64(32)) | (_LOW - np.arange(len(hashes), dtype=np.uint64))
     reach = 1
-    while reach < WINDOW and len(least) > 1:
+    while reach < window and len(least) > 1:
         step = min(reach, len(least) - 1)
         least = np.minimum(least[:-step], least[step:])
         reach += step
@@ -99,35 +107,70 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def _cuts(rows: DataFrame, parts: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
+    """Ids that end a stretch, and for each id that fills several, where its own rows are cut by `tie`."""
+    asked = [i / parts for i in range(1, parts)] or [0.5]
+    found = np.array(rows.agg(F.percentile_approx("key", asked, 20 * parts).alias("cuts")).first()["cuts"] or [], np.int64)
+    cuts, times = np.unique(found, return_counts=True)
+    hot = {int(k): int(n) for k, n in zip(cuts, times, strict=True) if n > 1}  # fewer than parts / 2
+    inner: dict[int, np.ndarray] = {}
+    if hot:
+        ties = rows.where(F.col("key").isin(list(hot))).groupBy("key").agg(F.percentile_approx("tie", asked, 20 * parts).alias("ties")).collect()
+        for r in ties:
+            at = np.linspace(0, len(r["ties"]) - 1, hot[r["key"]] + 1).astype(int)
+            inner[r["key"]] = np.unique(np.array(r["ties"], np.int64)[at])
+    return cuts, inner
+
+
+def stretch_of(keys: np.ndarray, ties: np.ndarray, cuts: np.ndarray, inner: dict[int, np.ndarray]) -> np.ndarray:
+    """The number of each row's stretch, ascending with key and tie."""
+    before = np.cumsum([0, *(len(inner.get(int(c), ())) for c in cuts)])  # stretches that hot ids add
+    at = np.searchsorted(cuts, keys, side="left")
+    out = at + before[at]
+    for key, own in inner.items():
+        rows = np.flatnonzero(keys == key)
+        out[rows] += np.searchsorted(own, ties[rows], side="left")
+    return out.astype(np.int32)
+
+
 def _stretches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows dealt into contiguous stretches of ids, each followed by the first row of the next
     stretch (the first stretch follows the last): columns part, extra, doc_id, text, in order."""
     spark = docs.sparkSession
     parts = max(docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
-    rows = docs.select(F.col(id_col).alias("doc_id"), key.alias("key"), F.coalesce(text_col, F.lit("")).alias("text"))
-    # One bound and one least id for each stretch reach the driver; texts are not read for them.
-    keys = rows.select("key")
-    asked = [i / parts for i in range(1, parts)] or [0.5]
-    found = keys.agg(F.percentile_approx("key", asked, 20 * parts).alias("cuts")).first()["cuts"] or []
-    cuts = np.unique(np.array(found, np.int64))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # Rows of one id are told apart by checksum and place, so that they too can be cut.
+    tie = F.shiftleft(F.crc32(text.cast("binary")), 31) + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 31))
+    rows = docs.select(F.col(id_col).alias("doc_id"), key.alias("key"), tie.alias("tie"), text.alias("text"))
+    # Bounds and one least row for each stretch reach the driver.
+    cuts, inner = _cuts(rows.select("key", "tie"), parts)
 
     @F.pandas_udf(T.IntegerType())
-    def part_of(key: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, key.to_numpy(), side="left").astype(np.int32))
+    def part_of(key: pd.Series, tie: pd.Series) -> pd.Series:
+        return pd.Series(stretch_of(key.to_numpy(), tie.to_numpy(), cuts, inner))
 
-    least = {r["part"]: r["least"] for r in keys.withColumn("part", part_of("key")).groupBy("part").agg(F.min("key").alias("least")).collect()}
+    firsts = rows.select("key", "tie").withColumn("part", part_of("key", "tie")).groupBy("part").agg(F.min(F.struct("key", "tie")).alias("least")).collect()
+    least = {r["part"]: (r["least"]["key"], r["least"]["tie"]) for r in firsts}
     own = sorted(least)
-    before = pd.Series({least[p]: own[i - 1] for i, p in enumerate(own)}, dtype="float64")
+    before: dict[int, dict[int, int]] = {}
+    for i, p in enumerate(own):
+        k, t = least[p]
+        before.setdefault(k, {})[t] = own[i - 1]
 
     @F.pandas_udf(T.IntegerType())
-    def also_in(key: pd.Series) -> pd.Series:
-        return key.map(before).astype("Int32")
+    def also_in(key: pd.Series, tie: pd.Series) -> pd.Series:
+        met = key.isin(list(before))
+        out = pd.Series(pd.NA, index=key.index, dtype="Int32")
+        for i in np.flatnonzero(met.to_numpy()):
+            if (part := before[int(key.iloc[i])].get(int(tie.iloc[i]))) is not None:
+                out.iloc[i] = part
+        return out
 
     places = F.filter(F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("extra")), F.struct(F.col("also").alias("part"), F.lit(True).alias("extra"))), lambda p: p["part"].isNotNull())
-    dealt = rows.withColumn("part", part_of("key")).withColumn("also", also_in("key")).withColumn("place", F.explode(places))
-    dealt = dealt.select(F.col("place.part").alias("part"), F.col("place.extra").alias("extra"), "key", "doc_id", "text").repartition(parts, "part")
-    return dealt.sortWithinPartitions("part", "extra", "key", F.xxhash64("text"), F.length("text")).select("part", "extra", "doc_id", "text")
+    dealt = rows.withColumn("part", part_of("key", "tie")).withColumn("also", also_in("key", "tie")).withColumn("place", F.explode(places))
+    dealt = dealt.select(F.col("place.part").alias("part"), F.col("place.extra").alias("extra"), "key", "tie", "doc_id", "text").repartition(parts, "part")
+    return dealt.sortWithinPartitions("part", "extra", "key", "tie").select("part", "extra", "doc_id", "text")
 
 
 def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -22,7 +22,8 @@ def brute(text):
             h = (h * 0x9E3779B97F4A7C15 + c) % 2**64
         h ^= h >> 32
         hashes.append(h * 0xD6E8FEB86659FD93 % 2**64 >> 32)
-    size = min(winnow.WINDOW, len(hashes))
+    size = next(w for w in (64, 32, 16, 8) if len(text) >= 8 * w or w == 8)
+    size = min(size, len(hashes))
     chosen = set()
     for i in range(len(hashes) - size + 1):
         window = hashes[i : i + size]
@@ -68,6 +69,37 @@ def test_repeated_null_and_single_rows(documents, edge_rows):
     assert winnow.fingerprints(documents([(1, None)])).first()["hashes"] == []
 
 
+def test_half_of_a_short_text_is_still_found(documents):
+    rows = [(i, prose(i, 40)[: 50 + i]) for i in range(100)]
+    got = winnow.compare_edited(documents(rows)).collect()
+    assert all(r["near_edited"] > 0 for r in got)
+
+
+def test_a_hot_id_is_dealt_out(documents):
+    """10,000 rows of one id, two thirds of them one text, beside 50 others; results as by one sorted list."""
+    rows = [(7, prose(i % 100 if i % 3 else 0, 12)) for i in range(10_000)] + [(i, prose(i, 30)) for i in range(100, 150)]
+    docs = documents(rows).repartition(4)
+    given = winnow._stretches(docs, "doc_id", "text")
+    sizes = [r["n"] for r in given.groupBy("part").count().withColumnRenamed("count", "n").collect()]
+    assert max(sizes) < 0.6 * len(rows) and sum(sizes) <= len(rows) + 4 * len(sizes)
+    got = winnow.compare_edited(docs)
+    assert got.count() == len(rows)
+    own = got.where("doc_id = 7")
+    # Equal texts stand together, so all but the last of each are followed by an equal one.
+    assert own.where("near_next < 1").count() <= 100
+    null = documents([(None, prose(i, 10)) for i in range(300)])
+    assert winnow.compare_edited(null).count() == 300
+
+
+def test_stretches_ascend():
+    chance = np.random.default_rng(2)
+    keys, ties = chance.integers(0, 6, 3000), chance.integers(0, 1000, 3000)
+    keys[keys > 3] = 3
+    parts = winnow.stretch_of(keys, ties, np.array([0, 2, 3, 5]), {3: np.array([100, 400])})
+    order = np.lexsort((ties, keys))
+    assert (np.diff(parts[order]) >= 0).all() and len(set(parts[keys == 3].tolist())) == 3
+
+
 def test_equal_texts_have_equal_fingerprints(documents):
     got = winnow.compare_edited(documents([(i, prose(1, 90)) for i in range(20)])).collect()
     assert len({r["fingerprint"] for r in got}) == 1
