@@ -7,6 +7,7 @@ script-aware accents) runs in two Arrow UDFs over plain strings; all rules are n
 from __future__ import annotations
 
 import html
+import sys
 import unicodedata
 
 import pandas as pd
@@ -45,6 +46,15 @@ ROAD_WORDS = {"rd": "road", "ave": "avenue", "av": "avenue", "blvd": "boulevard"
 LATE_ROAD_WORDS = {"st": "street", "dr": "drive"}
 FRENCH_ROAD_WORDS = {"av": "avenue", "bd": "boulevard"}
 
+# Separators, tags and marks of addresses, the shapes of house numbers, and what a locality is called.
+PIECE_ENDS = r"[,;|\n\r]+"
+PLACEHOLDER = r"<\s*(?:null|none|na)\s*>"
+HOUSE_NUMBER = r"(?U)^(?:(?:plot|house|door|no|number)\s+)?([a-z]?\d+[a-z]?(?:[-/][a-z0-9]+)*)\b"
+LOCALITIES = r"(?U)\b(?:nagar|colony|sector|phase|locality)\b"
+
+#: Decimal digits of all other scripts, and the ASCII ones that they stand for.
+_OTHER_DIGITS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd")
+_THEIR_DIGITS = "".join(str(unicodedata.decimal(c)) for c in _OTHER_DIGITS)
 _CUT = "\ue000"  # a private character: it outlives folding, so parts of an address can be folded in one go
 _ID_TAG = r"(?i)\(\s*id\s*:\s*[^)]*\)|\[\s*id\s*:\s*[^\]]*\]"
 _FORMAT_MARKS = regex.compile(r"[\p{Cf}--[\u200c\u200d]]", regex.V1)
@@ -119,8 +129,9 @@ def token_key(words: Column) -> Column:
 
 
 def zero_normalized(text: Column) -> Column:
-    """Leading zeros of every run of digits removed."""
-    return F.regexp_replace(text, r"(?<![0-9])0+(?=[0-9])", "")
+    """Runs of digits as numbers: ASCII digits for those of any script, no leading zeros."""
+    plain = F.when(text.rlike(r"[^\x00-\x7f]"), F.translate(text, _OTHER_DIGITS, _THEIR_DIGITS)).otherwise(text)
+    return F.regexp_replace(plain, r"(?<![0-9])0+(?=[0-9])", "")
 
 
 def with_name_columns(df: DataFrame, raw: str = "business_name") -> DataFrame:
@@ -148,14 +159,14 @@ def with_name_columns(df: DataFrame, raw: str = "business_name") -> DataFrame:
 
 
 def _us_state(part: Column) -> Column:
-    bare = F.trim(F.regexp_replace(part, r"\b[0-9]{5}(?:-[0-9]{4})?\b", ""))
+    bare = F.trim(F.regexp_replace(part, r"(?U)\b\d{5}(?:-\d{4})?\b", ""))
     codes, names = _literal_map({c: c.upper() for c in US_STATES}), _literal_map({n: c.upper() for c, n in US_STATES.items()})
     return F.coalesce(codes[bare], names[bare], codes[F.regexp_extract(bare, r"\s([a-z]{2})$", 1)])
 
 
 def _road_words(part: Column, country: Column) -> Column:
     english, late, french = _literal_map(ROAD_WORDS), _literal_map(LATE_ROAD_WORDS), _literal_map(FRENCH_ROAD_WORDS)
-    numbered = part.rlike("^[^ ]*[0-9]")
+    numbered = part.rlike(r"^[^ ]*\p{Nd}")
 
     def word(token: Column, at: Column) -> Column:
         local = F.coalesce(english[token], F.when((at >= 2) & numbered, late[token]), F.when((country == "IN") & (token == "nr"), F.lit("near")))
@@ -168,27 +179,26 @@ def with_address_columns(df: DataFrame, raw: str = "business_address") -> DataFr
     """The address columns but the accent-free one; needs country_key."""
     ship_package(df.sparkSession)
     text, country = F.coalesce(F.col(raw), F.lit("")), F.col("country_key")
-    df = df.withColumns({"address_raw": text, "__pieces": F.split(unicode_normalized(F.regexp_replace(text, r"[,;|\n\r]+", _CUT)), _CUT)})
-    placeholder = r"<\s*(?:null|none|na)\s*>"
+    df = df.withColumns({"address_raw": text, "__pieces": F.split(unicode_normalized(F.regexp_replace(text, PIECE_ENDS, _CUT)), _CUT)})
     df = df.withColumn("__pieces", F.transform("__pieces", lambda p: F.trim(p)))
     df = df.withColumns(
         {
-            "address_component_missing": F.exists("__pieces", lambda p: (p.isin(MISSING) & (p != "")) | (~p.isin(MISSING) & p.rlike(placeholder))).cast("int"),
-            "__parts": F.filter(F.transform(F.filter("__pieces", lambda p: ~p.isin(MISSING)), lambda p: basic(F.regexp_replace(p, placeholder, " "), True)), lambda p: p != ""),
+            "address_component_missing": F.exists("__pieces", lambda p: (p.isin(MISSING) & (p != "")) | (~p.isin(MISSING) & p.rlike(PLACEHOLDER))).cast("int"),
+            "__parts": F.filter(F.transform(F.filter("__pieces", lambda p: ~p.isin(MISSING)), lambda p: basic(F.regexp_replace(p, PLACEHOLDER, " "), True)), lambda p: p != ""),
         }
     )
     state_of = lambda p: F.when(country == "US", _us_state(p)).when((country == "IN") & p.isin(INDIA_STATES), p)
     found = F.filter(F.transform("__parts", lambda p, i: F.struct(i.alias("at"), state_of(p).alias("state"))), lambda x: x["state"].isNotNull())
     df = df.withColumn("__found", F.try_element_at(found, F.lit(-1))).withColumn("address_basic", F.array_join("__parts", " "))
     words = "|".join([*US_STATES, *US_STATES.values()])
-    french = F.filter("__parts", lambda p: p.rlike(r"^[0-9]{5}\s+[^0-9]+$"))
+    french = F.filter("__parts", lambda p: p.rlike(r"(?U)^\d{5}\s+\D+$"))
     postal = (
-        F.when(country == "IN", F.regexp_extract("address_basic", r"(?U)(?<!\w)[1-9][0-9]{5}(?!\w)", 0))
-        .when(country == "US", F.regexp_extract("address_basic", rf"\b(?:{words})\s+([0-9]{{5}}(?:-[0-9]{{4}})?)(?!\w)", 1))
+        F.when(country == "IN", F.regexp_extract("address_basic", r"(?U)(?<!\w)[1-9]\d{5}(?!\w)", 0))
+        .when(country == "US", F.regexp_extract("address_basic", rf"(?U)\b(?:{words})\s+(\d{{5}}(?:-\d{{4}})?)(?!\w)", 1))
         .when(country == "FR", F.substring(F.try_element_at(french, F.lit(1)), 1, 5))
     )
     first = F.coalesce(F.try_element_at("__parts", F.lit(1)), F.lit(""))
-    house = F.regexp_extract(first, r"^(?:(?:plot|house|door|no|number)\s+)?([a-z]?[0-9]+[a-z]?(?:[-/][a-z0-9]+)*)\b", 1)
+    house = F.regexp_extract(first, HOUSE_NUMBER, 1)
     df = df.withColumns({"state_candidate": F.coalesce("__found.state", F.lit("")), "__at": F.coalesce("__found.at", F.lit(-1)), "postal_code_candidate": F.coalesce(postal, F.lit("")), "__first": first})
     df = df.withColumn("house_number_candidate", F.when(house != F.col("postal_code_candidate"), house).otherwise(""))
     before = F.when(F.col("__at") > 0, F.try_element_at("__parts", F.col("__at")))
@@ -198,10 +208,10 @@ def with_address_columns(df: DataFrame, raw: str = "business_address") -> DataFr
         {
             "city_candidate": F.when(before != F.col("__first"), before).otherwise(""),
             "__roads": F.transform("__parts", lambda p, i: F.when(whole_state(p, i), p).otherwise(_road_words(p, country))),
-            "__numbers": F.array_sort(F.array_distinct(F.filter(F.split("address_basic", " "), lambda t: t.rlike("[0-9]")))),
+            "__numbers": F.array_sort(F.array_distinct(F.filter(F.split("address_basic", " "), lambda t: t.rlike(r"\p{Nd}")))),
         }
     )
-    locality = F.filter("__roads", lambda p: p.rlike(r"\b(?:nagar|colony|sector|phase|locality)\b"))
+    locality = F.filter("__roads", lambda p: p.rlike(LOCALITIES))
     df = df.withColumn("address_normalized", F.array_join("__roads", " "))
     return df.withColumns(
         {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -60,6 +62,11 @@ def predict(model: PipelineModel, features: DataFrame) -> DataFrame:
     return scored.select("source1_entity_id", "candidate_entity_id", vector_to_array("probability")[1].alias("match_probability"))
 
 
+def fingerprint(model: PipelineModel) -> str:
+    """The same for equal trees over equal columns."""
+    return hashlib.sha256("\n".join([*feature_columns(model), model.stages[-1].toDebugString.partition("\n")[2]]).encode()).hexdigest()
+
+
 def importances(model: PipelineModel) -> list[tuple[str, float]]:
     """Features by falling gain."""
     gains = model.stages[-1].featureImportances.toArray()

@@ -11,7 +11,7 @@ from kinloom.session import staged
 
 def uniform_sample(df: DataFrame, k: int, seed: int, *key: str) -> DataFrame:
     """k rows, or all, of least hash: uniform without replacement."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(k)
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *key)), *key).limit(k)
 
 
 def sample_by_group(df: DataFrame, group: str, k: int, *order: str) -> DataFrame:
@@ -40,14 +40,17 @@ def range_shard(number: Column, n: Column, world: int) -> Column:
     return F.floor((number * world - 1) / n).cast("int")
 
 
-def contrastive_batches(positives: DataFrame, batch_size: int) -> DataFrame:
-    """positives with a batch number by country: in order of (ordinal, shuffle, sid, eid), a new batch
-    begins where a cluster repeats or the batch is full.
+#: Lanes in which the scan of a country runs, whatever the cluster.
+LANES = 64
 
-    The scan is sequential by nature; countries run in parallel, and within one, `lane`
-    (hash of the cluster) splits the scan, so that no task gets a country whole."""
-    lanes = max(1, positives.sparkSession.sparkContext.defaultParallelism)
-    given = positives.withColumn("lane", F.pmod(F.xxhash64("cluster"), F.lit(lanes)).cast("int"))
+
+def contrastive_batches(positives: DataFrame, batch_size: int, lane: Column | None = None) -> DataFrame:
+    """positives with a batch number by country and lane: in order of (ordinal, shuffle, sid, eid), a new
+    batch begins where a cluster repeats or the batch is full.
+
+    The scan is sequential by nature; countries run in parallel, and within one, `lane` (LANES classes
+    of the cluster's hash, if not given) splits the scan, so that no task gets a country whole."""
+    given = positives.withColumn("lane", F.pmod(F.xxhash64("cluster"), F.lit(LANES)).cast("int") if lane is None else lane.cast("int"))
     schema = given.schema.simpleString().removeprefix("struct<").removesuffix(">") + ",batch:int"
 
     def scan(rows: pd.DataFrame) -> pd.DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -69,6 +70,22 @@ def fit_tfidf(references: DataFrame, fields: list[str], keyed: Callable[[DataFra
     return TfidfModel(staged(idf, "tfidf-idf"), n, keyed)
 
 
+def save_tfidf(model: TfidfModel, path: str) -> None:
+    """Weights and the number of references, as Parquet."""
+    model.idf.withColumn("n", F.lit(model.n)).write.mode("errorifexists").option("compression", "zstd").parquet(path)
+
+
+def load_tfidf(spark: SparkSession, path: str, keyed: Callable[[DataFrame], DataFrame] = exact_terms) -> TfidfModel:
+    stored = spark.read.parquet(path)
+    return TfidfModel(stored.drop("n"), (stored.agg(F.max("n")).first()[0]) or 0, keyed)
+
+
+def fingerprint(model: TfidfModel) -> str:
+    """The same for equal weights in any order of rows."""
+    row = model.idf.agg(F.count("*"), *[F.sum(F.xxhash64("field", F.col("key").cast("string"), "df", F.lit(k)).cast("decimal(38,0)")) for k in (0, 1)]).first()
+    return hashlib.sha256(f"{model.n}|{'|'.join(map(str, row))}".encode()).hexdigest()
+
+
 def rarest_tokens(records: DataFrame, model: TfidfModel, field: str, limit: int) -> DataFrame:
     """(rid, token): the `limit` words and 3-grams of greatest idf, ties by token."""
     options = records.select("rid", F.explode(tokens.lexical_tokens(F.col(field))).alias("token"))

@@ -87,9 +87,21 @@ def validate(model: PipelineModel, labeled: DataFrame, labels: DataFrame, thresh
     return sweep, evaluation.best_threshold(sweep).first()["threshold"]
 
 
-def submit(model: PipelineModel, prepared: Prepared, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Audited match and candidate lists of all queries."""
-    probabilities = evaluation.check_probabilities(prepared.pairs, staged(matcher.predict(model, prepared.pairs), "probabilities"))
+def predicted(model: PipelineModel, pairs: DataFrame) -> DataFrame:
+    """Probabilities that carry the fingerprint of the model they come from."""
+    return staged(matcher.predict(model, pairs).withColumn("model_sha", F.lit(matcher.fingerprint(model))), "probabilities")
+
+
+def require_model(probabilities: DataFrame, model_sha: str) -> DataFrame:
+    """probabilities, if all of them come from that model."""
+    labeling.require_none(probabilities.where(~F.col("model_sha").eqNullSafe(model_sha)).select("model_sha"), "probability of another model")
+    return probabilities.drop("model_sha")
+
+
+def submit(model: PipelineModel, prepared: Prepared, threshold: float, probabilities: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Audited match and candidate lists of all queries; probabilities made earlier must be this model's."""
+    given = predicted(model, prepared.pairs) if probabilities is None else probabilities
+    probabilities = evaluation.check_probabilities(prepared.pairs, require_model(given, matcher.fingerprint(model)))
     queries = prepared.queries.withColumnRenamed("q", "rid")
     matches = staged(evaluation.match_lists(queries, probabilities, threshold), "matches")
     listed = staged(evaluation.candidate_lists(queries, prepared.pairs), "candidate-lists")
@@ -112,28 +124,39 @@ def run(spark: SparkSession, root: str, out: str, prep: PrepConfig, trees: Match
     labeled, labels = label(prepared, labeling.staged_truth(tables.read_truth(spark, root)), prep)
     model = matcher.train(labeled, trees)
     sweep, threshold = validate(model, labeled, labels, trees.thresholds)
-    test = prepare(read_records(spark, root, "test"), terms, prep, dense)
-    labeling.require_complete(test.queries, test.records)
-    matches, listed = submit(model, test, threshold)
+    settings = signature(prep, trees, *([dense] if dense else []))
     tables.write_parquet(labeling.recall_report(labels), f"{out}/candidate_recall")
     tables.write_parquet(sweep, f"{out}/validation_f05")
     model.write().save(f"{out}/matcher")
+    tfidf.save_tfidf(terms, f"{out}/terms")
+    held = labeled.where("dataset_split = 'validation'")
+    report = {"signature": settings, "model_sha": matcher.fingerprint(model), "terms_sha": tfidf.fingerprint(terms), "threshold": threshold, "importances": matcher.importances(model)[:20], "learning_curve": matcher.learning_curve(model, held)}
+    tables.write_json(spark, report, f"{out}/report")
+    tables.log_metrics(spark, f"{out}/metrics", "train", len(report["learning_curve"]), threshold=threshold, loss=report["learning_curve"][-1])
+    # What is applied is what was stored.
+    model, terms, report = load_matcher(spark, out, settings, prep)
+    test = prepare(read_records(spark, root, "test"), terms, prep, dense)
+    labeling.require_complete(test.queries, test.records)
+    matches, listed = submit(model, test, threshold)
     tables.write_lists(matches, f"{out}/matching_results")
     tables.write_lists(listed, f"{out}/candidate_pairs")
-    report = {"signature": signature(prep, trees, *([dense] if dense else [])), "threshold": threshold, "importances": matcher.importances(model)[:20], "learning_curve": matcher.learning_curve(model, labeled.where("dataset_split = 'validation'"))}
-    tables.write_json(spark, report, f"{out}/report")
+    tables.log_metrics(spark, f"{out}/metrics", "match", 1, queries=test.queries.count(), pairs=test.pairs.count())
     return report
 
 
-def load_matcher(spark: SparkSession, out: str, expected: str) -> tuple[PipelineModel, dict]:
-    """The stored matcher, if it was made with the expected settings and its columns are known."""
+def load_matcher(spark: SparkSession, out: str, expected: str, prep: PrepConfig) -> tuple[PipelineModel, tfidf.TfidfModel, dict]:
+    """The stored matcher, its terms and report, if they were made with the expected settings and
+    are what the report tells: new records can be scored with them."""
     report = tables.read_json(spark, f"{out}/report")
     if report["signature"] != expected:
         raise ValueError("the stored matcher was made with other settings")
     model = PipelineModel.load(f"{out}/matcher")
     if matcher.feature_columns(model) != features.MODEL_COLUMNS:
         raise ValueError("the stored matcher has other features")
-    return model, report
+    terms = tfidf.load_tfidf(spark, f"{out}/terms", tfidf.hashed_terms(prep.hash_bits))
+    if matcher.fingerprint(model) != report["model_sha"] or tfidf.fingerprint(terms) != report["terms_sha"]:
+        raise ValueError("the stored matcher or its terms are not those of the report")
+    return model, terms, report
 
 
 def split_share(sid: str, country: str, has_match: bool, seed: int, spark: SparkSession) -> float:

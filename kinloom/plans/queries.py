@@ -20,6 +20,8 @@ from kinloom.session import read_table, staged
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+#: References of a query in one channel, as in production.
+LIMIT = PrepConfig().block_limit
 THRESHOLDS = [0.1, 0.25, 0.4, 0.5, 0.6, 0.75, 0.9]
 
 
@@ -74,18 +76,18 @@ def neighbours_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(q, r, ...): pairs of equal name under the country rule, at most 20 references a query."""
+    """(q, r): pairs of equal name under the country rule, up to the block limit of production for a query."""
     queries, references = sides(spark, sf_dir)
     words = tfidf.longest_words(queries, "name", 16).withColumnRenamed("rid", "q").withColumn("field", F.lit("name"))
-    met, _ = blocking.limited_blocks(queries, references, words, 20, "A")
+    met, _ = blocking.limited_blocks(queries, references, words, LIMIT, "A")
     return met.select("q", "r")
 
 
-# The same pairs: up to 20 all of them, beyond that the first 20 that share a word of the name, which all do.
+# The same pairs: up to the limit all of them, beyond that the first ones that share a word of the name, which all do.
 _FIRST = f"""{_REC}, met AS (
   SELECT q.rid AS q, r.rid AS r, row_number() OVER (PARTITION BY q.rid ORDER BY r.rid) AS nth {_BOTH}
   WHERE q.name = r.name AND {_MAY}),
-pairs AS (SELECT q, r FROM met WHERE nth <= 20)"""
+pairs AS (SELECT q, r FROM met WHERE nth <= {LIMIT})"""
 
 # ---------------------------------------------------------------- text
 
@@ -94,9 +96,9 @@ pairs AS (SELECT q, r FROM met WHERE nth <= 20)"""
   SELECT q.entity_id AS sid, r.entity_id AS eid, r.rid, row_number() OVER (PARTITION BY q.rid ORDER BY r.rid) AS nth {_BOTH}
   WHERE q.name = r.name AND {_MAY})
 SELECT s.entity_id AS source1_entity_id, coalesce(string_agg(m.eid, ',' ORDER BY m.rid), '') AS candidates
-FROM rec s LEFT JOIN met m ON m.sid = s.entity_id AND m.nth <= 20 WHERE s.source = 1 GROUP BY s.entity_id""")
+FROM rec s LEFT JOIN met m ON m.sid = s.entity_id AND m.nth <= {LIMIT} WHERE s.source = 1 GROUP BY s.entity_id""")
 def exact_name_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For every query the references of its name, in order, queries without any included."""
+    """For every query the references of its name, in order, up to the block limit; queries without any included."""
     queries, references = sides(spark, sf_dir)
     met = first_matches(spark, sf_dir).join(references.select(F.col("rid").alias("r"), "entity_id"), "r")
     listed = met.groupBy("q").agg(F.array_sort(F.collect_list(F.struct("r", "entity_id"))).alias("l"))
@@ -166,6 +168,19 @@ def zero_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "customer").select("c_custkey", normalize.zero_normalized(F.col("c_name")).alias("name"))
 
 
+_DEVANAGARI = "translate('0' || p_size, '0123456789', '०१२३४५६७८९')"
+
+
+@query(f"""SELECT p_partkey AS rid, {_DEVANAGARI} AS house_number_candidate, CAST(p_size AS VARCHAR) AS house_number_zero_normalized, {_DEVANAGARI} || ' main street pune' AS address_normalized,
+  {_DEVANAGARI} AS address_numbers, CAST(p_size AS VARCHAR) AS address_numbers_zero_normalized, {_DEVANAGARI} || '|main|pune|street' AS tokens, {_DEVANAGARI} || ' main street' AS street_candidate FROM part""")
+def unicode_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """House numbers in another script's digits are found and told as numbers."""
+    raw = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("rid"), F.lit("IN").alias("country_key"), F.expr(f"{_DEVANAGARI} || ' Main St, Pune'").alias("business_address"))
+    cleaned = normalize.with_address_columns(raw)
+    tokens_ = F.array_join(F.concat(F.filter(F.split("address_tokens", r"\|"), lambda t: t.rlike(r"\p{Nd}")), F.filter(F.split("address_tokens", r"\|"), lambda t: ~t.rlike(r"\p{Nd}"))), "|")
+    return cleaned.select("rid", "house_number_candidate", "house_number_zero_normalized", "address_normalized", "address_numbers", "address_numbers_zero_normalized", tokens_.alias("tokens"), "street_candidate")
+
+
 @query()
 def unicode_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised and accent-free texts, as hashes."""
@@ -267,24 +282,30 @@ def _blocks(spark: SparkSession, sf_dir: str, channel: str, limit: int) -> DataF
     return met.select("q", "r")
 
 
-@query(_block_sql("SELECT rid, name AS key FROM rec", 100))
+@query(_block_sql("SELECT rid, name AS key FROM rec", LIMIT))
 def block_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _blocks(spark, sf_dir, "A", 100)
+    return _blocks(spark, sf_dir, "A", LIMIT)
+
+
+@query(_block_sql("SELECT rid, substr(replace(name, ' ', ''), 1, 3) AS key FROM rec", LIMIT))
+def block_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _blocks(spark, sf_dir, "B", LIMIT)
 
 
 @query(_block_sql("SELECT rid, substr(replace(name, ' ', ''), 1, 3) AS key FROM rec", 15))
 def block_prefix_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same under a limit of 15, which many queries overflow on any table size."""
     return _blocks(spark, sf_dir, "B", 15)
 
 
-@query(_block_sql("SELECT rid, city || '|' || unnest(list_filter(string_split(address, ' '), lambda x: length(x) >= 3 AND NOT regexp_matches(x, '^[0-9]+$'))) AS key FROM rec UNION ALL SELECT rid, city || '||' || name FROM rec", 25))
+@query(_block_sql("SELECT rid, city || '|' || unnest(list_filter(string_split(address, ' '), lambda x: length(x) >= 3 AND NOT regexp_matches(x, '^[0-9]+$'))) AS key FROM rec UNION ALL SELECT rid, city || '||' || name FROM rec", LIMIT))
 def block_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _blocks(spark, sf_dir, "C", 25)
+    return _blocks(spark, sf_dir, "C", LIMIT)
 
 
-@query(_block_sql("SELECT rid, house || '|' || substr(replace(name, ' ', ''), 1, 3) AS key FROM rec", 100))
+@query(_block_sql("SELECT rid, house || '|' || substr(replace(name, ' ', ''), 1, 3) AS key FROM rec", LIMIT))
 def block_house(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _blocks(spark, sf_dir, "D", 100)
+    return _blocks(spark, sf_dir, "D", LIMIT)
 
 
 @query(f"""WITH {_REC}, {_TERMS},
@@ -322,8 +343,7 @@ k AS (SELECT *, (rn <= least(2, lim // 3) AND name_cosine > 0) OR (ra <= least(2
 f AS (SELECT *, count(*) FILTER (kept) OVER (PARTITION BY q) AS nk, row_number() OVER (PARTITION BY q, kept ORDER BY round(s, 9) DESC, r_id) AS rf FROM k)
 SELECT q, r, row_number() OVER (PARTITION BY q ORDER BY round(s, 9) DESC, r_id) AS candidate_rank, round(s, 6) AS retrieval_score FROM f WHERE kept OR rf <= lim - nk""")
 def candidate_rank_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first_matches(spark, sf_dir).createOrReplaceTempView("pairs")
-    scored = spark.sql(_SYNTHETIC.replace('"', "`"))
+    scored = spark.sql(_SYNTHETIC.replace('"', "`").replace("FROM pairs", "FROM {pairs}"), pairs=first_matches(spark, sf_dir))
     decimals = [c for c, kind in scored.dtypes if kind.startswith("decimal")]
     scored = scored.withColumns({c: F.col(c).cast("double") for c in decimals})
     capped = blocking.fuse_rank_cap(scored, 6, 2)
@@ -506,15 +526,15 @@ def coverage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- graphs, shards, samples
 
 
-@query("""WITH RECURSIVE d AS (SELECT doc_id, md5(left(text, 24)) AS k1, md5(right(text, 24)) AS k2 FROM documents WHERE text IS NOT NULL),
+@query("""WITH RECURSIVE d AS (SELECT doc_id, md5(text) AS k1, md5(string_split(text, chr(10))[-1]) AS k2 FROM documents WHERE text IS NOT NULL),
 e AS (SELECT doc_id AS a, min(doc_id) OVER (PARTITION BY k1) AS b FROM d UNION SELECT doc_id, min(doc_id) OVER (PARTITION BY k2) FROM d),
 u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
 r AS (SELECT a AS node, a AS label FROM u UNION SELECT u.b, r.label FROM r JOIN u ON u.a = r.node WHERE r.label < u.b)
 SELECT node AS doc_id, min(label) AS component FROM r GROUP BY node""")
 def components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents connected by equal beginnings or ends of their texts."""
+    """Documents connected by equal texts or equal last lines."""
     docs = read_table(spark, sf_dir, "documents").where("text IS NOT NULL")
-    keyed = docs.select("doc_id", F.md5(F.expr("left(text, 24)")).alias("k1"), F.md5(F.expr("right(text, 24)")).alias("k2"))
+    keyed = docs.select("doc_id", F.md5("text").alias("k1"), F.md5(F.element_at(F.split("text", "\n"), -1)).alias("k2"))
     edges = None
     for k in ("k1", "k2"):
         least = keyed.groupBy(k).agg(F.min("doc_id").alias("b"))
@@ -548,17 +568,25 @@ def group_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_by_group(part, "p_type", 5, "order", "p_partkey").select("p_type", "p_partkey")
 
 
-@query()
+@query("SELECT o_orderkey FROM orders ORDER BY md5('42|' || o_orderkey), o_orderkey LIMIT 100")
 def uniform_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.uniform_sample(read_table(spark, sf_dir, "orders").select("o_orderkey"), 100, 42, "o_orderkey")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_REC}, {_TRUTH}, pos AS (
+  SELECT q.entity_id AS sid, r.entity_id AS eid, q.country, md5(q.entity_id) AS shuffle, q.name || q.p_brand AS cluster, CAST(ord AS INT) AS ordinal, ascii(md5(q.name || q.p_brand)) % 8 AS lane
+  FROM (SELECT q, r, row_number() OVER (PARTITION BY q ORDER BY e.entity_id) - 1 AS ord FROM truth JOIN rec e ON e.rid = r) t JOIN rec q ON q.rid = t.q JOIN rec r ON r.rid = t.r),
+n AS (SELECT *, row_number() OVER (PARTITION BY country, lane ORDER BY ordinal, shuffle, sid, eid) AS n FROM pos),
+scan AS (SELECT country, lane, n, sid, eid, 0 AS batch, [cluster] AS seen FROM n WHERE n = 1 UNION ALL
+  SELECT n.country, n.lane, n.n, n.sid, n.eid, CASE WHEN list_contains(s.seen, n.cluster) OR len(s.seen) >= 32 THEN s.batch + 1 ELSE s.batch END,
+    CASE WHEN list_contains(s.seen, n.cluster) OR len(s.seen) >= 32 THEN [n.cluster] ELSE list_append(s.seen, n.cluster) END
+  FROM scan s JOIN n ON n.country = s.country AND n.lane = s.lane AND n.n = s.n + 1)
+SELECT country, lane, sid, eid, batch FROM scan""")
 def contrastive_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries, _ = sides(spark, sf_dir)
     own = queries.select(F.col("entity_id").alias("sid"), F.col("country_key").alias("country"), F.md5("entity_id").alias("shuffle"), F.concat("name_basic", "p_brand").alias("cluster"))
     positives = _truth(spark, sf_dir).select("sid", F.posexplode("ids").alias("ordinal", "eid")).join(own, "sid")
-    return sampling.contrastive_batches(positives, 32)
+    return sampling.contrastive_batches(positives, 32, F.ascii(F.md5("cluster")) % 8).select("country", "lane", "sid", "eid", "batch")
 
 
 # ---------------------------------------------------------------- pairs

@@ -6,6 +6,7 @@ import csv
 import io
 import json
 import re
+import time
 import zipfile
 from collections.abc import Iterator
 
@@ -110,6 +111,9 @@ def numbered_records(sources: list[DataFrame]) -> DataFrame:
         united = united.unionByName(more, allowMissingColumns=True)
     numbered = dense_numbers(united, "source", "__place").drop("__place")
     require_none(numbered.groupBy("entity_id").agg(F.count("*").alias("n")).where("n > 1"), "repeated entity id")
+    n, least, most = numbered.agg(F.count("*"), F.min("rid"), F.max("rid")).first()
+    if n and (least, most) != (1, n):
+        raise ValueError("record numbers have gaps")
     counts = {r["source"]: r["n"] for r in numbered.groupBy("source").agg(F.count("*").alias("n")).collect()}
     if not counts.get(1) or not (counts.get(2, 0) + counts.get(3, 0)):
         raise ValueError("need queries (source 1) and references (sources 2, 3)")
@@ -144,3 +148,14 @@ def write_json(spark: SparkSession, document: dict, path: str) -> None:
 
 def read_json(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path).first()["value"])
+
+
+def log_metrics(spark: SparkSession, path: str, stage: str, step: int, **metrics: float) -> None:
+    """One more JSON line of a run's log; NaN is refused."""
+    line = json.dumps({"stage": stage, "step": step, "time": time.time(), **metrics}, allow_nan=False, sort_keys=True)
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(path)
+
+
+def read_metrics(spark: SparkSession, path: str) -> list[dict]:
+    """All lines of a log by time."""
+    return sorted((json.loads(r["value"]) for r in spark.read.text(path).collect()), key=lambda x: x["time"])

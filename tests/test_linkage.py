@@ -1,5 +1,6 @@
 """Small end-to-end fixtures of the linkage plan."""
 
+import gzip
 import zipfile
 
 import numpy as np
@@ -198,10 +199,17 @@ def test_whole_run(spark, tmp_path):
     assert len(matches) == 12
     right = sum(r["matched_entity_ids"] == r["source1_entity_id"].replace("S1", "S2") for r in matches)
     assert right >= 10
-    model, _ = linkage.load_matcher(spark, str(tmp_path / "out"), linkage.signature(prep, trees, dense))
+    model, terms, report = linkage.load_matcher(spark, str(tmp_path / "out"), linkage.signature(prep, trees, dense), prep)
+    assert report["model_sha"] == matcher.fingerprint(model) and report["terms_sha"] == tfidf.fingerprint(terms)
+    assert [x["stage"] for x in tables.read_metrics(spark, str(tmp_path / "out" / "metrics"))] == ["train", "match"]
     assert matcher.feature_columns(model) == features.MODEL_COLUMNS
     with pytest.raises(ValueError):
-        linkage.load_matcher(spark, str(tmp_path / "out"), "other")
+        linkage.load_matcher(spark, str(tmp_path / "out"), "other", prep)
+    other = spark.createDataFrame([("S1-0", "S2-0", 0.5, "x")], "source1_entity_id string, candidate_entity_id string, match_probability double, model_sha string")
+    with pytest.raises(ValueError):
+        linkage.require_model(other, report["model_sha"])
+    again = terms.idf.where("key % 2 = 0").withColumn("df", F.col("df") + 1)
+    assert tfidf.fingerprint(tfidf.TfidfModel(again, terms.n, terms.keyed)) != report["terms_sha"]
 
 
 def test_ivf_finds_k_in_partitions_far_from_the_query(spark):
@@ -219,3 +227,28 @@ def test_ivf_finds_k_in_partitions_far_from_the_query(spark):
         wanted = {x for x in exact if x[1] == part}
         assert len({x for x in got if x[1] == part}) == len(wanted) == 100
         assert len(wanted & got) >= 0.9 * len(wanted)
+
+
+def test_batches_do_not_depend_on_the_cluster(spark):
+    positives = spark.createDataFrame([("FR", i, f"s{i:03}", f"S1-{i}", f"S2-{i}", f"c{i % 40}") for i in range(300)], "country string, ordinal int, shuffle string, sid string, eid string, cluster string")
+    plain = sorted(map(tuple, sampling.contrastive_batches(positives, 8).collect()))
+    assert sorted(map(tuple, sampling.contrastive_batches(positives.repartition(7), 8).collect())) == plain
+    assert len({r["lane"] for r in sampling.contrastive_batches(positives, 8).collect()}) > 8
+    one = sampling.contrastive_batches(positives, 8, F.lit(0)).collect()
+    assert {r["lane"] for r in one} == {0}
+
+
+def test_exports(spark, tmp_path):
+    rows = spark.createDataFrame([("S1-1", "x", 1, "train"), ("S1-2", None, 2, "validation")], "source1_entity_id string, name string, derived int, dataset_split string")
+    tables.write_by_split(rows, str(tmp_path / "split"))
+    assert spark.read.parquet(str(tmp_path / "split" / "dataset_split=train")).first()["source1_entity_id"] == "S1-1"
+    tables.write_cleaned(rows, str(tmp_path / "cleaned"), ["source1_entity_id"])
+    part = next((tmp_path / "cleaned").glob("*.csv.gz"))
+    assert gzip.open(part, "rt").readline().split("\t")[0] == "source1_entity_id"
+    with pytest.raises(Exception):
+        tables.write_cleaned(rows, str(tmp_path / "cleaned"), ["source1_entity_id"])
+    tables.log_metrics(spark, str(tmp_path / "log"), "a", 1, x=1.5)
+    tables.log_metrics(spark, str(tmp_path / "log"), "a", 2, x=2.5)
+    assert [(r["step"], r["x"]) for r in tables.read_metrics(spark, str(tmp_path / "log"))] == [(1, 1.5), (2, 2.5)]
+    with pytest.raises(ValueError):
+        tables.log_metrics(spark, str(tmp_path / "log"), "a", 3, x=float("nan"))

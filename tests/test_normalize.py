@@ -84,3 +84,15 @@ def test_similarities(spark):
     assert value(sim.edit_ratio(F.lit(""), F.lit("a"))) is None
     assert value(sim.block_ratio(F.lit("abcd"), F.lit("bcde"))) == 0.75
     assert math.isclose(value(sim.length_ratio(F.lit("ab"), F.lit("abcd"))), 0.5)
+
+
+def test_digits_of_other_scripts(spark):
+    """House numbers are found in any script's digits; their zero-normalised form is in ASCII."""
+    rows = [("१२३ MG Road, Pune", "IN"), ("००७/४ Main St, Kolkata", "IN"), ("৪৫ Park St, Kolkata", "IN"), ("௧௨ Car St", "IN"), ("٣٤٥٦٧ Rue X", "FR")]
+    raw = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "business_address string, country_key string, i int")
+    got = {r["i"]: r for r in normalize.with_address_columns(raw).collect()}
+    assert [got[i]["house_number_candidate"] for i in range(5)] == ["१२३", "००७", "৪৫", "௧௨", ""]
+    assert [got[i]["house_number_zero_normalized"] for i in range(5)] == ["123", "7", "45", "12", ""]
+    assert got[1]["address_numbers"] == "००७/४" and got[1]["address_numbers_zero_normalized"] == "7/4"
+    assert got[1]["address_normalized"] == "००७/४ main street kolkata"
+    assert got[4]["postal_code_candidate"] == "٣٤٥٦٧"
