@@ -2,6 +2,13 @@
 
 language ID -> quality rules -> n-gram Jaccard join -> secret scans -> packing.
 The first three drop documents, the fourth masks secrets, the last packs token ids.
+
+Defined cases. Null and blank texts, and texts without a letter, have no language and go in the
+first stage, as do all documents where none has a language label. Texts under 50 words go in
+the second. Of repeated rows, and of near copies, the third keeps the row of the least id (null
+ids last), of equal ids that of the least text key. Very long texts are processed whole. An empty
+table stays empty. Further columns, of whatever names, are carried along to the last stage,
+which returns pieces.
 """
 
 from __future__ import annotations
