@@ -181,14 +181,17 @@ def unicode_digits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("rid", "house_number_candidate", "house_number_zero_normalized", "address_normalized", "address_numbers", "address_numbers_zero_normalized", tokens_.alias("tokens"), "street_candidate")
 
 
-@query()
+_FOLDED = "trim(regexp_replace(replace(lower(nfc_normalize(coalesce(text, ''))), 'ß', 'ss'), '[ \\n]+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, md5({_FOLDED}) AS normalized_md5, md5(strip_accents({_FOLDED})) AS folded_md5 FROM documents")
 def unicode_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Normalised and accent-free texts, as hashes."""
     folded = normalize.unicode_normalized(F.coalesce("text", F.lit("")))
     return read_table(spark, sf_dir, "documents").select("doc_id", F.md5(folded).alias("normalized_md5"), F.md5(normalize.latin_folded(folded)).alias("folded_md5"))
 
 
-@query()
+@query("SELECT page_id, trim(regexp_replace(replace(lower(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '&amp;', '&'), '[ \\n]+', ' ', 'g')) AS title FROM pages")
 def html_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles of pages with entities resolved."""
     title = F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
@@ -379,15 +382,25 @@ def _vectors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return given.where("vec_id % 3 = 0").withColumnRenamed("vec_id", "q"), given.where("vec_id % 3 <> 0").withColumnRenamed("vec_id", "r")
 
 
-@query("""SELECT q, r, rank, round(c, 5) AS cosine FROM (
+_NEAREST = """SELECT q, r, rank, round(c, 5) AS cosine FROM (
   SELECT a.vec_id AS q, b.vec_id AS r, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c,
     row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC, b.vec_id) AS rank
-  FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id % 3 = 0 AND b.vec_id % 3 <> 0) WHERE rank <= 5""")
+  FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id % 3 = 0 AND b.vec_id % 3 <> 0) WHERE rank <= 5"""
+
+
+@query(_NEAREST)
 def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = knn.exact_top_k(*_vectors(spark, sf_dir), 5)
     return found.select("q", "r", F.col("rank").cast("long").alias("rank"), F.round("cosine", 5).alias("cosine"))
 
 
+@query(_NEAREST)
+def knn_ivf_every_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inverted lists of which every query probes all, which is the exact search again."""
+    found = knn.ivf_top_k(*_vectors(spark, sf_dir), DenseConfig(ann_top_k=5, nlist=64, nprobe=64))
+    return found.select("q", "r", F.col("rank").cast("long").alias("rank"), F.round("cosine", 5).alias("cosine"))
+
+
 @query()
 def knn_ivf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.ivf_top_k(*_vectors(spark, sf_dir), DenseConfig(ann_top_k=5, nlist=64, nprobe=16))
@@ -617,9 +630,19 @@ def pair_jaro_winkler(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours_by_key(spark, sf_dir).select("rid", F.round(sim.jaro_winkler("a.name_basic", "b.name_basic"), 6).alias("jaro_winkler"))
 
 
-@query()
+def _sql_sorted_ratio(a: str, b: str) -> str:
+    """Rows of the table of common subsequences, one for each character of b, as a fold."""
+    x, y = (f"string_split(array_to_string(list_sort(string_split({t}, ' ')), ' '), '')" for t in (a, b))
+    row = "list_transform(range(1, len(r) + 1), lambda i: list_max(list_transform(range(1, i + 1), lambda j: greatest(r[j], coalesce(r[j - 1], 0) + e[j]))))"
+    hits = f"list_transform({y}, lambda c: list_transform({x}, lambda d: CAST(c = d AS INTEGER)))"
+    return f"round(2 * list_last(list_reduce({hits}, lambda r, e: {row}, list_transform({x}, lambda d: 0))) / (length({a}) + length({b})), 6)"
+
+
+@query(f"""WITH {_REC} SELECT a.rid, {_sql_sorted_ratio("a.address", "b.address")} AS address_token_sort_ratio, {_sql_sorted_ratio("a.name", "b.name")} AS name_token_sort_ratio
+FROM rec a JOIN rec b ON b.rid = a.rid + 1""")
 def pair_token_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours_by_key(spark, sf_dir).select("rid", F.round(sim.token_sort_ratio("a.address_normalized", "b.address_normalized"), 6).alias("token_sort_ratio"))
+    ratio = lambda c: F.round(sim.token_sort_ratio(f"a.{c}", f"b.{c}"), 6)
+    return neighbours_by_key(spark, sf_dir).select("rid", ratio("address_normalized").alias("address_token_sort_ratio"), ratio("name_basic").alias("name_token_sort_ratio"))
 
 
 @query()
