@@ -7,6 +7,8 @@ a query without country under ANY, so the country rule needs no OR.
 Lists that a limit cuts anyway are cut before they meet a query: a pool of k references
 in order of rid that match any of some terms lies in the union of each term's first k.
 Hot keys and terms therefore cost k rows for each query, whatever their frequency.
+
+Scores are compared at nine decimals, so the order in which a sum was taken breaks no tie.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from kinloom.session import staged
 
 ANY = "*"
 TEXT_FIELDS = ["name", "address"]
+#: Decimals at which scores are compared.
+DIGITS = 9
 
 
 def with_texts(records: DataFrame) -> DataFrame:
@@ -111,7 +115,7 @@ def lexical_pool(query_tokens: DataFrame, postings: DataFrame, scopes: DataFrame
 def lexical_top_k(pool: DataFrame, vectors: DataFrame, ids: DataFrame, field: str, top_k: int) -> DataFrame:
     """(q, r) of the pool's top_k x multiplier by cosine, ties by entity id."""
     scored = pair_cosines(pool, vectors.select("rid", f"{field}_vector"), [field]).join(ids.select(F.col("rid").alias("r"), "entity_id"), "r")
-    order = [F.desc(F.coalesce(f"{field}_cosine", F.lit(0.0))), "entity_id"]
+    order = [F.desc(F.round(F.coalesce(f"{field}_cosine", F.lit(0.0)), DIGITS)), "entity_id"]
     at = F.row_number().over(Window.partitionBy("q").orderBy(*order))
     return scored.withColumn("at", at).where(F.col("at") <= top_k * F.col("multiplier")).select("q", "r")
 
@@ -127,13 +131,13 @@ def fuse_rank_cap(scored: DataFrame, max_candidates: int, diverse: int) -> DataF
     third = F.expr(f"(multiplier * {max_candidates}) div 3")
     name, address = (F.coalesce(c, F.lit(0.0)) for c in ("name_cosine", "address_cosine"))
     n_channels = sum((F.col(c) for c in "ABCDEFG"), F.lit(0))
-    scored = scored.withColumn("retrieval_score", 0.55 * name + 0.30 * address + 0.10 * F.col("exact") + 0.01 * n_channels)
+    scored = scored.withColumn("retrieval_score", F.round(0.55 * name + 0.30 * address + 0.10 * F.col("exact") + 0.01 * n_channels, DIGITS))
     own = Window.partitionBy("q")
     best = [F.desc("retrieval_score"), F.col("r_id")]
     ranked = scored.withColumns(
         {
-            "__by_name": F.row_number().over(own.orderBy(F.desc(name), "r_id")),
-            "__by_address": F.row_number().over(own.orderBy(F.desc(address), "r_id")),
+            "__by_name": F.row_number().over(own.orderBy(F.desc(F.round(name, DIGITS)), "r_id")),
+            "__by_address": F.row_number().over(own.orderBy(F.desc(F.round(address, DIGITS)), "r_id")),
             "__by_neural": F.row_number().over(own.orderBy(F.desc("G"), F.desc_nulls_last("neural_cosine"), *best)),
         }
     )

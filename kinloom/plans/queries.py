@@ -191,7 +191,7 @@ def unicode_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select("doc_id", F.md5(folded).alias("normalized_md5"), F.md5(normalize.latin_folded(folded)).alias("folded_md5"))
 
 
-@query("SELECT page_id, trim(regexp_replace(replace(lower(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '&amp;', '&'), '[ \\n]+', ' ', 'g')) AS title FROM pages")
+@query("SELECT page_id, trim(regexp_replace(replace(replace(lower(regexp_extract(html, '(?s)<title>(.*?)</title>', 1)), '&amp;', '&'), 'ß', 'ss'), '[ \\n]+', ' ', 'g')) AS title FROM pages")
 def html_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles of pages with entities resolved."""
     title = F.regexp_extract("html", r"(?s)<title>(.*?)</title>", 1)
@@ -374,6 +374,64 @@ def linkage_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs
 
 
+# The channels A to F over two fields, cut, united, ranked and capped, in the steps of the definition.
+_CONFIG = PrepConfig()
+_CANDIDATES = f"""WITH {_REC},
+fields AS (SELECT rid, source, 'name' AS field, name AS t FROM rec UNION ALL SELECT rid, source, 'address', address FROM rec),
+words AS (SELECT rid, source, field, unnest(string_split(t, ' ')) AS w FROM fields),
+terms AS (SELECT rid, source, field, 'w:' || w AS key FROM words
+  UNION ALL SELECT rid, source, field, '3:' || unnest({_sql_grams("w", 3)}) FROM words
+  UNION ALL SELECT rid, source, field, '4:' || unnest({_sql_grams("w", 4)}) FROM words
+  UNION ALL SELECT rid, source, field, '5:' || unnest({_sql_grams("w", 5)}) FROM words),
+size AS (SELECT count(*) AS n FROM rec WHERE source IN (2, 3)),
+idf AS (SELECT field, key, ln((n + 1) / (count(DISTINCT rid) + 1.0)) + 1 AS idf FROM terms, size WHERE source IN (2, 3) GROUP BY field, key, n),
+raw AS (SELECT rid, source, field, key, (1 + ln(count(*))) * coalesce(any_value(idf), (SELECT ln(n + 1) + 1 FROM size)) AS w FROM terms LEFT JOIN idf USING (field, key) GROUP BY rid, source, field, key),
+weights AS (SELECT rid, source, field, key, w / sqrt(sum(w * w) OVER (PARTITION BY rid, field)) AS w FROM raw),
+cosines AS (SELECT x.rid AS q, y.rid AS r, sum(x.w * y.w) FILTER (x.field = 'name') AS name_c, sum(x.w * y.w) FILTER (x.field = 'address') AS address_c
+  FROM weights x JOIN weights y USING (field, key) WHERE x.source = 1 AND y.source IN (2, 3) GROUP BY x.rid, y.rid),
+options AS (SELECT DISTINCT rid, source, field, key FROM terms WHERE key LIKE 'w:%' OR key LIKE '3:%'),
+rare AS (SELECT rid, field, key FROM options LEFT JOIN idf USING (field, key) WHERE source = 1
+  QUALIFY row_number() OVER (PARTITION BY rid, field ORDER BY coalesce(idf, (SELECT ln(n + 1) + 1 FROM size)) DESC, key) <= {_CONFIG.query_terms}),
+longest AS (SELECT rid, field, 'w:' || w AS key FROM (SELECT DISTINCT rid, field, w FROM words WHERE source = 1)
+  QUALIFY row_number() OVER (PARTITION BY rid, field ORDER BY length(w) DESC, w) <= {_CONFIG.query_terms}),
+keys AS (SELECT rid, 'A' AS channel, array_to_string(list_sort(string_split(name, ' ')), ' ') AS key FROM rec
+  UNION ALL SELECT rid, 'B', substr(replace(name, ' ', ''), 1, 3) FROM rec
+  UNION ALL SELECT rid, 'C', city || '|' || unnest(list_filter(string_split(address, ' '), lambda x: length(x) >= 3 AND NOT regexp_matches(x, '^[0-9]+$'))) FROM rec
+  UNION ALL SELECT rid, 'C', city || '||' || array_to_string(string_split(name, ' ')[1:3], ' ') FROM rec
+  UNION ALL SELECT rid, 'D', house || '|' || substr(replace(name, ' ', ''), 1, 3) FROM rec),
+met AS (SELECT DISTINCT q.rid AS q, r.rid AS r, channel FROM keys a JOIN keys b USING (channel, key) JOIN rec q ON q.rid = a.rid JOIN rec r ON r.rid = b.rid
+  WHERE q.source = 1 AND r.source IN (2, 3) AND {_MAY}),
+told AS (SELECT DISTINCT a.rid AS q, b.rid AS r FROM rare a JOIN options b USING (field, key) WHERE b.source IN (2, 3)),
+sized AS (SELECT *, count(*) OVER (PARTITION BY q, channel) AS n FROM met),
+blocks AS (SELECT q, r, channel FROM sized WHERE n <= {_CONFIG.block_limit}
+  UNION ALL SELECT q, r, channel FROM sized SEMI JOIN told USING (q, r) WHERE n > {_CONFIG.block_limit} QUALIFY row_number() OVER (PARTITION BY q, channel ORDER BY r) <= {_CONFIG.block_limit}),
+asked AS (SELECT 1 AS pass, * FROM rare UNION ALL SELECT 2, * FROM longest),
+hits AS (SELECT DISTINCT pass, a.field, q.rid AS q, r.rid AS r, r.entity_id AS eid FROM asked a JOIN options b USING (field, key) JOIN rec q ON q.rid = a.rid JOIN rec r ON r.rid = b.rid
+  WHERE r.source IN (2, 3) AND {_MAY}),
+pool AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY pass, field, q ORDER BY r) <= {_CONFIG.lexical_pool}),
+top AS (SELECT q, r, CASE field WHEN 'name' THEN 'E' ELSE 'F' END AS channel FROM pool LEFT JOIN cosines USING (q, r)
+  QUALIFY row_number() OVER (PARTITION BY pass, field, q ORDER BY round(coalesce(CASE field WHEN 'name' THEN name_c ELSE address_c END, 0), 9) DESC, eid) <= {_CONFIG.lexical_top_k}),
+united AS (SELECT q, r, {", ".join(f"max(CAST(channel = '{c}' AS INTEGER)) AS block_{c}" for c in "ABCDEF")} FROM (SELECT * FROM blocks UNION ALL SELECT * FROM top) GROUP BY q, r),
+v AS (SELECT u.*, b.entity_id AS r_id, least(1.0, coalesce(name_c, 0)) AS cn, least(1.0, coalesce(address_c, 0)) AS ca,
+    round(0.55 * cn + 0.30 * ca + 0.10 * CAST(a.name = b.name AS INTEGER) + 0.01 * (block_A + block_B + block_C + block_D + block_E + block_F), 9) AS s
+  FROM united u JOIN rec a ON a.rid = u.q JOIN rec b ON b.rid = u.r LEFT JOIN cosines USING (q, r)),
+x AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY round(cn, 9) DESC, r_id) AS rn, row_number() OVER (PARTITION BY q ORDER BY round(ca, 9) DESC, r_id) AS ra FROM v),
+k AS (SELECT *, (rn <= {_CONFIG.diverse_candidates} AND cn > 0) OR (ra <= {_CONFIG.diverse_candidates} AND ca > 0) AS kept FROM x),
+f AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY kept DESC, s DESC, r_id) AS place FROM k)
+SELECT q, r, row_number() OVER (PARTITION BY q ORDER BY s DESC, r_id) AS candidate_rank, round(s, 6) AS retrieval_score, round(cn, 6) AS name_cosine, round(ca, 6) AS address_cosine,
+  block_A, block_B, block_C, block_D, block_E, block_F FROM f WHERE place <= {_CONFIG.max_candidates}"""
+
+
+@query(_CANDIDATES)
+def linkage_candidates_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with terms as their own keys instead of their hashes."""
+    given = records(spark, sf_dir)
+    references = blocking.with_texts(given.where("source IN (2, 3)")).select("rid", *blocking.TEXT_FIELDS)
+    pairs, _ = blocking.candidates(given, tfidf.fit_tfidf(references, blocking.TEXT_FIELDS), PrepConfig())
+    rounded = {"retrieval_score": "retrieval_score", "name_cosine": "name_retrieval_cosine", "address_cosine": "address_retrieval_cosine"}
+    return pairs.select("q", "r", F.col("candidate_rank").cast("long").alias("candidate_rank"), *[F.round(c, 6).alias(n) for n, c in rounded.items()], *[f"block_{c}" for c in "ABCDEF"])
+
+
 # ---------------------------------------------------------------- neighbours
 
 
