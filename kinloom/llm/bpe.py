@@ -6,8 +6,13 @@ rows with the merge table and contracts every piece's leftmost pair of least ran
 until no pair is left; ordered aggregation then gives each piece's ids and decodes them.
 Texts are put together from their pieces.
 
-A piece of more than LONG_PIECE bytes takes as many steps as it has merges, each over
-all its rows; such pieces are contracted by a heap in Python instead, in the same order.
+A contraction takes a step of the query, so a piece of more than BLOCK bytes is cut into
+overlapping blocks, which are contracted side by side and joined at a token that both
+neighbours show at the same place. That is exact: a token sequence is the encoding of its
+bytes if and only if each two neighbours in it are the encoding of theirs (until a merge
+crosses a boundary, the tokens on both sides see the same merges as they would alone), and
+each two neighbours of the joined sequence stand in one block. Where two blocks
+have no token in common, the later one is widened to the left.
 
 Defined cases: null or empty text has no ids (n_tokens 0, hashes of nothing); an
 empty table gives an empty result; repeated rows are encoded alike.
@@ -17,8 +22,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
-from collections.abc import Callable
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +33,12 @@ from pyspark.sql import types as T
 
 from kinloom.llm.arrow_map import map_text, texts_of
 
-#: Longest piece, in bytes, that goes through the recursive query.
-LONG_PIECE = 512
-#: Pieces in one recursive query, and pieces and runs that a worker keeps from slice to slice.
-CHUNK, CACHE = 20_000, 1_400_000
+#: Longest block of a piece, in bytes; each begins in the middle of the one before.
+BLOCK = 128
+#: Pieces in one recursive query, and its rows over all steps (a step keeps a row for each token).
+CHUNK, ROWS = 20_000, 4_000_000
+#: Pieces and runs that a worker keeps from slice to slice.
+CACHE = 1_400_000
 
 # One row for each token: its place, the next row's place and token. A step finds each live
 # piece's best pair (rank, place, next place packed in one number, so the minimum is the
@@ -42,19 +49,19 @@ WITH RECURSIVE state(piece, pos, after, tok, nxt, live) AS (
   SELECT piece, pos, after, tok, nxt, true FROM starts
   UNION ALL
   (WITH best AS MATERIALIZED (
-     SELECT piece, min((m.rank::BIGINT << 32) | (s.pos << 16) | s.after) AS cut
+     SELECT piece, min((m.rank::BIGINT << 44) | (s.pos::BIGINT << 22) | s.after) AS cut
      FROM state s JOIN merges m ON m.pair = (s.tok::BIGINT << 32) | s.nxt
      WHERE s.live GROUP BY piece),
    dropped AS (
-     SELECT s.piece, s.after, s.nxt FROM state s JOIN best b ON b.piece = s.piece AND s.pos = b.cut & 65535
+     SELECT s.piece, s.after, s.nxt FROM state s JOIN best b ON b.piece = s.piece AND s.pos = b.cut & 4194303
      WHERE s.live)
    SELECT s.piece, s.pos,
-     CASE WHEN s.pos = (b.cut >> 16) & 65535 THEN d.after ELSE s.after END,
-     CASE WHEN s.pos = (b.cut >> 16) & 65535 THEN (b.cut >> 32)::INTEGER ELSE s.tok END,
-     CASE WHEN s.pos = (b.cut >> 16) & 65535 THEN d.nxt WHEN s.after = (b.cut >> 16) & 65535 THEN (b.cut >> 32)::INTEGER ELSE s.nxt END,
+     CASE WHEN s.pos = (b.cut >> 22) & 4194303 THEN d.after ELSE s.after END,
+     CASE WHEN s.pos = (b.cut >> 22) & 4194303 THEN (b.cut >> 44)::INTEGER ELSE s.tok END,
+     CASE WHEN s.pos = (b.cut >> 22) & 4194303 THEN d.nxt WHEN s.after = (b.cut >> 22) & 4194303 THEN (b.cut >> 44)::INTEGER ELSE s.nxt END,
      b.cut IS NOT NULL
    FROM state s LEFT JOIN best b ON b.piece = s.piece LEFT JOIN dropped d ON d.piece = s.piece
-   WHERE s.live AND (b.cut IS NULL OR s.pos <> b.cut & 65535))
+   WHERE s.live AND (b.cut IS NULL OR s.pos <> b.cut & 4194303))
 )
 SELECT piece, string_agg(shown, ',' ORDER BY pos) AS tokens
 FROM state JOIN vocabulary USING (tok) WHERE NOT live
@@ -67,6 +74,25 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
+def batches(raw: list[bytes]) -> Iterator[list[bytes]]:
+    """Byte strings for one query each: at most CHUNK, and ROWS rows over all its steps."""
+    part: list[bytes] = []
+    rows = 0
+    for x in raw:
+        if part and (len(part) == CHUNK or rows + len(x) ** 2 > ROWS):
+            yield part
+            part, rows = [], 0
+        part.append(x)
+        rows += len(x) ** 2
+    if part:
+        yield part
+
+
+def grid(raw: bytes) -> list[tuple[int, int]]:
+    """The blocks of a long piece, each half over the one before."""
+    return [(at, min(at + BLOCK, len(raw))) for at in range(0, len(raw) - BLOCK // 2, BLOCK // 2)]
+
+
 _ENCODERS: dict[tuple[str, str], DuckBpe] = {}
 
 
@@ -89,7 +115,6 @@ class DuckBpe:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.bytes_to_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [(a << 32 | b, rank) for token, rank in ranks.items() for i in range(1, len(token)) if (a := ranks.get(token[:i])) is not None and (b := ranks.get(token[i:])) is not None]
-        self.merges = dict(pairs)
         self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
         for name, table in (
             ("merges", pa.table({"pair": pa.array([p for p, _ in pairs], pa.int64()), "rank": pa.array([r for _, r in pairs], pa.int32())})),
@@ -98,37 +123,15 @@ class DuckBpe:
             self.db.register("given", table)
             self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.db.unregister("given")
-        #: piece -> ids as text and decoded bytes; the same for runs of pieces, see _cut
+        #: piece -> ids as text and decoded bytes; the same for runs of pieces, see _cut; block -> ids
         self.pieces: dict[str, tuple[str, bytes]] = {}
+        self.blocks: dict[bytes, list[int]] = {}
         self.run_ids: dict[str, str] = {}
         self.run_bytes: dict[str, bytes] = {}
         self.odd: set[str] = set()
 
-    def _by_heap(self, raw: bytes) -> list[int]:
-        """Leftmost least pair first, for pieces too long for the recursive query."""
-        toks = [int(x) for x in self.bytes_to_ids[np.frombuffer(raw, np.uint8)]]
-        n = len(toks)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        alive = [True] * n
-        get = self.merges.get
-        heap = [(r, i, toks[i], toks[i + 1]) for i in range(n - 1) if (r := get(toks[i] << 32 | toks[i + 1])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            rank, i, a, b = heapq.heappop(heap)
-            j = after[i]
-            if not alive[i] or j >= n or toks[i] != a or toks[j] != b:
-                continue
-            toks[i], alive[j], after[i] = rank, False, after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            for left in (before[i], i):
-                right = after[left] if left >= 0 else n
-                if right < n and (r := get(toks[left] << 32 | toks[right])) is not None:
-                    heapq.heappush(heap, (r, left, toks[left], toks[right]))
-        return [t for t, live in zip(toks, alive, strict=True) if live]
-
-    def _contract(self, pieces: list[str]) -> None:
-        raw = [p.encode() for p in pieces]
+    def _contract(self, raw: list[bytes]) -> Iterator[tuple[list[str], bytes]]:
+        """The ids of each byte string and the bytes decoded from them."""
         lengths = np.array([len(x) for x in raw], np.int32)
         starts = np.cumsum(lengths, dtype=np.int32) - lengths
         piece = np.repeat(np.arange(len(raw), dtype=np.int32), lengths)
@@ -138,25 +141,64 @@ class DuckBpe:
         self.db.register("starts", pa.table({"piece": piece, "pos": pos, "after": pa.array(pos + 1, mask=last), "tok": tok, "nxt": pa.array(np.append(tok[1:], np.int32(0)), mask=last)}))
         found = self.db.sql(_CONTRACT).to_arrow_table()
         self.db.unregister("starts")
-        for own, line in zip(pieces, found.column("tokens").to_pylist(), strict=True):
+        for line in found.column("tokens").to_pylist():
             tokens = [t.partition(":") for t in line.split(",")]
-            self.pieces[own] = (",".join([t[0] for t in tokens]), bytes.fromhex("".join([t[2] for t in tokens])))
+            yield [t[0] for t in tokens], bytes.fromhex("".join([t[2] for t in tokens]))
+
+    def _learn_blocks(self, blocks: set[bytes]) -> None:
+        fresh = list(blocks - self.blocks.keys())
+        for part in batches(fresh):
+            self.blocks.update((block, list(map(int, ids))) for block, (ids, _) in zip(part, self._contract(part), strict=True))
+
+    def _placed(self, raw: bytes, start: int, end: int) -> list[tuple[int, int]]:
+        """The tokens of a block and their places in the whole."""
+        self._learn_blocks({raw[start:end]})
+        out = []
+        for tok in self.blocks[raw[start:end]]:
+            out.append((start, tok))
+            start += len(self.tokens[tok])
+        return out
+
+    def _joined_blocks(self, raw: bytes) -> list[int]:
+        """The ids of a long piece."""
+        out = self._placed(raw, 0, BLOCK)
+        for at, end in grid(raw)[1:]:
+            start, reach = at, BLOCK
+            while True:
+                block = self._placed(raw, start, end)
+                first = bisect_left(out, (start, -1))
+                there = {token: i for i, token in enumerate(out[first:], first + 1)}
+                shared = next((i for i, token in enumerate(block) if token in there), None)
+                if shared is not None:
+                    out[there[block[shared]] :] = block[shared + 1 :]
+                    break
+                if start == 0:
+                    out = block
+                    break
+                # From a token of the joined part on, and each time twice as far back.
+                start = out[bisect_left(out, (end - reach + 1, -1)) - 1][0] if end > reach else 0
+                reach *= 2
+        return [tok for _, tok in out]
 
     def _learn(self, pieces: set[str]) -> None:
-        rest = []
+        rest, long = [], []
         for piece in pieces:
             if piece not in self.pieces:
                 raw = piece.encode()
                 rank = self.ranks.get(raw)
                 if rank is not None:
                     self.pieces[piece] = (str(rank), self.tokens[rank])
-                elif len(raw) > LONG_PIECE:
-                    ids = self._by_heap(raw)
-                    self.pieces[piece] = (",".join(map(str, ids)), b"".join([self.tokens[i] for i in ids]))
+                elif len(raw) > BLOCK:
+                    long.append(raw)
                 else:
-                    rest.append(piece)
-        for k in range(0, len(rest), CHUNK):
-            self._contract(rest[k : k + CHUNK])
+                    rest.append(raw)
+        for part in batches(rest):
+            self.pieces.update((raw.decode(), (",".join(ids), decoded)) for raw, (ids, decoded) in zip(part, self._contract(part), strict=True))
+        self._learn_blocks({raw[start:end] for raw in long for start, end in grid(raw)})
+        for raw in long:
+            ids = self._joined_blocks(raw)
+            self.pieces[raw.decode()] = (",".join(map(str, ids)), b"".join([self.tokens[i] for i in ids]))
+        self.blocks.clear()
 
     def _cut(self, text: str) -> list[str] | None:
         """The text cut before each space and around each line end. Where white space stands

@@ -26,7 +26,7 @@ def noise(seed):
 
 
 def test_ids_are_the_librarys(documents, edge_rows, library):
-    rows = edge_rows + [(100 + i, noise(i)) for i in range(500)] + [(900, "ab" * 4000), (901, "é" * 700)]
+    rows = edge_rows + [(100 + i, noise(i)) for i in range(500)] + [(900, "ab" * 4000), (901, "é" * 700), (902, "".join(chr(97 + i * i % 23) for i in range(60_000)))]
     got = bpe.encode_decode(documents(rows), PATH, public_tokenizers.PATTERN).collect()
     assert len(got) == len(rows)
     by_id = {r["doc_id"]: r for r in got}
@@ -48,11 +48,29 @@ def test_digests_and_empty_table(documents, library):
     assert bpe.encode_decode(documents([]), PATH, public_tokenizers.PATTERN, digests=True).collect() == []
 
 
-def test_heap_and_recursive_query_agree(library):
-    encoder = bpe.DuckBpe(bpe.load_ranks(PATH), public_tokenizers.PATTERN)
+def long_pieces():
     chance = random.Random(5)
-    pieces = ["".join(chance.choice("abcdetéö") for _ in range(chance.randrange(2, 40))) for _ in range(200)]
-    encoder._learn(set(pieces))
+    letters = ["abcdet", "aab", "eéö", "日本語の", "the and ing er".replace(" ", ""), "ACGT"]
+    yield from ("".join(chance.choice(own) for _ in range(chance.randrange(40, 1500))) for own in letters for _ in range(12))
+    yield from ("a" * 3001, "ab" * 2000 + "c", "=" * 1999, "é" * 700, "x" + "a" * 517, "-_" * 700, "日" * 999)
+
+
+@pytest.mark.parametrize("block", [8, 16, 128])
+def test_joined_blocks_are_one_piece(library, monkeypatch, block):
+    """Small blocks share no token with their neighbours now and then, and are widened."""
+    monkeypatch.setattr(bpe, "BLOCK", block)
+    encoder = bpe.DuckBpe(bpe.load_ranks(PATH), public_tokenizers.PATTERN)
+    pieces = {p for text in long_pieces() for p in encoder.pattern.findall(text[: 60 * block])}
+    assert any(len(p.encode()) > 3 * block for p in pieces)
+    encoder._learn(pieces)
     for piece in pieces:
-        if piece.encode() not in encoder.ranks:
-            assert ",".join(map(str, encoder._by_heap(piece.encode()))) == encoder.pieces[piece][0]
+        ids, decoded = encoder.pieces[piece]
+        assert ids == ",".join(map(str, library.encode_ordinary(piece))), piece[:80]
+        assert decoded == piece.encode()
+
+
+def test_batches_bound_the_rows_of_a_query():
+    raw = [b"x" * n for n in (128,) * 600 + (3,) * 50_000]
+    parts = list(bpe.batches(raw))
+    assert [x for part in parts for x in part] == raw
+    assert all(len(p) <= bpe.CHUNK and sum(len(x) ** 2 for x in p) <= bpe.ROWS for p in parts)
