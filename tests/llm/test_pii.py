@@ -1,8 +1,10 @@
 """Base spans against plain patterns; discoveries from contexts."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -94,3 +96,58 @@ def test_a_long_identifier_is_discovered(documents):
     rows = [(i, f"please mail: user{i}@example{i}.org today") for i in range(60)] + [(100, f"please mail: {long} today")]
     got = {r["doc_id"]: r["spans"] for r in pii.extract(documents(rows)).collect()}
     assert got[100] == f"email:13:{13 + len(long)}"
+
+
+def learn_brute(mentions):
+    """Believed values by dictionaries: (value, kind) -> belief, from (value, kind, looks, patterns)."""
+    edges = Counter((p, v, k, tuple(looks)) for v, k, looks, patterns in mentions for p in patterns)
+    totals = Counter()
+    for (p, _, _, _), n in edges.items():
+        totals[p] += n
+    seeds = {(v, k): 1.0 for _, v, k, _ in edges if k}
+    believed, confident = dict(seeds), {}
+    for _ in range(pii.ROUNDS):
+        weight, support = Counter(), {}
+        for (p, v, _, _), n in edges.items():
+            for (own, kind), belief in believed.items():
+                if own == v:
+                    weight[p, kind] += n * belief
+                    support.setdefault((p, kind), set()).add(v)
+        confident = {
+            (p, kind): w / (totals[p] + pii.SMOOTHING)
+            for (p, kind), w in weight.items()
+            if len(support[p, kind]) >= pii.LEAST_SUPPORT and w / (totals[p] + pii.SMOOTHING) >= pii.LEAST_CONFIDENCE
+        }
+        evidence = {}
+        for (p, v, k, looks), n in edges.items():
+            for (own, kind), c in confident.items():
+                if own == p and k is None and kind in looks:
+                    evidence.setdefault((v, kind), []).append((n, math.log(1 - c)))
+        # As many mentions as there are, each with the mean doubt of the value's patterns.
+        believed = seeds | {key: 1 - math.exp(sum(n for n, _ in own) * sum(d for _, d in own) / len(own)) for key, own in evidence.items()}
+    return confident, {key: b for key, b in believed.items() if b >= pii.LEAST_BELIEF}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_rounds_are_those_of_dictionaries(spark, seed):
+    """Random graphs: patterns of mixed purity, chains that only later rounds reach, repeated mentions."""
+    chance = random.Random(seed)
+    kinds = list(pii.ORDER)
+    pure = {f"p{i}": (chance.choice(kinds), chance.choice([0.7, 0.95, 1.0])) for i in range(10)}
+    mentions = []
+    for i in range(220):
+        own = chance.sample(sorted(pure), chance.randrange(1, 4))
+        kind = pure[own[0]][0] if chance.random() < pure[own[0]][1] else chance.choice(kinds)
+        seed_kind = kind if chance.random() < 0.8 else None
+        mentions += [(f"v{i}", seed_kind, [] if seed_kind else [kind, "card"][: 1 + i % 2], own)] * chance.choice([1, 1, 3])
+    for i in range(14):  # values that one confident pattern reaches, and a pattern only they hold up
+        mentions += [(f"w{i}", None, ["phone"], ["first", "second"] if i < 12 else ["second"])] * 2
+    mentions += [(f"s{i}", "phone", [], ["first"]) for i in range(80)]
+    frame = spark.createDataFrame(mentions, "value string, kind string, looks array<string>, patterns array<string>")
+    patterns, believed = pii.learn(frame)
+    confident, values = learn_brute(mentions)
+    found = {(r["pattern"], r["for_kind"]): r["confidence"] for r in patterns.collect()}
+    assert found == pytest.approx(confident)
+    got = {(r["value"], r["kind"]): r["belief"] for r in believed.collect()}
+    assert got == pytest.approx(values)
+    assert ("w0", "phone") in values and ("second", "phone") in confident and ("w13", "phone") in values
