@@ -13,6 +13,7 @@ pieces as windows it touches; other columns are not read.
 from __future__ import annotations
 
 import re
+import sys
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -28,8 +29,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from kinloom.llm.arrow_map import text_slices, texts_of
 from kinloom.session import ship_package, staged
 
-#: Words kept in a worker's cache; at this count it is emptied and filled again.
-CACHE_WORDS = 900_000
+#: Bytes of words and ids kept in a worker's cache; beyond them it is emptied and filled again.
+CACHE_BYTES = 192 << 20
+#: What an entry takes besides the word itself and its ids.
+ENTRY_BYTES = 140
 
 # Within a word of these characters the tokenizer's normaliser only lower-cases, so the
 # splitting rule can be applied here and each part be given to the model itself.
@@ -69,6 +72,19 @@ class WordTokenizer:
         self.letters = _byte_letters()
         self.words: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {"": b""}
+        self.held = 0
+
+    def _remember(self, cache: dict[str, bytes], word: str, ids: bytes) -> bytes:
+        size = sys.getsizeof(word) + len(ids) + ENTRY_BYTES
+        if self.held + size > CACHE_BYTES:
+            self.words.clear()
+            self.parts.clear()
+            self.words[""] = self.parts[""] = b""
+            self.held = 0
+        if size <= CACHE_BYTES:
+            cache[word] = ids
+            self.held += size
+        return ids
 
     def _part(self, part: str) -> bytes:
         letters = self.letters
@@ -83,7 +99,7 @@ class WordTokenizer:
         for part in _PARTS.findall(lower):
             ids = self.parts.get(part)
             if ids is None:
-                ids = self.parts[part] = self._part(part)
+                ids = self._remember(self.parts, part, self._part(part))
             out.append(ids)
         return b"".join(out)
 
@@ -99,14 +115,11 @@ class WordTokenizer:
             return b"".join(map(cache.__getitem__, words)) + self.end
         except KeyError:
             pass
-        if len(self.words) + len(self.parts) > CACHE_WORDS:
-            self.words.clear()
-            self.parts.clear()
-            self.words[""] = self.parts[""] = b""
+        out = []
         for word in words:
-            if word not in cache:
-                cache[word] = make(word)
-        return b"".join(map(cache.__getitem__, words)) + self.end
+            ids = cache.get(word)
+            out.append(self._remember(cache, word, make(word)) if ids is None else ids)
+        return b"".join(out) + self.end
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
