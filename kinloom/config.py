@@ -64,12 +64,14 @@ class DenseConfig:
     ann_top_k: int = 32
     ann_shortlist: int = 128
     ann_training_rows: int = 100_000
+    #: Bytes of a compressed vector; must divide the dimension.
+    pq_m: int = 32
     #: Partitions below this many references are searched exactly.
     exact_below: int = 10_000
     seed: int = 42
 
     def __post_init__(self) -> None:
-        _positive(self, "nlist", "nprobe", "ann_top_k", "ann_shortlist", "ann_training_rows")
+        _positive(self, "nlist", "nprobe", "ann_top_k", "ann_shortlist", "ann_training_rows", "pq_m")
         if self.ann_top_k > self.ann_shortlist:
             raise ValueError("ann_top_k must not exceed ann_shortlist")
 

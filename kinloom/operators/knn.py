@@ -1,20 +1,18 @@
 """Nearest neighbours by inner product of unit vectors, in partitions of equal country and source.
 
 Below a partition size the search is exact: blocks of queries meet blocks of references as
-matrices. Beyond it references are dealt to k-means lists, a query looks into its
-nearest few, and the shortlist is ranked by true cosine."""
+matrices. Beyond it, each partition has an index of compressed lists (`operators.ivf`)."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinloom.config import DenseConfig
-from kinloom.functions.similarity import dot, unit_vector
+from kinloom.functions.similarity import dot, unit_vector  # noqa: F401
+from kinloom.operators import ivf
 from kinloom.session import ship_package
 
 #: Rows of a block of queries or references that meet as matrices.
@@ -63,45 +61,6 @@ def ranked(pairs: DataFrame, k: int, on: str) -> DataFrame:
     return pairs.withColumn("rank", at).where(F.col("rank") <= k).select("q", "r", "cosine", "rank", on)
 
 
-def ivf_top_k(queries: DataFrame, references: DataFrame, config: DenseConfig, on: str = "part") -> DataFrame:
-    """As exact_top_k, approximately: inverted lists of k-means cells.
-
-    A query probes the nprobe nearest of the cells that hold rows of its own partition, and further ones
-    until those hold k rows, so it gets k neighbours wherever its partition has them.
-    Cells are fitted on at most ann_training_rows references chosen by hash; every reference is
-    listed. The cell centres (nlist vectors) go to every task; that bound is config.nlist."""
-    n = references.count()
-    if not n:
-        return exact_top_k(queries, references, config.ann_top_k, on)
-    chosen = references.where(F.pmod(F.xxhash64("r", F.lit(config.seed)), F.lit(1_000_000)) < min(1_000_000, 1_000_000 * config.ann_training_rows // n))
-    lists = min(config.nlist, max(1, min(n, config.ann_training_rows) // 40))
-    vectors = chosen.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
-    centres = np.array(KMeans(k=lists, seed=config.seed, maxIter=10).fit(vectors).clusterCenters())
-
-    @F.pandas_udf("array<int>")
-    def cells(embeddings: pd.Series, held: pd.Series, sizes: pd.Series) -> pd.Series:
-        given = np.stack(embeddings.to_numpy())
-        far = (centres**2).sum(1) - 2 * given @ centres.T
-        out = []
-        for row, own, rows in zip(far, held, sizes, strict=True):
-            order = np.argsort(row[own], kind="stable")
-            enough = int(np.searchsorted(np.cumsum(rows[order]), config.ann_top_k)) + 1
-            out.append(own[order[: max(config.nprobe, enough)]].astype(np.int32))
-        return pd.Series(out)
-
-    @F.pandas_udf("int")
-    def nearest_cell(embeddings: pd.Series) -> pd.Series:
-        return pd.Series(np.argmin((centres**2).sum(1) - 2 * np.stack(embeddings.to_numpy()) @ centres.T, axis=1).astype(np.int32))
-
-    listed = references.withColumn("cell", nearest_cell("embedding"))
-    # A row for each partition, with at most `lists` cells.
-    held = listed.groupBy(on, "cell").agg(F.count("*").alias("n")).groupBy(on).agg(F.sort_array(F.collect_list(F.struct("cell", "n"))).alias("held"))
-    placed = queries.join(held, on)
-    asked = placed.withColumn("cell", F.explode(cells("embedding", F.col("held.cell"), F.col("held.n")))).drop("held")
-    pairs = asked.withColumnRenamed("embedding", "own").join(listed, [on, "cell"]).select("q", "r", on, dot(F.col("own"), F.col("embedding")).alias("cosine"))
-    return ranked(pairs, config.ann_top_k, on)
-
-
 def neighbours(records: DataFrame, config: DenseConfig) -> DataFrame:
     """(q, r, neural_cosine, neural_rank): channel G.
 
@@ -122,5 +81,5 @@ def neighbours(records: DataFrame, config: DenseConfig) -> DataFrame:
     found = exact_top_k(queries.where(small).drop("n"), sized.where(small).drop("n"), config.ann_top_k)
     large = sized.where(~small).drop("n")
     if large.head(1):
-        found = found.unionByName(ivf_top_k(queries.where(~small).drop("n"), large, config))
+        found = found.unionByName(ivf.top_k(queries.where(~small).drop("n"), large, config))
     return found.select("q", "r", F.col("cosine").alias("neural_cosine"), F.col("rank").alias("neural_rank"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kinloom.config import DenseConfig, MatcherConfig, PrepConfig
 from kinloom.functions import hashing, normalize, tokens
 from kinloom.functions import similarity as sim
-from kinloom.operators import blocking, evaluation, features, knn, labeling, matcher, sampling, tfidf
+from kinloom.operators import blocking, evaluation, features, ivf, knn, labeling, matcher, sampling, tfidf
 from kinloom.operators.components import connected_components
 from kinloom.schemas import RECORD_TEXTS
 from kinloom.session import read_table, staged
@@ -455,13 +455,37 @@ def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_NEAREST)
 def knn_ivf_every_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inverted lists of which every query probes all, which is the exact search again."""
-    found = knn.ivf_top_k(*_vectors(spark, sf_dir), DenseConfig(ann_top_k=5, nlist=64, nprobe=64))
+    found = ivf.top_k(*_vectors(spark, sf_dir), DenseConfig(ann_top_k=5, nlist=64, nprobe=64, ann_shortlist=1_000_000))
     return found.select("q", "r", F.col("rank").cast("long").alias("rank"), F.round("cosine", 5).alias("cosine"))
 
 
 @query()
 def knn_ivf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return knn.ivf_top_k(*_vectors(spark, sf_dir), DenseConfig(ann_top_k=5, nlist=64, nprobe=16))
+    """Half of the lists of each partition, shortlists of 128 by codes of 32 bytes."""
+    return ivf.top_k(*_vectors(spark, sf_dir), DenseConfig(ann_top_k=5, nlist=64, nprobe=32))
+
+
+_CODED = DenseConfig(ann_top_k=5, nlist=4, nprobe=3, pq_m=16, ann_shortlist=64)
+
+
+@query("""SELECT CAST(vec_id % 2 AS INT) AS part, count(*) FILTER (vec_id % 3 = 0) AS queries, count(*) FILTER (vec_id % 3 <> 0) AS indexed,
+  CAST(least(4, greatest(1, count(*) FILTER (vec_id % 3 <> 0) // 40)) AS INT) AS lists, 16 AS code_bytes, TRUE AS nine_in_ten_found FROM embeddings GROUP BY 1""")
+def knn_ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two partitions with an index each: what is indexed, and whether three of four lists find the nearest of nine queries in
+    ten. A query is a vector drawn to the reference two ids on: a record and its distorted copy."""
+    given = knn.units(read_table(spark, sf_dir, "embeddings").select("vec_id", (F.col("vec_id") % 2).cast("int").alias("part"), "embedding"))
+    queries, references = given.where("vec_id % 3 = 0").withColumnRenamed("vec_id", "q"), given.where("vec_id % 3 <> 0").withColumnRenamed("vec_id", "r")
+    near = references.select((F.col("r") - 2).alias("q"), F.col("embedding").alias("near"))
+    drawn = F.when(F.col("near").isNotNull(), F.zip_with("embedding", "near", lambda own, other: own + 2 * other)).otherwise(F.col("embedding"))
+    queries = knn.units(queries.join(near, "q", "left").withColumn("embedding", drawn).drop("near"))
+    index = ivf.build(references, _CODED)
+    found = ivf.search(index, queries, references, _CODED).select("q", "part", "r")
+    wanted = knn.exact_top_k(queries, references, 1).select("q", "part", "r")
+    hits = wanted.join(found.withColumn("hit", F.lit(1)), ["q", "part", "r"], "left").groupBy("part").agg((F.count("hit") >= 0.9 * F.count("*")).alias("nine_in_ten_found"))
+    indexed = index.codes.groupBy(F.col("part").cast("int").alias("part")).agg(F.count("*").alias("indexed"), F.max(F.length("code")).alias("code_bytes"))
+    lists = index.models.select(F.col("part").cast("int").alias("part"), "lists")
+    asked = queries.groupBy("part").agg(F.count("*").alias("queries"))
+    return asked.join(indexed, "part").join(lists, "part").join(hits, "part").select("part", "queries", "indexed", "lists", "code_bytes", "nine_in_ten_found")
 
 
 # ---------------------------------------------------------------- truth

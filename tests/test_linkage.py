@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kinloom.config import DenseConfig, MatcherConfig, PrepConfig
 from kinloom.functions.normalize import clean_records
-from kinloom.operators import blocking, components, evaluation, features, knn, labeling, matcher, sampling, tfidf
+from kinloom.operators import blocking, components, evaluation, features, ivf, knn, labeling, matcher, sampling, tfidf
 from kinloom.plans import linkage
 from kinloom.sources import tables
 
@@ -109,7 +109,7 @@ def test_neighbours(spark):
     rows = [(i + 2, 2, "US", v.tolist()) for i, v in enumerate(vectors)] + [(1, 1, "US", vectors[17].tolist())]
     records = spark.createDataFrame(rows, "rid long, source int, country_key string, embedding array<double>")
     for exact_below in (10_000, 100):
-        got = knn.neighbours(records, DenseConfig(ann_top_k=5, nlist=16, nprobe=8, exact_below=exact_below)).orderBy("neural_rank").collect()
+        got = knn.neighbours(records, DenseConfig(ann_top_k=5, nlist=16, nprobe=8, pq_m=4, exact_below=exact_below)).orderBy("neural_rank").collect()
         assert len(got) == 5 and got[0]["r"] == 19 and got[0]["neural_cosine"] == pytest.approx(1)
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     best = set((np.argsort(-(unit @ unit[17]))[:5] + 2).tolist())
@@ -220,9 +220,9 @@ def test_ivf_finds_k_in_partitions_far_from_the_query(spark):
     rows = [(i, "a", v) for i, v in enumerate(cloud(near, 900))] + [(1000 + i, "b", v) for i, v in enumerate(cloud(far, 300))]
     references = spark.createDataFrame(rows, "r long, part string, embedding array<double>")
     queries = spark.createDataFrame([(i, p, v) for i, v in enumerate(cloud(near, 20)) for p in "ab"], "q long, part string, embedding array<double>")
-    config = DenseConfig(ann_top_k=5, nlist=16, nprobe=8)
+    config = DenseConfig(ann_top_k=5, nlist=16, nprobe=8, pq_m=8)
     pairs = lambda df: {(r["q"], r["part"], r["r"]) for r in df.collect()}
-    exact, got = pairs(knn.exact_top_k(queries, references, 5)), pairs(knn.ivf_top_k(queries, references, config))
+    exact, got = pairs(knn.exact_top_k(queries, references, 5)), pairs(ivf.top_k(queries, references, config))
     for part in "ab":
         wanted = {x for x in exact if x[1] == part}
         assert len({x for x in got if x[1] == part}) == len(wanted) == 100
