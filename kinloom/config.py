@@ -36,6 +36,8 @@ class PrepConfig:
     india_retrieval_multiplier: int = 1
     word_retrieval: int = 1
     diverse_candidates: int = 8
+    #: Order of full-text pools and of overflowed blocks before their cut: by record number or by score.
+    lexical_order: str = "rowid"
     #: hash: by query; cluster: by connected component of shared references.
     split_strategy: str = "hash"
 
@@ -47,6 +49,8 @@ class PrepConfig:
             raise ValueError("validation_fraction must lie in (0, 1)")
         if self.lexical_top_k > self.lexical_pool:
             raise ValueError("lexical_top_k must not exceed lexical_pool")
+        if self.lexical_order not in ("rowid", "bm25"):
+            raise ValueError("lexical_order is rowid or bm25")
         if self.split_strategy not in ("hash", "cluster"):
             raise ValueError("split_strategy is hash or cluster")
 

@@ -8,6 +8,8 @@ Lists that a limit cuts anyway are cut before they meet a query: a pool of k ref
 in order of rid that match any of some terms lies in the union of each term's first k.
 Hot keys and terms therefore cost k rows for each query, whatever their frequency.
 
+With `lexical_order` "bm25", pools and overflowed blocks keep the best by score instead (`operators.ranked`).
+
 Scores are compared at nine decimals, so the order in which a sum was taken breaks no tie.
 """
 
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from kinloom.config import PrepConfig
 from kinloom.functions import tokens
+from kinloom.operators import ranked
 from kinloom.operators.tfidf import TfidfModel, longest_words, pair_cosines, rarest_tokens
 from kinloom.session import staged
 
@@ -64,12 +67,12 @@ def exact_blocks(queries: DataFrame, references: DataFrame, channels: str = "ABC
     return left.join(right, ["channel", "key", "scope"]).select("q", "r", "channel").distinct()
 
 
-def limited_blocks(queries: DataFrame, references: DataFrame, query_tokens: DataFrame, limit: int, channels: str = "ABCD") -> tuple[DataFrame, DataFrame]:
+def limited_blocks(queries: DataFrame, references: DataFrame, query_tokens: DataFrame, limit: int, channels: str = "ABCD", known: ranked.Statistics | None = None) -> tuple[DataFrame, DataFrame]:
     """(q, r, channel) and the overflowed (q, channel).
 
     A channel of a query with more than `limit` references keeps the first `limit` of those that
-    also share one of its tokens (q, field, token); without tokens, none. Keys of more than
-    `limit` references overflow by themselves and are never joined whole.
+    also share one of its tokens (q, field, token); without tokens, none. First is by rid, or with `known` statistics by
+    score. Keys of more than `limit` references overflow by themselves and are never joined whole.
     """
     left = key_table(queries, channels, query_scopes(F.col("country_key"))).withColumnRenamed("rid", "q")
     right = key_table(references, channels, reference_scopes(F.col("country_key"))).withColumnRenamed("rid", "r")
@@ -93,6 +96,14 @@ def limited_blocks(queries: DataFrame, references: DataFrame, query_tokens: Data
     asked = query_tokens.join(overflow.select("q").distinct(), "q", "left_semi")
     by_token = by_token.join(asked.select("field", "token").distinct(), ["field", "token"], "left_semi")
     lists = right.join(used, key, "left_semi").join(by_token, "r").withColumnRenamed("r", "rid")
+    if known is not None:
+        # A query's channel is a query of its own, its keys are the scopes.
+        of_channel, scope = F.concat_ws("|", "q", "channel").alias("q"), F.concat_ws("|", "key", "scope").alias("scope")
+        scopes = open_keys.select(of_channel, scope, F.lit(limit).alias("limit"))
+        own = asked.join(overflow, "q").select(of_channel, "field", "token")
+        best = ranked.ranked_pool(own, lists.select("rid", "field", "token", scope), scopes, known)
+        cut = best.select(F.split_part("q", F.lit("|"), F.lit(1)).cast(dict(queries.dtypes)["rid"]).alias("q"), "r", F.split_part("q", F.lit("|"), F.lit(2)).alias("channel"))
+        return whole.unionByName(cut), overflow
     lists = first_of(lists, [*key, "field", "token"], limit).withColumnRenamed("rid", "r")
     pool = open_keys.join(asked, "q").join(lists, [*key, "field", "token"]).select("q", "channel", "r").distinct()
     at = F.row_number().over(Window.partitionBy("q", "channel").orderBy("r"))
@@ -112,6 +123,13 @@ def lexical_pool(query_tokens: DataFrame, postings: DataFrame, scopes: DataFrame
     return met.withColumn("at", at).where(F.col("at") <= pool * F.col("multiplier")).select("q", "r", "multiplier")
 
 
+def ranked_lexical_pool(query_tokens: DataFrame, postings: DataFrame, scopes: DataFrame, pool: int, field: str, known: ranked.Statistics) -> DataFrame:
+    """As lexical_pool, the first by score instead of by rid."""
+    limits = scopes.select("q", "scope", (F.col("multiplier") * pool).alias("limit"))
+    best = ranked.ranked_pool(query_tokens.select("q", F.lit(field).alias("field"), "token"), postings.withColumn("field", F.lit(field)), limits, known)
+    return best.join(scopes.select("q", "multiplier").distinct(), "q").select("q", "r", "multiplier")
+
+
 def lexical_top_k(pool: DataFrame, vectors: DataFrame, ids: DataFrame, field: str, top_k: int) -> DataFrame:
     """(q, r) of the pool's top_k x multiplier by cosine, ties by entity id."""
     scored = pair_cosines(pool, vectors.select("rid", f"{field}_vector"), [field]).join(ids.select(F.col("rid").alias("r"), "entity_id"), "r")
@@ -160,14 +178,16 @@ def candidates(records: DataFrame, model: TfidfModel, config: PrepConfig, neural
     scopes = queries.select(F.col("rid").alias("q"), multiplier.alias("multiplier"), F.explode(query_scopes(F.col("country_key"))).alias("scope"))
     rare = {f: staged(rarest_tokens(queries, model, f, config.query_terms).withColumnRenamed("rid", "q"), "block-rare") for f in TEXT_FIELDS}
     both = rare["name"].withColumn("field", F.lit("name")).unionByName(rare["address"].withColumn("field", F.lit("address")))
-    met, overflow = limited_blocks(queries, references, both, config.block_limit)
+    known = ranked.statistics(references, TEXT_FIELDS) if config.lexical_order == "bm25" else None
+    met, overflow = limited_blocks(queries, references, both, config.block_limit, known=known)
     for channel, field in (("E", "name"), ("F", "address")):
         postings = token_table(references, field, reference_scopes(F.col("country_key")))
         passes = [rare[field]]
         if config.word_retrieval:
             passes.append(longest_words(queries, field, config.query_terms).withColumnRenamed("rid", "q"))
         for asked in passes:
-            top = lexical_top_k(lexical_pool(asked, postings, scopes, config.lexical_pool), vectors, references, field, config.lexical_top_k)
+            pool = lexical_pool(asked, postings, scopes, config.lexical_pool) if known is None else ranked_lexical_pool(asked, postings, scopes, config.lexical_pool, field, known)
+            top = lexical_top_k(pool, vectors, references, field, config.lexical_top_k)
             met = met.unionByName(top.withColumn("channel", F.lit(channel)))
     if neural is not None:
         met = met.unionByName(neural.select("q", "r", F.lit("G").alias("channel")))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from kinloom.config import DenseConfig, MatcherConfig, PrepConfig
 from kinloom.functions import hashing, normalize, tokens
 from kinloom.functions import similarity as sim
-from kinloom.operators import blocking, evaluation, features, ivf, knn, labeling, matcher, sampling, tfidf
+from kinloom.operators import blocking, evaluation, features, ivf, knn, labeling, matcher, ranked, sampling, tfidf
 from kinloom.operators.components import connected_components
 from kinloom.schemas import RECORD_TEXTS
 from kinloom.session import read_table, staged
@@ -333,6 +333,48 @@ def lexical_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cosines.groupBy("q").agg(F.count("*").alias("n"), F.round(F.max("name_cosine"), 6).alias("best"), F.round(F.min("name_cosine"), 6).alias("worst"))
 
 
+# Every record has ten terms besides those of its texts: the country and nine block keys.
+_RANKED = f"""{_TERMS},
+places AS (SELECT rid, source, unnest(string_split(address, ' ')) AS w FROM rec),
+opts AS (SELECT DISTINCT rid, source, 'name' AS field, key FROM terms WHERE key LIKE 'w:%' OR key LIKE '3:%'
+  UNION SELECT rid, source, 'address', 'w:' || w FROM places UNION SELECT rid, source, 'address', '3:' || unnest({_sql_grams("w", 3)}) FROM places),
+lengths AS (SELECT rid, 10 + count(*) AS dl FROM opts WHERE source IN (2, 3) GROUP BY rid),
+heavy AS (SELECT rid, 2.2 / (1 + 1.2 * (0.25 + 0.75 * dl / (SELECT avg(dl) FROM lengths))) AS weight FROM lengths),
+ranked_idf AS (SELECT field, key, greatest(1e-6, ln(((SELECT n FROM size) - count(*) + 0.5) / (count(*) + 0.5))) AS idf FROM opts WHERE source IN (2, 3) GROUP BY field, key)"""
+
+
+@query(f"""WITH {_REC}, {_RANKED},
+rare AS (SELECT b.rid, field, key, row_number() OVER (PARTITION BY b.rid ORDER BY coalesce(i.idf, (SELECT ln(n + 1) + 1 FROM size)) DESC, key) AS nth FROM opts b LEFT JOIN idf i USING (key) WHERE source = 1 AND field = 'name'),
+met AS (SELECT q.rid AS q, r.rid AS r, round(sum(idf) * any_value(weight), 9) AS s FROM rare a JOIN opts b USING (field, key) JOIN ranked_idf USING (field, key) JOIN heavy h ON h.rid = b.rid
+  JOIN rec q ON q.rid = a.rid JOIN rec r ON r.rid = b.rid WHERE a.nth <= 4 AND b.source IN (2, 3) AND {_MAY} GROUP BY q.rid, r.rid)
+SELECT q, r, "rank", round(s, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY s DESC, r) AS "rank" FROM met) WHERE "rank" <= 30""")
+def lexical_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thirty best references by BM25 of each query's four rarest name tokens."""
+    given, model = _model(spark, sf_dir, ["name"])
+    given = staged(given, "records")
+    queries, references = given.where("source = 1"), given.where("source IN (2, 3)")
+    scopes = queries.select(F.col("rid").alias("q"), F.lit(30).alias("limit"), F.explode(blocking.query_scopes(F.col("country_key"))).alias("scope"))
+    rare = tfidf.rarest_tokens(queries, model, "name", 4).select(F.col("rid").alias("q"), F.lit("name").alias("field"), "token")
+    postings = blocking.token_table(references, "name", blocking.reference_scopes(F.col("country_key"))).withColumn("field", F.lit("name"))
+    found = ranked.ranked_pool(rare, postings, scopes, ranked.statistics(references, blocking.TEXT_FIELDS))
+    return found.select("q", "r", F.col("rank").cast("long").alias("rank"), F.round("score", 6).alias("score"))
+
+
+@query(f"""WITH {_REC}, {_RANKED}, keys AS (SELECT rid, substr(replace(name, ' ', ''), 1, 3) AS key FROM rec),
+met AS (SELECT DISTINCT q.rid AS q, r.rid AS r FROM keys a JOIN keys b USING (key) JOIN rec q ON q.rid = a.rid JOIN rec r ON r.rid = b.rid WHERE q.source = 1 AND r.source IN (2, 3) AND {_MAY}),
+sized AS (SELECT *, count(*) OVER (PARTITION BY q) AS n FROM met),
+asked AS (SELECT DISTINCT rid AS q, 'w:' || unnest(string_split(name, ' ')) AS key FROM rec WHERE source = 1),
+scored AS (SELECT s.q, s.r, round(sum(idf) * any_value(weight), 9) AS s FROM sized s JOIN asked a ON a.q = s.q JOIN opts b ON b.rid = s.r AND b.key = a.key AND b.field = 'name' JOIN ranked_idf i ON i.field = 'name' AND i.key = a.key
+  JOIN heavy h ON h.rid = s.r WHERE n > 15 GROUP BY s.q, s.r)
+SELECT q, r FROM sized WHERE n <= 15 UNION ALL SELECT q, r FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY s DESC, r) AS nth FROM scored) WHERE nth <= 15""")
+def block_ranked_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overflowed prefix blocks keep their fifteen best by BM25 of the name's words."""
+    queries, references = (staged(side, "records") for side in sides(spark, sf_dir))
+    words = tfidf.longest_words(queries, "name", 16).withColumnRenamed("rid", "q").withColumn("field", F.lit("name"))
+    met, _ = blocking.limited_blocks(queries, references, words, 15, "B", ranked.statistics(references, blocking.TEXT_FIELDS))
+    return met.select("q", "r")
+
+
 _SYNTHETIC = """SELECT q, r, r AS r_id, (q * 7 + r * 13) % 100 / 100.0 AS name_cosine, (q * 11 + r * 3) % 50 / 50.0 AS address_cosine, CAST((q + r) % 2 AS INT) AS exact,
   CAST((q + r) % 2 AS INT) AS "A", CAST(r % 3 = 0 AS INT) AS "B", 0 AS "C", 0 AS "D", 1 AS "E", CAST(r % 4 = 0 AS INT) AS "F", CAST(r % 5 = 0 AS INT) AS "G",
   CASE WHEN r % 5 = 0 THEN (q + r * 17) % 90 / 90.0 END AS neural_cosine, CASE WHEN q % 2 = 0 THEN 2 ELSE 1 END AS multiplier FROM pairs"""
