@@ -1,12 +1,16 @@
 """Secret scans by assignment-aware lexing, on top of three base patterns.
 
 Source and configuration text is lexed into name-literal pairs: `name = "literal"`,
-`name: literal`, `"name": "literal"`, `name := "a" + other`, `name: type = "literal"`,
-`table["name"] = "literal"`, `<name>literal</name>`. Literals may be bare, quoted, triple-quoted or in backticks, with
-a prefix such as r or f. A literal bound to a
-name is a constant; a later assignment from that name carries the literal on, so
-`k = "..."; password = k` marks the literal at its own place. Literals are scored by
-the sensitive words in the names they reach and by their own look.
+`name: literal`, `"name": "literal"`, `name := "a" + other`, `name: type = "literal"`, `table["name"] = "literal"`,
+`a = name = "literal"`, `user, name = "x", "literal"`, `call("name", "literal")`, `<name>literal</name>`, `name: |` with an indented block.
+A value may be a list, stand in parentheses or be a call's arguments; what stands in braces belongs to the names there. Strings that
+follow each other or are added are scored as one. Literals may be quoted, triple-quoted or in backticks, with a prefix such as r or f;
+a bare word is one if it is the whole value and no expression (`readLine()`, `a.b`, a plain word without a digit).
+
+A literal bound to a name is a constant; a later binding that uses the name carries the literal on, so
+`k = "..."; password = k` marks the literal at its own place. Bindings are nodes of a graph whose edges go to the
+constants they use; how far names tell is passed back along them once, so the work is linear in the text. Literals
+are scored by the sensitive words in the names they reach and by their own look.
 
 Defined cases: null or empty text has no spans; an empty table gives an empty
 result; repeated rows are scanned alike; no text is cut.
@@ -35,29 +39,39 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 
 # Words in a name and how far they tell that its value is a secret.
 NAME_WORDS = {
-    "password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "passcode": 1.0, "secret": 1.0, "secrets": 1.0, "token": 0.9,
+    "password": 1.0, "passwd": 1.0, "pwd": 1.0, "pass": 1.0, "passphrase": 1.0, "passcode": 1.0, "secret": 1.0, "secrets": 1.0, "token": 0.9,
     "apikey": 1.0, "accesskey": 1.0, "privatekey": 1.0, "secretkey": 1.0, "authkey": 1.0, "credential": 0.9, "credentials": 0.9,
     "bearer": 0.9, "auth": 0.5, "key": 0.5, "api": 0.3, "access": 0.3, "private": 0.5, "signing": 0.5, "encryption": 0.5, "client": 0.1,
 }
 #: Score from which a literal is reported; a name tells up to 1, its literal up to 1.
 LEAST_SCORE = 1.4
+#: How far a name must tell for what it is bound to to be looked at.
+LEAST_TOLD = 0.4
 LEAST_LENGTH = 8
 _PLACEHOLDER = re.compile(r"(?i)(?:change_?me|example|placeholder|redacted|your[_-].*|x+|\*+|none|null|true|false|todo|dummy|<.*|\$\{.*|\{\{.*|%\(.*)\Z")
 
-_NAME = r"[A-Za-z_$][A-Za-z0-9_$.-]*"
-_STRING = r'"(?:[^"\\\n]|\\.)*"' + r"|'(?:[^'\\\n]|\\.)*'"
-_TYPE = r"[&*]*(?:'[a-z]+[ \t]+)?(?:(?:const|mut|dyn|readonly)[ \t]+)*[A-Za-z_][A-Za-z0-9_.]*(?:::[A-Za-z0-9_.]+)*(?:\[[^\n=]*\]|<[^\n=]*>)?\??"
-_TYPED = rf"[?!]?[ \t]*:[ \t]*({_TYPE}(?:[ \t]*\|[ \t]*{_TYPE})*)[ \t]*=(?![=>])"
-_BINDING = re.compile(rf"""(?<![A-Za-z0-9_$.-])(["'`]?)({_NAME})\1(?:[ \t]*\])?[ \t]*(?:{_TYPED}|:=|=>|[=:](?![=:]))[ \t]*(?=[^\s])""")
-_STRING_AT = re.compile(_STRING)
+_NAME = r"[A-Za-z_$][A-Za-z0-9_$.-]*+"
+# Patterns never look twice at what they passed: what repeats is possessive, and values are scanned by hand.
+_BINDING = re.compile(rf"""(?<![A-Za-z0-9_$.-])(["'`]?)({_NAME})\1(?:[ \t]*+\])?[ \t]*+(:=|=>|=(?![=>~])|[?!]?:(?![:=]))[ \t]*+""")
+_STRING = {'"': re.compile(r'"(?:[^"\\\n]|\\.)*+"'), "'": re.compile(r"'(?:[^'\\\n]|\\.)*+'")}
 _PREFIX_AT = re.compile(r"""[rRbBuUfF@$]{1,2}(?=["'`])""")
 #: Literals over several lines: what opens them, and their rest.
 _LONG = {q: re.compile(rf"(?:[^\\]|\\.)*?{q}", re.DOTALL) for q in ('"""', "'''", "`")}
-_BARE_AT = re.compile(r"""[^\s"'`,;<>(){}\[\]]+""")
-_PLUS_AT = re.compile(r"[ \t]*\+[ \t]*")
+#: A type between a colon and an equals sign holds no single colon, so it ends before any later binding.
+_TYPE = re.compile(r"(?:&'|[A-Za-z0-9_.<>\[\],|&*? \t()]|::)++")
+_BARE_AT = re.compile(r"""[^\s"'`,;<>(){}\[\]]++""")
+_WORD_AT = re.compile(r"[A-Za-z_$][A-Za-z0-9_$]*+(?:(?:\.|::|->)[A-Za-z_$][A-Za-z0-9_$]*+)*+")
+_COMMA_AT = re.compile(r"[ \t]*+,[ \t]*+")
+_WORDLIKE = re.compile(r"[A-Za-z0-9_$.+*/-]++")
+_CALL_AT = re.compile(r"[ \t]*+[(\[]")
+_OVER_AT = re.compile(r"[ \t]*+(?:[\n,)\]}]|\Z|[ \t](?:#|//))")
+_EMPTY_LINE = re.compile(r"\n[ \t\r]*+\n")
+_BLANKS = re.compile(r"[ \t\r\f\v]++")
 _HUMP = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
-_WHOLE_NAME = re.compile(_NAME + r"\Z")
-_ELEMENT = re.compile(rf"<({_NAME})(?:[ \t][^<>\n]*)?>[ \t]*([^<>\n]*[^<> \t\n])[ \t]*</\1>")
+_ELEMENT = re.compile(rf"<({_NAME})(?:[ \t][^<>\n]*+)?>([^<>\n]*+)</\1>")
+_CALLED = re.compile(rf"""\([ \t]*+(["'])({_NAME})\1[ \t]*+,[ \t]*+(?=["'`])""")
+_TARGETS = re.compile(rf"(?m)^[ \t]*+({_NAME}(?:[ \t]*+,[ \t]*+{_NAME})++)[ \t]*+=(?!=)[ \t]*+")
+_BLOCK_AT = re.compile(r"[|>][-+0-9]*+[ \t]*+\n")
 
 
 def base_spans(text: str) -> list[Span]:
@@ -84,67 +98,255 @@ def literal_score(value: str) -> float:
     return min(1.0, entropy / min(4.0, math.log2(n))) * (1.0 if mixed else 0.4)
 
 
-def quoted(text: str, at: int, open_for_ever: set[str]) -> tuple[int, int, int] | None:
-    """Start and end of the string literal that begins here, and where its quotes end."""
-    if prefix := _PREFIX_AT.match(text, at):
-        at = prefix.end()
-    for quotes, rest in _LONG.items():
-        if text.startswith(quotes, at) and quotes not in open_for_ever:
-            if closed := rest.match(text, at + len(quotes)):
-                return at + len(quotes), closed.end() - len(quotes), closed.end()
-            open_for_ever.add(quotes)  # no later one closes either
-    string = _STRING_AT.match(text, at)
-    return string and (string.start() + 1, string.end() - 1, string.end())
-
-
-def lexed(text: str) -> list[tuple[str, list[tuple[int, int]], list[tuple[int, int]]]]:
-    """Name, literals and, among these, the bare ones that may be names, for each binding in reading order."""
-    out = [(m[1], [m.span(2)], []) for m in _ELEMENT.finditer(text)] if "</" in text else []
-    at = 0
-    open_for_ever: set[str] = set()
-    while binding := _BINDING.search(text, at):
-        at = binding.end()
-        literals, names = [], []
-        inside = None
-        while True:  # literal or name, more after each plus
-            if string := quoted(text, at, open_for_ever):
-                literals.append(string[:2])
-                if inside is None and "\n" in text[string[0] : string[1]]:
-                    inside = string[0]
+class Binding:
+    """What a name is bound to: groups of literals (spans), and the bindings whose constants it uses."""
+
+    __slots__ = ("before", "groups", "number", "told", "used")
+
+    def __init__(self, number: int, told: float) -> None:
+        self.number, self.told = number, told
+        self.groups: list[list[tuple[int, int]]] = []
+        self.used: set[int] = set()
+        #: What its names were bound to before, which is what they mean in its own value.
+        self.before: dict[str, int | None] = {}
+
+
+class Lexer:
+    """The bindings of a text, in reading order; literals over several lines are read for bindings after the rest."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.bindings: list[Binding] = []
+        self.constants: dict[str, int] = {}
+        self.regions = [(0, len(text))]
+        #: Up to where each kind of quote is known not to close.
+        self.open: dict[str, int] = {}
+        self.equals = self.line = -1
+        for m in _ELEMENT.finditer(text) if "</" in text else ():
+            if inner := m[2].strip():
+                at = m.start(2) + m[2].index(inner)
+                self.bind(m[1]).groups.append([(at, at + len(inner))])
+        while self.regions:
+            start, end = self.regions.pop()
+            self.open = {}
+            self.equals = self.line = self.covered = -1
+            self.region(start, end)
+
+    def bind(self, *names: str) -> Binding:
+        own = Binding(len(self.bindings), 0.0)
+        self.bindings.append(own)
+        for name in names:
+            self.name_too(own, name)
+        return own
+
+    def name_too(self, own: Binding, name: str) -> None:
+        own.told = max(own.told, name_score(name))
+        own.before.setdefault(name, self.constants.get(name))
+        self.constants[name] = own.number
+
+    def region(self, start: int, end: int) -> None:
+        text = self.text
+        for m in _CALLED.finditer(text, start, end):
+            if name_score(m[2]) > LEAST_TOLD and (string := self.quoted(m.end(), end)):
+                self.bind(m[2]).groups.append([string[:2]])
+        for m in _TARGETS.finditer(text, start, end):
+            self.targets(m, end)
+        at = start
+        while binding := _BINDING.search(text, at, end):
+            at = self.value(*self.opened(binding, end), end)
+
+    def targets(self, m: re.Match, end: int) -> None:
+        """Several names, several values."""
+        at = m.end()
+        for name in re.split(r"[ \t]*,[ \t]*", m[1]):
+            if string := self.quoted(at, end):
+                self.bind(name).groups.append([string[:2]])
                 at = string[2]
-            elif bare := _BARE_AT.match(text, at):
-                if _WHOLE_NAME.match(bare[0]):
-                    names.append(bare.span())
-                literals.append(bare.span())
+            elif bare := _BARE_AT.match(self.text, at, end):
                 at = bare.end()
             else:
+                return
+            comma = _COMMA_AT.match(self.text, at, end)
+            if not comma:
+                return
+            at = comma.end()
+
+    def opened(self, m: re.Match, end: int) -> tuple[Binding, int]:
+        """The binding that begins here, its type passed, and where its value starts."""
+        names, at = [m[2]], m.end()
+        if m[3].endswith(":"):
+            if self.equals < at:
+                self.equals = self.text.find("=", at, end)
+                self.equals = end if self.equals < 0 else self.equals
+            if self.line < at:
+                self.line = self.text.find("\n", at, end)
+                self.line = end if self.line < 0 else self.line
+            stop = self.equals
+            if at < stop < self.line and self.text[stop : stop + 2] not in ("==", "=>") and (kind := _TYPE.match(self.text, at, stop)) and kind.end() == stop:
+                told = self.text[at:stop]
+                if told[-1] in " \t" or not any(c.isdigit() for c in told):  # else the end of a bare literal
+                    if len(told) < 200 and name_score(told) > LEAST_TOLD:  # `log: password = "..."`: a name, or a type that tells
+                        names.append(told.strip())
+                    at = stop + 1
+                    if blanks := _BLANKS.match(self.text, at, end):
+                        at = blanks.end()
+        return self.bind(*names), at
+
+    def quoted(self, at: int, end: int) -> tuple[int, int, int] | None:
+        """Start and end of the string literal that begins here, and where its quotes end."""
+        text = self.text
+        if prefix := _PREFIX_AT.match(text, at, end):
+            at = prefix.end()
+        if text[at : at + 1] not in ("\"", "'", "`"):
+            return None
+        for quotes, rest in _LONG.items():
+            if text.startswith(quotes, at) and at >= self.open.get(quotes, 0):
+                if closed := rest.match(text, at + len(quotes), end):
+                    found = at + len(quotes), closed.end() - len(quotes), closed.end()
+                    if "\n" in text[found[0] : found[1]]:
+                        self.regions.append(found[:2])
+                    return found
+                self.open[quotes] = end  # no later one closes either
+        quote = text[at]
+        if quote == "`" or at < self.open.get(quote, 0):
+            return None
+        if string := _STRING[quote].match(text, at, end):
+            return at + 1, string.end() - 1, string.end()
+        line = text.find("\n", at, end)
+        self.open[quote] = end if line < 0 else line  # nor does another one on this line
+        return None
+
+    def bare(self, own: Binding, at: int, end: int) -> int:
+        """A value that begins with a bare word: the literal itself, a constant, or the start of an expression."""
+        text = self.text
+        found, name = _BARE_AT.match(text, at, end), _WORD_AT.match(text, at, end)
+        if not found:
+            return at + 1
+        follows = text[found.end() : found.end() + 1]
+        if name and name.end() == found.end() and self.use(own, name, end):
+            return name.end()
+        if follows and follows in "\"'`([{":
+            if name:
+                self.use(own, name, end)
+            return name.end() if name else at + 1
+        if name and _WORDLIKE.fullmatch(found[0]):
+            # Letters, digits and operators: a literal if it is the whole value and no plain word or path.
+            single = any(c.isdigit() for c in found[0]) and ("." not in found[0] or len(found[0]) >= 32) and _OVER_AT.match(text, found.end(), end)
+            if not single:
+                self.use(own, name, end)
+                return name.end()
+        own.groups.append([found.span()])
+        return found.end()
+
+    def use(self, own: Binding, name: re.Match, end: int) -> bool:
+        """Note that a binding uses a constant, if the word is one and no call."""
+        number = own.before[name[0]] if name[0] in own.before else self.constants.get(name[0])
+        if number is None or _CALL_AT.match(self.text, name.end(), end):
+            return False
+        own.used.add(number)
+        return True
+
+    def block(self, own: Binding, at: int, end: int) -> int:
+        """The indented lines below a name that stands for them; returns where they end."""
+        text = self.text
+        line = text.rfind("\n", 0, at) + 1
+        indent = len(text[line:at]) - len(text[line:at].lstrip(" -"))
+        start = stop = text.index("\n", at) + 1
+        while stop < end:
+            after = text.find("\n", stop, end)
+            after = end if after < 0 else after + 1
+            body = text[stop:after]
+            if body.strip() and len(body) - len(body.lstrip(" ")) <= indent:
                 break
-            if not (plus := _PLUS_AT.match(text, at)):
-                break
-            at = plus.end()
-        if literals:
-            out.append((binding[2], literals, names))
-            if binding[3] and name_score(binding[3]) > 0.4:  # `log: password = "..."`: a name, or a type that tells
-                out.append((binding[3], literals, names))
-        if inside is not None:
-            at = inside  # bindings within a literal over several lines count too
-    return out
+            stop = after
+        if inner := text[start:stop].strip():
+            first = start + text[start:stop].index(inner)
+            own.groups.append([(first, first + len(inner))])
+        return stop
+
+    def value(self, own: Binding, at: int, end: int) -> int:
+        """Read the value of a binding and all bindings within its brackets; returns where it ends."""
+        text = self.text
+        brackets: list[str] = []
+        braces = 0
+        stack = [(own, 0, 0)]  # bindings, with the brackets and braces open at their start
+        fresh, joint = True, False
+        if header := _BLOCK_AT.match(text, at, end):
+            if own.told > LEAST_TOLD and at >= self.covered:  # else part of a block that counts as a whole
+                self.covered = self.block(own, at, end)
+            return header.end()
+        last = ""  # the character before, blanks apart
+        while at < end:
+            own, _, inside = stack[-1]
+            if blanks := _BLANKS.match(text, at, end):
+                at = blanks.end()
+                continue
+            c = text[at]
+            item = bool(brackets) and last in ("(", "[", "{", ",", ";", "\n")
+            if (c.isalpha() or c in "_$" or item and c in "\"'`") and last != "?" and (m := _BINDING.match(text, at, end)) and text[m.end() : m.end() + 1] not in ("", "\n"):
+                if fresh and m[3] == "=" and not m[1]:  # one more name of the same value
+                    self.name_too(own, m[2])
+                    at = m.end()
+                elif brackets:
+                    own, at = self.opened(m, end)
+                    stack.append((own, len(brackets), braces))
+                    fresh, joint, last = True, False, m[3]
+                else:
+                    return at
+            elif string := self.quoted(at, end):
+                if braces == inside:  # else it belongs to names within the braces
+                    if joint and own.groups:
+                        own.groups[-1].append(string[:2])
+                    else:
+                        own.groups.append([string[:2]])
+                    joint = True
+                at, fresh, last = string[2], False, '"'
+            elif c in "([{":
+                brackets.append(c)
+                braces += c == "{"
+                at, fresh, joint, last = at + 1, False, False, c
+            elif c in ")]}":
+                if not brackets:
+                    return at
+                braces -= brackets.pop() == "{"
+                while stack[-1][1] > len(brackets):
+                    stack.pop()
+                at, fresh, joint, last = at + 1, False, False, c
+            elif c in ",;\n":
+                if not brackets or c == "\n" and _EMPTY_LINE.match(text, at, end):
+                    return at + 1  # a blank line ends whatever is open
+                if len(stack) > 1 and stack[-1][1] == len(brackets):
+                    stack.pop()
+                    joint = False
+                at, fresh, joint, last = at + 1, False, joint and c == "\n", c
+            elif not brackets and (c == "#" or text.startswith("//", at)):
+                return at + 1
+            elif fresh:
+                at, fresh, joint, last = self.bare(own, at, end), False, False, "a"
+            elif word := _WORD_AT.match(text, at, end):
+                if braces == inside:
+                    self.use(own, word, end)
+                at, joint, last = word.end(), False, "a"
+            else:
+                at, joint, last = at + 1, joint and c == "+", c
+        return end
 
 
 def literal_spans(text: str) -> list[Span]:
     """Literals that reach a sensitive name, by themselves or through constants."""
-    if "=" not in text and ":" not in text and "</" not in text:
+    if "=" not in text and ":" not in text and "</" not in text and "(" not in text:
         return []
-    constants: dict[str, list[tuple[int, int]]] = {}
+    bindings = Lexer(text).bindings
+    best = [b.told if b.told > LEAST_TOLD else 0.0 for b in bindings]
     found: set[Span] = set()
-    for name, literals, names in lexed(text):
-        known = {span: constants[text[span[0] : span[1]]] for span in names if text[span[0] : span[1]] in constants}
-        own = [s for s in literals if s not in known] + [s for spans in known.values() for s in spans]
-        constants[name] = own
-        told = name_score(name)
-        for start, end in own:
-            if told > 0.4 and told + literal_score(text[start:end]) >= LEAST_SCORE:
-                found.add((start, end, "literal"))
+    for k in range(len(bindings) - 1, -1, -1):  # a binding uses earlier ones only
+        if not best[k]:
+            continue
+        for used in bindings[k].used:
+            best[used] = max(best[used], best[k])
+        for group in bindings[k].groups:
+            if best[k] + literal_score("".join(text[a:b] for a, b in group)) >= LEAST_SCORE:
+                found |= {(a, b, "literal") for a, b in group if a < b}
     return sorted(found)
 
 

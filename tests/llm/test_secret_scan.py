@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -119,3 +120,175 @@ def test_other_letters_and_elements():
         assert value in [text[a:b] for a, b, _ in secret_scan.literal_spans(text)], text
         assert value not in secret_scan.mask(text)
     assert secret_scan.literal_spans("<p>some ordinary words</p><password></password>") == []
+
+
+class Program:
+    """A random program of a small grammar; what it marks follows from running it with whole sets of literals for each name."""
+
+    names = ["db_password", "apiSecret", "x1", "note", "path", "k2", "auth_key"]
+
+    def __init__(self, seed):
+        self.chance, self.text, self.known, self.expected = random.Random(seed), "", {}, set()
+        for _ in range(self.chance.randrange(1, 14)):
+            getattr(self, self.chance.choice(["plain", "plain", "plain", "chain", "typed", "listed", "mapped", "called", "noise"]))()
+            self.text += self.chance.choice(["\n", "\n", ";\n", "\n\n"])
+
+    def literal(self):
+        quote = self.chance.choice("\"'")
+        body = "".join(self.chance.choices("abcXYZ0189#-", k=self.chance.choice([3, 9, 14])))
+        start = len(self.text) + 1
+        self.text += quote + body + quote
+        return start, start + len(body)
+
+    def bind(self, names, groups, inherited=()):
+        own = {tuple(g) for g in groups} | set(inherited)
+        for name in names:
+            self.known[name] = own
+        told = max(secret_scan.name_score(n) for n in names)
+        for group in own:
+            if told > 0.4 and told + secret_scan.literal_score("".join(self.text[a:b] for a, b in group)) >= secret_scan.LEAST_SCORE:
+                self.expected |= set(group)
+
+    def terms(self, names):
+        groups, inherited, joint = [], set(), False
+        for k in range(self.chance.randrange(1, 4)):
+            string = self.chance.random() < 0.5
+            # Names joined without a blank could as well be a bare literal.
+            self.text += self.chance.choice([" + ", "+"] if string or joint else [" + "]) if k else ""
+            if string:
+                span = self.literal()
+                groups[-1].append(span) if joint else groups.append([span])
+                joint = True
+            else:
+                other = self.chance.choice(self.names)
+                self.text += other
+                inherited |= self.known.get(other, set())
+                joint = False
+        self.bind(names, groups, inherited)
+
+    def plain(self):
+        name = self.chance.choice(self.names)
+        self.text += name + self.chance.choice([" = ", "=", " := "])
+        self.terms([name])
+
+    def chain(self):
+        a, b = self.chance.sample(self.names, 2)
+        self.text += f"{a} = {b} = "
+        self.bind([a, b], [[self.literal()]])
+
+    def typed(self):
+        name = self.chance.choice(self.names)
+        self.text += name + self.chance.choice([": str = ", ": Map<String, List> = ", ": &'static str = "])
+        self.bind([name], [[self.literal()]])
+
+    def listed(self):
+        name = self.chance.choice(self.names)
+        self.text += name + " = ["
+        groups = []
+        for k in range(3):
+            self.text += ", " if k else ""
+            groups.append([self.literal()])
+        self.text += "]"
+        self.bind([name], groups)
+
+    def mapped(self):
+        self.text += "box = {"
+        for k in range(2):
+            name = self.chance.choice(self.names)
+            self.text += (", " if k else "") + f'"{name}": '
+            self.bind([name], [[self.literal()]])
+        self.text += "}"
+
+    def called(self):
+        outer, inner = self.chance.sample(self.names, 2)
+        self.text += f"{outer} = load("
+        first = self.literal()
+        self.text += f", {inner}="
+        second = self.literal()
+        self.text += ")"
+        self.bind([outer], [[first]])
+        self.bind([inner], [[second]])
+
+    def noise(self):
+        self.text += self.chance.choice(["# a comment", "return thing(1, 2)", "if (a > b) { c }", "plain words here"])
+
+
+def test_random_programs():
+    marked = 0
+    for seed in range(4000):
+        program = Program(seed)
+        got = {(a, b) for a, b, _ in secret_scan.literal_spans(program.text)}
+        assert got == program.expected, (seed, program.text)
+        marked += bool(got)
+    assert 1000 < marked < 4000
+
+
+@pytest.mark.parametrize(
+    "text,literals",
+    [
+        ("a = password = 'S3cr3tValue99'", ["S3cr3tValue99"]),
+        ('password = "Zx9Qw8" "Er7Ty6"', ["Zx9Qw8", "Er7Ty6"]),
+        ('password = (\n  "Zx9Qw8"\n  "Er7Ty6"\n)', ["Zx9Qw8", "Er7Ty6"]),
+        ('passwords = x\ndb_secrets = ["S3cr3tValue99", "hG7#kk2!pQz9"]', ["S3cr3tValue99", "hG7#kk2!pQz9"]),
+        ('user, password = "bob", "S3cr3tValue99"', ["S3cr3tValue99"]),
+        ('define("DB_PASSWORD", "S3cr3tValue99")', ["S3cr3tValue99"]),
+        ('password = conf.get("x", "Zx9Qw8Er7Ty6")', ["Zx9Qw8Er7Ty6"]),
+        ("private_key: |\n  Zx9Qw8Er7Ty6\n  hG7#kk2!pQz9\nother: 1", ["Zx9Qw8Er7Ty6\n  hG7#kk2!pQz9"]),
+        ("DB_PASS=Tr0ub4dor3x", ["Tr0ub4dor3x"]),
+        ("PASS = 'Tr0ub4dor&3x'", ["Tr0ub4dor&3x"]),
+        ("note: the password: 'Zx9Qw8Er7Ty6'", ["Zx9Qw8Er7Ty6"]),
+        ("password: QWxhZGRpbjpvcGVuIHNlc2FtZQ=", ["QWxhZGRpbjpvcGVuIHNlc2FtZQ="]),
+        ("connect(host, password='Zx9Qw8Er7Ty6', port=1)", ["Zx9Qw8Er7Ty6"]),
+        ("password = cond ? x : 'Zx9Qw8Er7Ty6'", ["Zx9Qw8Er7Ty6"]),
+    ],
+)
+def test_values_of_many_forms(text, literals):
+    assert [text[a:b] for a, b, _ in secret_scan.literal_spans(text)] == literals
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "passphrase = readLine()", "credentials = loadCredentials()", "secretKey = keyStore.getKey(alias)", "auth_key: AuthenticationProvider", "private_key = path.join(a, b1)",
+        "passphrase = first1 + second2;", "credentials = new CredentialsProvider42(x)", "signing_key = keys[0]", "secretKey = `x`", "auth_key = {'note': 'Zk81mQ0vTr55'}",
+    ],
+)
+def test_expressions_are_no_literals(text, documents):
+    assert secret_scan.literal_spans(text) == []
+    assert secret_scan.mask(text) == text
+
+
+HARD = {
+    "doubled": lambda n: "k0 = 'abcdefgh1X'\n" + "".join(f"k{i + 1} = k{i} + k{i}\n" for i in range(n // 18)) + f"password = k{n // 18}",
+    "appended": lambda n: 's = s + "abcdefgh"\n' * (n // 19),
+    "element": lambda n: "<a>" + " " * n + "</",
+    "types": lambda n: "a : x<" * (n // 6),
+    "lists": lambda n: "a: x[" * (n // 5),
+    "unions": lambda n: "a: x|" * (n // 5) + "=",
+    "brackets": lambda n: "password = (" * (n // 12),
+    "braces": lambda n: '{"token": ' * (n // 10),
+    "quotes": lambda n: 'a = "x\\' * (n // 7),
+    "escapes": lambda n: "a = " + '\\"' * (n // 2),
+    "ticks": lambda n: "a = `x\n```" * (n // 10),
+    "names": lambda n: "a." * (n // 2) + "=",
+    "blanks": lambda n: "password" + " " * n + "x",
+    "commas": lambda n: "a, " * (n // 3) + "b = 'x'",
+    "blocks": lambda n: "".join(" " * i + "token: |\n" for i in range(int((2 * n) ** 0.5))),
+    "chains": lambda n: "a = " * (n // 4),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(HARD))
+def test_hard_texts_cost_their_length(kind):
+    took = []
+    for n in (100_000, 1_000_000):
+        text = HARD[kind](n)
+        began = time.process_time()
+        secret_scan.literal_spans(text)
+        took.append(time.process_time() - began)
+    assert took[1] < 5 and took[1] < 25 * max(took[0], 0.05), took
+
+
+def test_constants_through_many_names():
+    text = HARD["doubled"](50_000)
+    assert [text[a:b] for a, b, _ in secret_scan.literal_spans(text)] == ["abcdefgh1X"]
