@@ -10,8 +10,8 @@ A text shorter than a gram is one gram.
 
 Defined cases: null is the empty text; the empty text has an empty fingerprint, alike
 (1.0) to another empty one only; an empty table gives an empty result; rows with equal
-ids follow each other by text checksum, then scan position, null ids come first; a single
-document is its own next one. Many rows of one id are dealt out like any others.
+ids follow each other by two text checksums, null ids come first; a single
+document is its own next one. Many rows of one id, or copies of one row, are dealt out like any others.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinloom.llm.arrow_map import map_text, texts_of
-from kinloom.session import ship_package
+from kinloom.session import ship_package, staged, unstage
 
 #: Code points in a gram (a power of two) and grams in a window (powers of two).
 K, WINDOW, LEAST_WINDOW = 16, 64, 8
@@ -107,69 +107,106 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-def _cuts(rows: DataFrame, parts: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
-    """Ids that end a stretch, and for each id that fills several, where its own rows are cut by `tie`."""
+class Bounds:
+    """Stretches of the order (key, tie): stretch i ends with the i-th bound. A bound that fills several stretches by
+    itself is repeated; its rows, which are copies of one another, are then dealt out among these by a salt."""
+
+    def __init__(self, pairs: list[tuple[int, int]]) -> None:
+        ends = sorted(pairs)
+        self.ends = sorted(set(ends))
+        self.copies = [ends.count(e) for e in self.ends] if len(ends) > len(self.ends) else [1] * len(self.ends)
+        self.keys = np.array([k for k, _ in self.ends], np.int64)
+        self.ties = np.array([t for _, t in self.ends], np.int64)
+        #: Number of the first stretch of each bound, and of the one after all bounds.
+        self.first = np.concatenate([[0], np.cumsum(self.copies)]).astype(np.int64)
+
+    def rank(self, keys: np.ndarray, ties: np.ndarray) -> np.ndarray:
+        """How many bounds stand before each row."""
+        low, high = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
+        at = low.copy()
+        for i in np.flatnonzero(high > low):  # rows of a key that is a bound
+            at[i] = low[i] + np.searchsorted(self.ties[low[i] : high[i]], ties[i], "left")
+        return at
+
+    def stretch(self, keys: np.ndarray, ties: np.ndarray, salt: np.ndarray | None = None) -> np.ndarray:
+        """The number of each row's stretch; without a salt, of the first stretch that it may be in."""
+        at = self.rank(keys, ties)
+        out = self.first[at]
+        if salt is not None:
+            for b in [b for b, c in enumerate(self.copies) if c > 1]:
+                own = (at == b) & (keys == self.keys[b]) & (ties == self.ties[b])
+                out[own] += salt[own] % self.copies[b]
+        return out.astype(np.int32)
+
+    def followers(self, least: dict[int, tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """(stretch, key, tie) of the row that comes after each stretch, given the least row of those that have one. The
+        last is followed by the first of all."""
+        out, after = [], least[min(least)] if least else None
+        if after is None:
+            return []
+        for b in range(len(self.ends), -1, -1):
+            first = int(self.first[b])
+            if b < len(self.ends):
+                for p in range(first, first + self.copies[b] - 1):  # followed by one more copy
+                    out.append((p, *self.ends[b]))
+                out.append((first + self.copies[b] - 1, *after))
+            else:
+                out.append((first, *after))
+            after = least.get(first, after)
+        return out
+
+
+def find_bounds(narrow: DataFrame, parts: int) -> Bounds:
+    """Bounds by quantiles of the keys, and of the ties where one key fills several stretches."""
     asked = [i / parts for i in range(1, parts)] or [0.5]
-    found = np.array(rows.agg(F.percentile_approx("key", asked, 20 * parts).alias("cuts")).first()["cuts"] or [], np.int64)
+    found = np.array(narrow.agg(F.percentile_approx("key", asked, 20 * parts).alias("cuts")).first()["cuts"] or [], np.int64)
     cuts, times = np.unique(found, return_counts=True)
     hot = {int(k): int(n) for k, n in zip(cuts, times, strict=True) if n > 1}  # fewer than parts / 2
-    inner: dict[int, np.ndarray] = {}
+    pairs = [(int(k), (1 << 63) - 1) for k in cuts]
     if hot:
-        ties = rows.where(F.col("key").isin(list(hot))).groupBy("key").agg(F.percentile_approx("tie", asked, 20 * parts).alias("ties")).collect()
+        ties = narrow.where(F.col("key").isin(list(hot))).groupBy("key").agg(F.percentile_approx("tie", asked, 20 * parts).alias("ties"), F.count("*").alias("n")).collect()
         for r in ties:
-            at = np.linspace(0, len(r["ties"]) - 1, hot[r["key"]] + 1).astype(int)
-            inner[r["key"]] = np.unique(np.array(r["ties"], np.int64)[at])
-    return cuts, inner
-
-
-def stretch_of(keys: np.ndarray, ties: np.ndarray, cuts: np.ndarray, inner: dict[int, np.ndarray]) -> np.ndarray:
-    """The number of each row's stretch, ascending with key and tie."""
-    before = np.cumsum([0, *(len(inner.get(int(c), ())) for c in cuts)])  # stretches that hot ids add
-    at = np.searchsorted(cuts, keys, side="left")
-    out = at + before[at]
-    for key, own in inner.items():
-        rows = np.flatnonzero(keys == key)
-        out[rows] += np.searchsorted(own, ties[rows], side="left")
-    return out.astype(np.int32)
+            # So few stretches that each has 64 rows at least: none stays without a copy.
+            n = min(hot[r["key"]], r["n"] // 64)
+            at = np.linspace(0, len(r["ties"]) - 1, n + 2).astype(int)[1:-1] if n else []
+            pairs += [(r["key"], int(r["ties"][i])) for i in at]
+    return Bounds(pairs)
 
 
 def _stretches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Rows dealt into contiguous stretches of ids, each followed by the first row of the next
-    stretch (the first stretch follows the last): columns part, extra, doc_id, text, in order."""
+    stretch (the last stretch by the first): columns part, extra, doc_id, text, in order.
+
+    Order and bounds follow from ids and texts alone, so it does not matter if rows come in
+    another order when a stage is computed again."""
     spark = docs.sparkSession
     parts = max(docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    # Rows of one id are told apart by checksum and place, so that they too can be cut.
-    tie = F.shiftleft(F.crc32(text.cast("binary")), 31) + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 31))
+    # 52 bits, which quantiles keep exactly.
+    tie = F.shiftleft(F.crc32(text.cast("binary")), 20) + F.pmod(F.xxhash64(text), F.lit(1 << 20))
     rows = docs.select(F.col(id_col).alias("doc_id"), key.alias("key"), tie.alias("tie"), text.alias("text"))
-    # Bounds and one least row for each stretch reach the driver.
-    cuts, inner = _cuts(rows.select("key", "tie"), parts)
+    narrow = staged(rows.select("key", "tie"), "winnow-keys")
+    bounds = find_bounds(narrow, parts)
 
     @F.pandas_udf(T.IntegerType())
-    def part_of(key: pd.Series, tie: pd.Series) -> pd.Series:
-        return pd.Series(stretch_of(key.to_numpy(), tie.to_numpy(), cuts, inner))
-
-    firsts = rows.select("key", "tie").withColumn("part", part_of("key", "tie")).groupBy("part").agg(F.min(F.struct("key", "tie")).alias("least")).collect()
-    least = {r["part"]: (r["least"]["key"], r["least"]["tie"]) for r in firsts}
-    own = sorted(least)
-    before: dict[int, dict[int, int]] = {}
-    for i, p in enumerate(own):
-        k, t = least[p]
-        before.setdefault(k, {})[t] = own[i - 1]
+    def first_part(key: pd.Series, tie: pd.Series) -> pd.Series:
+        return pd.Series(bounds.stretch(key.to_numpy(), tie.to_numpy()))
 
     @F.pandas_udf(T.IntegerType())
-    def also_in(key: pd.Series, tie: pd.Series) -> pd.Series:
-        met = key.isin(list(before))
-        out = pd.Series(pd.NA, index=key.index, dtype="Int32")
-        for i in np.flatnonzero(met.to_numpy()):
-            if (part := before[int(key.iloc[i])].get(int(tie.iloc[i]))) is not None:
-                out.iloc[i] = part
-        return out
-
-    places = F.filter(F.array(F.struct(F.col("part").alias("part"), F.lit(False).alias("extra")), F.struct(F.col("also").alias("part"), F.lit(True).alias("extra"))), lambda p: p["part"].isNotNull())
-    dealt = rows.withColumn("part", part_of("key", "tie")).withColumn("also", also_in("key", "tie")).withColumn("place", F.explode(places))
-    dealt = dealt.select(F.col("place.part").alias("part"), F.col("place.extra").alias("extra"), "key", "tie", "doc_id", "text").repartition(parts, "part")
+    def part_of(key: pd.Series, tie: pd.Series, salt: pd.Series) -> pd.Series:
+        return pd.Series(bounds.stretch(key.to_numpy(), tie.to_numpy(), salt.to_numpy()))
+
+    # A row for each stretch reaches the driver.
+    least = narrow.withColumn("part", first_part("key", "tie")).groupBy("part").agg(F.min(F.struct("key", "tie")).alias("least")).collect()
+    unstage(narrow)
+    after = bounds.followers({r["part"]: (r["least"]["key"], r["least"]["tie"]) for r in least})
+    wanted = spark.createDataFrame(after, "part int, key long, tie long")
+    texts = rows.join(F.broadcast(wanted.select("key", "tie").distinct()), ["key", "tie"]).groupBy("key", "tie").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+    columns = ["part", "extra", "key", "tie", "doc_id", "text"]
+    extra = wanted.join(texts, ["key", "tie"]).withColumn("extra", F.lit(True)).select(*columns)
+    salt = F.monotonically_increasing_id()  # any number will do: copies are alike
+    dealt = rows.withColumn("part", part_of("key", "tie", salt)).withColumn("extra", F.lit(False)).select(*columns).unionByName(extra).repartition(parts, "part")
     return dealt.sortWithinPartitions("part", "extra", "key", "tie").select("part", "extra", "doc_id", "text")
 
 
@@ -190,11 +227,13 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for batch in batches:
             rows = []
             for part, extra, doc_id, own in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
-                if extra and (last is None or last[0] != part):
-                    continue  # a later row with the same least id
+                if last is not None and last[0] != part:
+                    raise RuntimeError(f"stretch {last[0]} has no following row")
+                if extra and last is None:
+                    continue  # nothing in this stretch
                 hashes, positions = chosen(own)
                 members = set(hashes.tolist())
-                if last is not None and last[0] == part:
+                if last is not None:
                     _, before, body, mark, had = last
                     other = edited(body, own)
                     other_hashes, other_positions = chosen(other)
@@ -202,5 +241,7 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 last = None if extra else (part, doc_id, own, as_hex(hashes, positions), members)
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
+        if last is not None:
+            raise RuntimeError(f"stretch {last[0]} has no following row")
 
     return given.mapInArrow(run, schema)

@@ -95,9 +95,45 @@ def test_stretches_ascend():
     chance = np.random.default_rng(2)
     keys, ties = chance.integers(0, 6, 3000), chance.integers(0, 1000, 3000)
     keys[keys > 3] = 3
-    parts = winnow.stretch_of(keys, ties, np.array([0, 2, 3, 5]), {3: np.array([100, 400])})
-    order = np.lexsort((ties, keys))
-    assert (np.diff(parts[order]) >= 0).all() and len(set(parts[keys == 3].tolist())) == 3
+    ties[::3], keys[::3] = 100, 3  # a third are copies of one row
+    top = (1 << 63) - 1
+    bounds = winnow.Bounds([(0, top), (2, top), (3, 100), (3, 100), (3, 100), (3, 400), (3, top), (5, top)])
+    parts = bounds.stretch(keys, ties, chance.integers(0, 1 << 40, 3000))
+    order = np.lexsort((parts, ties, keys))
+    assert (np.diff(parts[order]) >= 0).all()
+    assert len(set(parts[(keys == 3) & (ties == 100)].tolist())) == 3 and len(set(parts[keys == 3].tolist())) == 5
+    base = bounds.stretch(keys, ties)
+    least = {int(p): min((int(k), int(t)) for k, t, o in zip(keys, ties, base, strict=True) if o == p) for p in set(base.tolist())}
+    rows = sorted((int(p), int(k), int(t)) for p, k, t in zip(parts, keys, ties, strict=True))
+    following = {p: (k, t) for p, k, t in bounds.followers(least)}
+    for i, (p, *_) in enumerate(rows):
+        if i + 1 == len(rows) or rows[i + 1][0] != p:
+            assert following[p] == rows[(i + 1) % len(rows)][1:]
+
+
+def test_rows_in_another_order_each_time(documents, spark):
+    """A frame whose rows come differently whenever it is computed still gives every row, with the right neighbour."""
+    rows = [(i, prose(i, 20)) for i in range(400)] + [(500, prose(i % 5, 12)) for i in range(600)]
+
+    def shuffled(batches):
+        import random
+
+        for batch in batches:
+            order = list(range(batch.num_rows))
+            random.SystemRandom().shuffle(order)
+            yield batch.take(__import__("pyarrow").array(order))
+
+    docs = documents(rows).repartition(4)
+    docs = docs.mapInArrow(shuffled, docs.schema)
+    got = winnow.compare_edited(docs).collect()
+    assert len(got) == len(rows)
+    stable = winnow.compare_edited(documents(rows)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in stable)
+    by_id = {r["doc_id"]: r for r in got}
+    for i in range(399):
+        text, following = prose(i, 20), prose(i + 1, 20)
+        half = len(text) // 2
+        assert by_id[i]["edited_sha256"] == hashlib.sha256((text[: len(text) - half] + following[:half]).encode()).hexdigest()
 
 
 def test_equal_texts_have_equal_fingerprints(documents):
