@@ -12,6 +12,7 @@ pieces as windows it touches; other columns are not read.
 
 from __future__ import annotations
 
+import functools
 import re
 import sys
 import zlib
@@ -111,15 +112,19 @@ class WordTokenizer:
             words, cache, make = text.lower().replace("\n", " ").replace(".", " . ").replace(",", " , ").split(" "), self.parts, self._part
         else:
             words, cache, make = text.replace("\n", " ").split(" "), self.words, self._word
-        try:
-            return b"".join(map(cache.__getitem__, words)) + self.end
-        except KeyError:
-            pass
-        out = []
-        for word in words:
-            ids = cache.get(word)
-            out.append(self._remember(cache, word, make(word)) if ids is None else ids)
-        return b"".join(out) + self.end
+        found = list(map(cache.get, words))
+        at, missing = 0, found.count(None)
+        for _ in range(missing):
+            at = found.index(None, at)
+            ids = cache.get(words[at])
+            found[at] = self._remember(cache, words[at], make(words[at])) if ids is None else ids
+        return b"".join(found) + self.end
+
+
+@functools.lru_cache(maxsize=1)
+def worker_tokenizer(path: str, end_id: int) -> WordTokenizer:
+    """One for all tasks of a Python worker, so that its words stay known."""
+    return WordTokenizer(path, end_id)
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
@@ -132,7 +137,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, te
     target = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, at = WordTokenizer(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
+        encoder, part, at = worker_tokenizer(tokenizer_path, end_id), TaskContext.get().partitionId(), 0
         width = encoder.dtype.itemsize
         for batch in batches:
             for piece in text_slices(batch, 1):

@@ -37,7 +37,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from kinloom.llm.arrow_map import text_slices, texts_of
-from kinloom.llm.packing import WordTokenizer
+from kinloom.llm.packing import worker_tokenizer
 from kinloom.session import ship_package
 
 #: Compressed bytes at which a task begins another file.
@@ -95,6 +95,9 @@ class FileReader:
     """Random access to the documents of one file."""
 
     def __init__(self, content: bytes) -> None:
+        import zstandard
+
+        self.decompressor, self.error = zstandard.ZstdDecompressor(), zstandard.ZstdError
         self.content = memoryview(content)
         count, flags, magic = struct.unpack("<IBI", self.content[-9:])
         if magic != FOOTER or flags != CHECKSUMS:
@@ -120,14 +123,12 @@ class FileReader:
 
     def ids(self, k: int) -> np.ndarray:
         """The ids of the k-th document, checked against both checksums."""
-        import zstandard
-
         frame = self.content[int(self.begins[k]) : int(self.ends[k])]
         if int.from_bytes(frame[-4:], "little") != self.checksums[k]:
             raise ValueError(f"document {self.doc_ids[k]}: the frame is not that of the seek table")
         try:
-            plain = zstandard.ZstdDecompressor().decompress(frame)
-        except zstandard.ZstdError as e:
+            plain = self.decompressor.decompress(frame)
+        except self.error as e:
             raise ValueError(f"document {self.doc_ids[k]}: {e}") from e
         if len(plain) != self.counts[k] * self.width:
             raise ValueError(f"document {self.doc_ids[k]}: {len(plain)} bytes where {self.counts[k] * self.width} belong")
@@ -145,7 +146,7 @@ def write_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int =
     target = to_arrow_schema(T.StructType.fromDDL("content binary"))
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = WordTokenizer(tokenizer_path, end_id), TaskContext.get().partitionId()
+        encoder, part = worker_tokenizer(tokenizer_path, end_id), TaskContext.get().partitionId()
         width = encoder.dtype.itemsize
         own = FileBuilder(part, 0, width, 0)
         # The writer adds the last four bytes, as its line separator.
