@@ -31,7 +31,7 @@ from kinloom.llm.arrow_map import text_slices, texts_of
 from kinloom.session import ship_package, staged
 
 #: Bytes of words and ids kept in a worker's cache; beyond them it is emptied and filled again.
-CACHE_BYTES = 192 << 20
+CACHE_BYTES = 96 << 20
 #: What an entry takes besides the word itself and its ids.
 ENTRY_BYTES = 140
 
