@@ -21,6 +21,12 @@ def _positive(own: object, *names: str) -> None:
             raise ValueError(f"{name} must be a positive integer")
 
 
+def _thresholds(values: tuple[float, ...]) -> None:
+    given = list(values)
+    if not given or any(not math.isfinite(t) or not 0 <= t <= 1 for t in given) or given != sorted(set(given)):
+        raise ValueError("thresholds must be finite, in [0, 1], sorted and unique")
+
+
 @dataclass(frozen=True)
 class PrepConfig:
     """Candidate generation and splits."""
@@ -101,10 +107,45 @@ class MatcherConfig:
 
     def __post_init__(self) -> None:
         _positive(self, "max_iter", "max_depth", "max_bins", "min_instances")
-        given = list(self.thresholds)
-        if not given or any(not math.isfinite(t) or not 0 <= t <= 1 for t in given) or given != sorted(set(given)):
-            raise ValueError("thresholds must be finite, in [0, 1], sorted and unique")
+        _thresholds(self.thresholds)
 
     @classmethod
     def from_dict(cls, given: dict) -> MatcherConfig:
         return _from_dict(cls, {**given, **({"thresholds": tuple(given["thresholds"])} if "thresholds" in given else {})})
+
+
+@dataclass(frozen=True)
+class BoostingConfig:
+    """Leaf-wise gradient boosting with early stopping."""
+
+    # Names and defaults of these settings are fixed values.
+    num_boost_round: int = 600
+    early_stopping_rounds: int = 50
+    learning_rate: float = 0.05
+    num_leaves: int = 31
+    min_data_in_leaf: int = 50
+    max_bin: int = 63
+    feature_fraction: float = 0.9
+    bagging_fraction: float = 0.9
+    bagging_freq: int = 1
+    lambda_l2: float = 2.0
+    seed: int = 42
+    #: Uniform samples of so many pairs of either split; None: all.
+    max_train_pairs: int | None = None
+    max_early_stopping_pairs: int | None = None
+    thresholds: tuple[float, ...] = field(default_factory=lambda: tuple(round(0.05 * k, 2) for k in range(1, 20)))
+
+    def __post_init__(self) -> None:
+        _positive(self, "num_boost_round", "early_stopping_rounds", "num_leaves", "min_data_in_leaf", "max_bin", *[n for n in ("max_train_pairs", "max_early_stopping_pairs") if getattr(self, n) is not None])
+        if self.num_leaves < 2 or self.max_bin > 254:
+            raise ValueError("num_leaves must be at least 2, max_bin at most 254")
+        for name in ("feature_fraction", "bagging_fraction", "learning_rate"):
+            if not 0 < getattr(self, name) <= 1:
+                raise ValueError(f"{name} must lie in (0, 1]")
+        if isinstance(self.bagging_freq, bool) or not isinstance(self.bagging_freq, int) or self.bagging_freq < 0 or not self.lambda_l2 >= 0:
+            raise ValueError("bagging_freq and lambda_l2 must not be negative")
+        _thresholds(self.thresholds)
+
+    @classmethod
+    def from_dict(cls, given: dict) -> BoostingConfig:
+        return _from_dict(cls, {**given, **({"thresholds": tuple(given["thresholds"])} if "thresholds" in given else {})})

@@ -9,9 +9,28 @@ from pyspark.sql import functions as F
 from kinloom.session import staged
 
 
+def least_rows(df: DataFrame, k: int, hashed: Column, *key: str) -> DataFrame:
+    """The k rows of least hash (a long), ties by key: of 65,536 classes of the hash those below the one that the
+    k-th row falls into are taken whole, and only that one is sorted."""
+    given = df.withColumn("__hash", hashed).withColumn("__class", F.shiftright("__hash", 48))
+    counts = given.groupBy("__class").agg(F.count("*").alias("n")).collect()  # a row for each class
+    below, last = 0, None
+    for r in sorted(counts, key=lambda r: r["__class"]):
+        if below + r["n"] >= k:
+            last = r["__class"]
+            break
+        below += r["n"]
+    if last is None:
+        return df
+    cut = given.where(F.col("__class") == last).orderBy("__hash", *key).limit(k - below)
+    return given.where(F.col("__class") < last).unionByName(cut).drop("__hash", "__class")
+
+
 def uniform_sample(df: DataFrame, k: int, seed: int, *key: str) -> DataFrame:
     """k rows, or all, of least hash: uniform without replacement."""
-    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *key)), *key).limit(k)
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *key))
+    # The first 60 bits of the digest, in its order.
+    return least_rows(df, k, F.conv(F.substring(digest, 1, 15), 16, 10).cast("long") * 8, *key)
 
 
 def sample_by_group(df: DataFrame, group: str, k: int, *order: str) -> DataFrame:

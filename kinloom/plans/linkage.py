@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinloom.config import DenseConfig, MatcherConfig, PrepConfig
+from kinloom.config import BoostingConfig, DenseConfig, MatcherConfig, PrepConfig
 from kinloom.functions import hashing, tokens
 from kinloom.functions.normalize import clean_records
 from kinloom.operators import blocking, evaluation, features, knn, labeling, matcher, tfidf
@@ -115,7 +115,7 @@ def signature(*configs: object) -> str:
     return hashlib.sha256(json.dumps([asdict(c) for c in configs], sort_keys=True).encode()).hexdigest()
 
 
-def run(spark: SparkSession, root: str, out: str, prep: PrepConfig, trees: MatcherConfig, dense: DenseConfig | None = None) -> dict:
+def run(spark: SparkSession, root: str, out: str, prep: PrepConfig, trees: MatcherConfig | BoostingConfig, dense: DenseConfig | None = None) -> dict:
     """Train on the train files below root, match the test files, write both under out."""
     tables.refuse_sample(spark, root)
     train = read_records(spark, root, "train")
@@ -127,10 +127,10 @@ def run(spark: SparkSession, root: str, out: str, prep: PrepConfig, trees: Match
     settings = signature(prep, trees, *([dense] if dense else []))
     tables.write_parquet(labeling.recall_report(labels), f"{out}/candidate_recall")
     tables.write_parquet(sweep, f"{out}/validation_f05")
-    model.write().save(f"{out}/matcher")
+    matcher.save(model, spark, f"{out}/matcher")
     tfidf.save_tfidf(terms, f"{out}/terms")
     held = labeled.where("dataset_split = 'validation'")
-    report = {"signature": settings, "model_sha": matcher.fingerprint(model), "terms_sha": tfidf.fingerprint(terms), "threshold": threshold, "importances": matcher.importances(model)[:20], "learning_curve": matcher.learning_curve(model, held)}
+    report = {"signature": settings, "model_sha": matcher.fingerprint(model), "terms_sha": tfidf.fingerprint(terms), "threshold": threshold, "importances": matcher.importances(model)[:20], "learning_curve": matcher.learning_curve(model, held), "leafwise": isinstance(trees, BoostingConfig)}
     tables.write_json(spark, report, f"{out}/report")
     tables.log_metrics(spark, f"{out}/metrics", "train", len(report["learning_curve"]), threshold=threshold, loss=report["learning_curve"][-1])
     # What is applied is what was stored.
@@ -150,7 +150,7 @@ def load_matcher(spark: SparkSession, out: str, expected: str, prep: PrepConfig)
     report = tables.read_json(spark, f"{out}/report")
     if report["signature"] != expected:
         raise ValueError("the stored matcher was made with other settings")
-    model = PipelineModel.load(f"{out}/matcher")
+    model = matcher.load(spark, f"{out}/matcher", report.get("leafwise", False))
     if matcher.feature_columns(model) != features.MODEL_COLUMNS:
         raise ValueError("the stored matcher has other features")
     terms = tfidf.load_tfidf(spark, f"{out}/terms", tfidf.hashed_terms(prep.hash_bits))

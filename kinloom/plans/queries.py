@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kinloom.config import DenseConfig, MatcherConfig, PrepConfig
+from kinloom.config import BoostingConfig, DenseConfig, MatcherConfig, PrepConfig
 from kinloom.functions import hashing, normalize, tokens
 from kinloom.functions import similarity as sim
 from kinloom.operators import blocking, evaluation, features, ivf, knn, labeling, matcher, ranked, sampling, tfidf
@@ -774,9 +774,36 @@ def pair_prototype(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours_by_key(spark, sf_dir).select("rid", *[c.alias(n) for n, c in features.prototype_features("a", "b").items()])
 
 
+_STUMP = BoostingConfig(num_boost_round=1, num_leaves=2, min_data_in_leaf=50, feature_fraction=1.0, bagging_fraction=1.0, max_bin=254, learning_rate=0.5)
+
+
+@query("""WITH d AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 5 > 0 THEN p_size END AS a, p_partkey % 7 AS b, p_partkey % 11 AS c, CAST(p_size + p_partkey % 17 > 30 AS INT) AS y FROM part),
+t AS (SELECT count(*) AS n, sum(y) / count(*) AS p FROM d),
+cells AS (SELECT f, v, count(*) AS n, sum(p - y) AS g FROM (SELECT y, 'a' AS f, a AS v FROM d UNION ALL SELECT y, 'b', b FROM d UNION ALL SELECT y, 'c', c FROM d), t GROUP BY f, v),
+upto AS (SELECT f, v, sum(n) OVER w AS n, sum(g) OVER w AS g FROM cells WHERE v IS NOT NULL WINDOW w AS (PARTITION BY f ORDER BY v)),
+cuts AS (SELECT u.f, u.v, m.lost, u.n + m.lost * coalesce(c.n, 0) AS nl, u.g + m.lost * coalesce(c.g, 0) AS gl FROM upto u LEFT JOIN cells c ON c.f = u.f AND c.v IS NULL, (VALUES (1), (0)) AS m(lost)),
+sized AS (SELECT cuts.*, t.n - nl AS nr, (SELECT sum(g) FROM cells WHERE f = 'a') - gl AS gr, p * (1 - p) AS h FROM cuts, t),
+best AS (SELECT * FROM sized WHERE nl >= 50 AND nr >= 50 ORDER BY round(gl * gl / (nl * h + 2) + gr * gr / (nr * h + 2), 9) DESC, f, lost DESC, v LIMIT 1)
+SELECT k AS source1_entity_id, round(1 / (1 + exp(-(ln(p / (1 - p)) - 0.5 * CASE WHEN coalesce(CASE f WHEN 'a' THEN a WHEN 'b' THEN b ELSE c END <= v, CASE WHEN f = 'a' THEN lost = 1 END) THEN gl / (nl * h + 2) ELSE gr / (nr * h + 2) END))), 6) AS match_probability FROM d, t, best""")
+def boosted_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tree of two leaves, the best of all cuts of three features, one with missing values; a probability for every part."""
+    key, column = F.col("p_partkey"), lambda c, n: c.cast("double").alias(n)
+    features_ = [column(F.when(key % 5 > 0, F.col("p_size")), "a"), column(key % 7, "b"), column(key % 11, "c")]
+    label = (F.col("p_size") + key % 17 > 30).cast("int").alias("label")
+    given = staged(read_table(spark, sf_dir, "part").select(key.alias("source1_entity_id"), F.lit("").alias("candidate_entity_id"), label, F.lit("train").alias("dataset_split"), *features_), "stump")
+    found = matcher.predict(matcher.train(given, _STUMP, ["a", "b", "c"]), given)
+    return found.select("source1_entity_id", F.round("match_probability", 6).alias("match_probability"))
+
+
 @query()
-def matcher_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quality of labelled documents learned from counts of their characters."""
+def matcher_leafwise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As matcher_trees, by leaf-wise trees that stop by the validation split."""
+    given, columns = _document_features(spark, sf_dir)
+    config = BoostingConfig(num_boost_round=10, early_stopping_rounds=3, num_leaves=8, min_data_in_leaf=5)
+    return matcher.predict(matcher.train(given, config, columns), given)
+
+
+def _document_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
     docs = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id").where("text IS NOT NULL")
     share = lambda kind: F.length(F.regexp_replace("text", f"[^{kind}]", "")) / F.greatest(F.lit(1), F.length("text"))
     columns = {"chars": F.length("text"), "symbols": share("#*$%&|<>"), "digits": share("0-9"), "capitals": share("A-Z"), "lines": share("\\n")}
@@ -784,6 +811,12 @@ def matcher_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("source1_entity_id"), F.col("source").alias("candidate_entity_id"), F.col("quality").alias("label"),
         F.when(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0, "validation").otherwise("train").alias("dataset_split"), *[c.alias(n) for n, c in columns.items()],
     )
-    given = staged(given, "matcher")
-    model = matcher.train(given, MatcherConfig(max_iter=10, min_instances=2, feature_subset="all"), list(columns))
+    return staged(given, "matcher"), list(columns)
+
+
+@query()
+def matcher_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of labelled documents learned from counts of their characters."""
+    given, columns = _document_features(spark, sf_dir)
+    model = matcher.train(given, MatcherConfig(max_iter=10, min_instances=2, feature_subset="all"), columns)
     return matcher.predict(model, given)

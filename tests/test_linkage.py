@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinloom.config import DenseConfig, MatcherConfig, PrepConfig
+from kinloom.config import BoostingConfig, DenseConfig, MatcherConfig, PrepConfig
 from kinloom.functions.normalize import clean_records
 from kinloom.operators import blocking, components, evaluation, features, ivf, knn, labeling, matcher, sampling, tfidf
 from kinloom.plans import linkage
@@ -183,7 +183,8 @@ def test_tsv_and_zip(spark, tmp_path):
     assert tables.read_json(spark, str(tmp_path / "doc")) == {"a": [1, "é"]}
 
 
-def test_whole_run(spark, tmp_path):
+@pytest.mark.parametrize("trees", [MatcherConfig(max_iter=5, min_instances=1, feature_subset="all"), BoostingConfig(num_boost_round=3, num_leaves=4, min_data_in_leaf=5, learning_rate=0.5)], ids=["mllib", "leafwise"])
+def test_whole_run(spark, tmp_path, trees):
     header = "entity_id\tbusiness_name\tbusiness_address\tcountry\n"
     for split, n in (("train", 60), ("test", 12)):
         for source in (1, 2, 3):
@@ -191,7 +192,7 @@ def test_whole_run(spark, tmp_path):
             lines = [f"S{source}-{split}-{i}\tharbor {trade} branch {i}\t{i + 1} elm road city\t{'India' if i % 2 else 'US'}\n" for i in range(n)]
             (tmp_path / f"{split}_source{source}.tsv").write_text(header + "".join(lines))
     (tmp_path / "train_ground_truth.tsv").write_text("source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-train-{i}\tS2-train-{i}\n" for i in range(60)))
-    prep, trees = PrepConfig(hash_bits=12, validation_fraction=0.3, max_candidates=20), MatcherConfig(max_iter=5, min_instances=1, feature_subset="all")
+    prep = PrepConfig(hash_bits=12, validation_fraction=0.3, max_candidates=20)
     dense = DenseConfig(ann_top_k=4, ann_shortlist=8)
     report = linkage.run(spark, str(tmp_path), str(tmp_path / "out"), prep, trees, dense)
     assert 0 <= report["threshold"] <= 1
