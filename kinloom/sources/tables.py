@@ -19,9 +19,9 @@ from kinloom.operators.labeling import require_none
 from kinloom.operators.sampling import dense_numbers
 from kinloom.schemas import RAW_COLUMNS
 from kinloom.session import ship_package
+from kinloom.sources import archives
 
 _CORRUPT = "_corrupt_record"
-SAMPLE_MARK = "SAMPLE_README.txt"
 
 
 def find_one(spark: SparkSession, root: str, pattern: str) -> str:
@@ -34,8 +34,12 @@ def find_one(spark: SparkSession, root: str, pattern: str) -> str:
 
 
 def refuse_sample(spark: SparkSession, root: str) -> None:
-    """A folder that is marked as a sample must not be submitted from."""
-    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", SAMPLE_MARK).load(root).select("path")
+    """A folder or archive that is marked as a sample must not be submitted from."""
+    if root.endswith(".zip"):
+        if archives.can_open(root):
+            archives.member_names(root)
+        return  # else the reader of its members refuses it
+    names = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", archives.SAMPLE_MARK).load(root).select("path")
     if names.head(1):
         raise ValueError(f"{root} holds a sample, not the full data")
 
@@ -58,8 +62,13 @@ def read_tsv(spark: SparkSession, path: str, required: list[str] | None = None,
 def read_zip_member(spark: SparkSession, path: str, pattern: str, columns: list[str]) -> DataFrame:
     """Rows of the one TSV member of a ZIP whose base name matches, as strings.
 
-    A ZIP cannot be split: one task streams it, and Spark's binary reader bounds it at 2 GB.
-    Larger inputs belong in gzip or plain files."""
+    Archives in stores that Arrow opens are read in place, whatever their size (`sources.archives`). Of any other
+    store Spark's binary reader brings the archive into one task, which bounds it at 2 GB."""
+    if archives.can_open(path):
+        found = archives.member_names(path, pattern)
+        if len(found) != 1:
+            raise ValueError(f"expected exactly one member {pattern}, found {len(found)}")
+        return archives.read_members(spark, path, pattern, columns).select(*columns)
     ship_package(spark)
     archive = spark.read.format("binaryFile").load(path).select("content")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
@@ -68,6 +77,8 @@ def read_zip_member(spark: SparkSession, path: str, pattern: str, columns: list[
         for batch in batches:
             for content in batch["content"]:
                 with zipfile.ZipFile(io.BytesIO(content)) as packed:
+                    if any(archives.base_name(n) == archives.SAMPLE_MARK for n in packed.namelist()):
+                        raise ValueError("the archive holds a sample, not the full data")
                     found = [n for n in packed.namelist() if re.fullmatch(pattern, n.rsplit("/", 1)[-1])]
                     if len(found) != 1:
                         raise ValueError(f"expected exactly one member {pattern}, found {len(found)}")
@@ -98,6 +109,8 @@ def read_source(spark: SparkSession, root: str, split: str, number: int) -> Data
 
 
 def read_truth(spark: SparkSession, root: str) -> DataFrame:
+    if root.endswith(".zip"):
+        return read_zip_member(spark, root, r"train_ground_truth\.tsv", ["source1_entity_id", "matched_entity_ids"])
     return read_tsv(spark, find_one(spark, root, r"train_ground_truth\.tsv"), ["source1_entity_id", "matched_entity_ids"])
 
 
