@@ -14,8 +14,9 @@ from kinloom.config import BoostingConfig, DenseConfig, MatcherConfig, PrepConfi
 from kinloom.functions import hashing, tokens
 from kinloom.functions.normalize import clean_records
 from kinloom.operators import blocking, evaluation, features, knn, labeling, matcher, tfidf
+from kinloom.plans.manifest import Manifest, code_digest
 from kinloom.session import shared_folder, staged
-from kinloom.sources import tables
+from kinloom.sources import files, tables
 
 
 @dataclass
@@ -116,34 +117,58 @@ def signature(*configs: object) -> str:
 
 
 def run(spark: SparkSession, root: str, out: str, prep: PrepConfig, trees: MatcherConfig | BoostingConfig, dense: DenseConfig | None = None) -> dict:
-    """Train on the train files below root, match the test files, write both under out."""
+    """Train on the train files below root, match the test files, write both under out.
+
+    A run that was broken off goes on after its last finished stage; a finished one is not run again. Inputs, settings
+    or code that changed since are an error."""
+    configs = {"preparation": prep, "matcher": trees, **({"dense": dense} if dense else {})}
+    done = Manifest(spark, out, {**{k: asdict(c) for k, c in configs.items()}, "inputs": files.identities(spark, root), "code": code_digest()})
+    if done.done("match"):
+        return tables.read_json(spark, f"{out}/report")
     tables.refuse_sample(spark, root)
-    train = read_records(spark, root, "train")
-    terms = fit_terms(train, prep)
-    prepared = prepare(train, terms, prep, dense)
-    labeled, labels = label(prepared, labeling.staged_truth(tables.read_truth(spark, root)), prep)
-    model = matcher.train(labeled, trees)
-    sweep, threshold = validate(model, labeled, labels, trees.thresholds)
-    settings = signature(prep, trees, *([dense] if dense else []))
-    tables.write_parquet(labeling.recall_report(labels), f"{out}/candidate_recall")
-    tables.write_parquet(sweep, f"{out}/validation_f05")
-    matcher.save(model, spark, f"{out}/matcher")
-    tfidf.save_tfidf(terms, f"{out}/terms")
-    held = labeled.where("dataset_split = 'validation'")
-    report = {"signature": settings, "model_sha": matcher.fingerprint(model), "terms_sha": tfidf.fingerprint(terms), "threshold": threshold, "importances": matcher.importances(model)[:20], "learning_curve": matcher.learning_curve(model, held), "leafwise": isinstance(trees, BoostingConfig)}
-    tables.write_json(spark, report, f"{out}/report")
-    tables.log_metrics(spark, f"{out}/metrics", "train", len(report["learning_curve"]), threshold=threshold, loss=report["learning_curve"][-1])
+    settings = signature(*configs.values())
+    (train,) = done.frames("train-records", lambda: [read_records(spark, root, "train")])
+    done.run("terms", [f"{out}/terms"], lambda: tfidf.save_tfidf(fit_terms(train, prep), f"{out}/terms"))
+    terms = tfidf.load_tfidf(spark, f"{out}/terms", tfidf.hashed_terms(prep.hash_bits))
+    prepared = _prepared(done, "train-candidates", train, terms, prep, dense)
+    labeled, labels = done.frames("labels", lambda: list(label(prepared, labeling.staged_truth(tables.read_truth(spark, root)), prep)))
+    done.run("recall", [f"{out}/candidate_recall"], lambda: tables.write_parquet(labeling.recall_report(labels), f"{out}/candidate_recall"))
+
+    def fit() -> None:
+        model = matcher.train(labeled, trees)
+        sweep, threshold = validate(model, labeled, labels, trees.thresholds)
+        tables.write_parquet(sweep, f"{out}/validation_f05")
+        matcher.save(model, spark, f"{out}/matcher")
+        held = labeled.where("dataset_split = 'validation'")
+        report = {"signature": settings, "model_sha": matcher.fingerprint(model), "terms_sha": tfidf.fingerprint(terms), "threshold": threshold, "importances": matcher.importances(model)[:20], "learning_curve": matcher.learning_curve(model, held), "leafwise": isinstance(trees, BoostingConfig)}
+        tables.write_json(spark, report, f"{out}/report")
+        tables.log_metrics(spark, f"{out}/metrics", "train", len(report["learning_curve"]), threshold=threshold, loss=report["learning_curve"][-1])
+
+    done.run("matcher", [f"{out}/{x}" for x in ("validation_f05", "matcher", "report")], fit)
     # What is applied is what was stored.
     model, terms, report = load_matcher(spark, out, settings, prep)
-    test = prepare(read_records(spark, root, "test"), terms, prep, dense)
+    (records,) = done.frames("test-records", lambda: [read_records(spark, root, "test")])
+    test = _prepared(done, "test-candidates", records, terms, prep, dense)
     labeling.require_complete(test.queries, test.records)
-    matches, listed = submit(model, test, threshold)
-    tables.write_lists(matches, f"{out}/matching_results")
-    tables.write_lists(listed, f"{out}/candidate_pairs")
-    tables.log_metrics(spark, f"{out}/metrics", "match", 1, queries=test.queries.count(), pairs=test.pairs.count())
+
+    def match() -> None:
+        matches, listed = submit(model, test, report["threshold"])
+        tables.write_lists(matches, f"{out}/matching_results")
+        tables.write_lists(listed, f"{out}/candidate_pairs")
+        tables.log_metrics(spark, f"{out}/metrics", "match", 1, queries=test.queries.count(), pairs=test.pairs.count())
+
+    done.run("match", [f"{out}/matching_results", f"{out}/candidate_pairs"], match)
     return report
 
 
+def _prepared(done: Manifest, stage: str, records: DataFrame, terms: tfidf.TfidfModel, prep: PrepConfig, dense: DenseConfig | None) -> Prepared:
+    def build() -> list[DataFrame]:
+        made = prepare(records, terms, prep, dense)
+        return [made.pairs, made.queries]
+
+    return Prepared(records, *done.frames(stage, build))
+
+
 def load_matcher(spark: SparkSession, out: str, expected: str, prep: PrepConfig) -> tuple[PipelineModel, tfidf.TfidfModel, dict]:
     """The stored matcher, its terms and report, if they were made with the expected settings and
     are what the report tells: new records can be scored with them."""

@@ -19,7 +19,7 @@ from kinloom.operators.labeling import require_none
 from kinloom.operators.sampling import dense_numbers
 from kinloom.schemas import RAW_COLUMNS
 from kinloom.session import ship_package
-from kinloom.sources import archives
+from kinloom.sources import archives, files
 
 _CORRUPT = "_corrupt_record"
 
@@ -154,13 +154,12 @@ def write_lists(df: DataFrame, path: str, order: str = "rid") -> None:
 
 
 def write_json(spark: SparkSession, document: dict, path: str) -> None:
-    """A small document, in any store that Spark writes to; NaN is refused."""
-    text = json.dumps(document, ensure_ascii=False, allow_nan=False, sort_keys=True)
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    """A small document, published whole in any store that Spark writes to; NaN is refused."""
+    files.write_text(spark, path, json.dumps(document, ensure_ascii=False, allow_nan=False, sort_keys=True))
 
 
 def read_json(spark: SparkSession, path: str) -> dict:
-    return json.loads(spark.read.text(path).first()["value"])
+    return json.loads(files.read_text(spark, path))
 
 
 def log_metrics(spark: SparkSession, path: str, stage: str, step: int, **metrics: float) -> None:

@@ -1,6 +1,7 @@
 """Small end-to-end fixtures of the linkage plan."""
 
 import gzip
+import os
 import zipfile
 
 import numpy as np
@@ -194,7 +195,31 @@ def test_whole_run(spark, tmp_path, trees):
     (tmp_path / "train_ground_truth.tsv").write_text("source1_entity_id\tmatched_entity_ids\n" + "".join(f"S1-train-{i}\tS2-train-{i}\n" for i in range(60)))
     prep = PrepConfig(hash_bits=12, validation_fraction=0.3, max_candidates=20)
     dense = DenseConfig(ann_top_k=4, ann_shortlist=8)
-    report = linkage.run(spark, str(tmp_path), str(tmp_path / "out"), prep, trees, dense)
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    raw.mkdir()
+    for name in os.listdir(tmp_path):
+        if name.endswith(".tsv"):
+            (tmp_path / name).rename(raw / name)
+    # Broken off while matching, then run to its end, then run again: no stage twice, and no job the third time.
+    with pytest.MonkeyPatch.context() as broken:
+        broken.setattr(linkage, "submit", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            linkage.run(spark, str(raw), str(out), prep, trees, dense)
+    with pytest.MonkeyPatch.context() as once:
+        once.setattr(matcher, "train", lambda *_: 1 / 0)
+        once.setattr(linkage, "prepare", lambda *_: 1 / 0)
+        report = linkage.run(spark, str(raw), str(out), prep, trees, dense)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("again", "again")
+    assert linkage.run(spark, str(raw), str(out), prep, trees, dense) == report
+    assert list(tracker.getJobIdsForGroup("again")) == []
+    spark.sparkContext.setJobGroup("tests", "tests")
+    with pytest.raises(ValueError, match="preparation"):
+        linkage.run(spark, str(raw), str(out), PrepConfig(hash_bits=13), trees, dense)
+    with open(raw / "test_source1.tsv", "a") as more:
+        more.write("S1-more\tx\ty\tUS\n")
+    with pytest.raises(ValueError, match="inputs"):
+        linkage.run(spark, str(raw), str(out), prep, trees, dense)
     assert 0 <= report["threshold"] <= 1
     matches = spark.read.csv(str(tmp_path / "out/matching_results"), sep="\t", header=True).collect()
     assert len(matches) == 12
