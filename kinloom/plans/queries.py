@@ -749,6 +749,94 @@ def pair_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours_by_key(spark, sf_dir).select("rid", *[every[n].alias(n) for n in plain], *[F.round(every[n], 6).alias(n) for n in rounded])
 
 
+# Records whose columns all differ, each of them empty in some; the same text for Spark and for DuckDB.
+_FULL = {
+    "name_basic": "CASE WHEN p_partkey % 13 = 0 THEN '' ELSE p_name END",
+    "name_expanded": "CASE WHEN p_partkey % 13 = 0 THEN '' ELSE p_name || ' company' END",
+    "name_without_suffix": "CASE WHEN p_partkey % 13 = 0 THEN '' ELSE regexp_replace(p_name, ' [^ ]+$', '') END",
+    "address_normalized": "CASE WHEN p_partkey % 11 = 0 THEN '' ELSE p_size || ' brand ' || substr(p_brand, 7) || ' road' END",
+    "country_key": "CASE WHEN p_partkey % 7 = 0 THEN '' ELSE p_type END",
+    "postal_code_candidate": "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE (10000 + p_size) || '' END",
+    "state_candidate": "CASE WHEN p_partkey % 4 = 0 THEN '' ELSE p_brand END",
+    "city_candidate": "CASE WHEN p_partkey % 3 = 0 THEN '' ELSE lower(p_type) END",
+    "house_number_zero_normalized": "CASE WHEN p_partkey % 9 = 0 THEN '' ELSE p_size || '' END",
+    "name_missing": "CAST(p_partkey % 13 = 0 AS INT)",
+    "address_missing": "CAST(p_partkey % 11 = 0 AS INT)",
+}
+
+
+def _given(c: str, value: str) -> str:
+    return f"CASE WHEN a.{c} <> '' AND b.{c} <> '' THEN {value} END"
+
+
+def _feature_sql() -> dict[str, str]:
+    sides = lambda text, c: text.format(f"a.{c}", f"b.{c}")
+    ratio = lambda c: _given(c, sides("1 - levenshtein({0}, {1}) / greatest(length({0}), length({1}))", c))
+    equal = lambda c: _given(c, sides("CAST({0} = {1} AS DOUBLE)", c))
+    out = {"name_jaro_winkler": _given("name_basic", "jaro_winkler_similarity(a.name_basic, b.name_basic)"), "name_tfidf_cosine": "a.rid % 10 / 10.0", "address_tfidf_cosine": "a.rid % 7 / 7.0"}
+    for field, c, edit, near in (("name", "name_basic", "name_levenshtein_ratio", "name_char_ngram_similarity"), ("address", "address_normalized", "address_levenshtein", "address_char_similarity")):
+        out[edit], out[f"{field}_exact"] = ratio(c), equal(c)
+        out[f"{field}_token_jaccard"] = _given(c, _JACCARD.format(f"list_distinct(string_split(a.{c}, ' '))", f"list_distinct(string_split(b.{c}, ' '))"))
+        out[near] = _given(c, _JACCARD.format(_gram_list(f"a.{c}"), _gram_list(f"b.{c}")))
+        out[f"{field}_length_ratio"] = _given(c, sides("least(length({0}), length({1})) / greatest(length({0}), length({1}))", c))
+        gone = f"{field}_missing"
+        out |= {gone: sides("greatest({0}, {1})", gone), f"{gone}_left": f"a.{gone}", f"{gone}_right": f"b.{gone}", f"{gone}_both": sides("least({0}, {1})", gone)}
+    out["name_address_similarity_product"] = f"({ratio('name_basic')}) * ({ratio('address_normalized')})"
+    out["address_edit_distance"] = _given("address_normalized", "CAST(levenshtein(a.address_normalized, b.address_normalized) AS DOUBLE)")
+    out["country_exact"] = equal("country_key")
+    out |= {f"{c}_similarity": ratio(c) for c in ("name_without_suffix", "name_expanded")}
+    for stem, c in (("postal", "postal_code_candidate"), ("city", "city_candidate"), ("state", "state_candidate"), ("house_number", "house_number_zero_normalized")):
+        out["postal_code_exact" if stem == "postal" else f"{stem}_exact"] = equal(c)
+        out[f"{stem}_missing"] = f"CAST(a.{c} = '' OR b.{c} = '' AS INT)"
+    return out
+
+
+_FEATURE_SQL = _feature_sql()
+
+
+@query(f"""WITH rec AS (SELECT p_partkey AS rid, {", ".join(f"{v} AS {c}" for c, v in _FULL.items())} FROM part)
+SELECT a.rid AS q, b.rid AS r, {", ".join(f"round(CAST({v} AS DOUBLE), 6) AS {n}" for n, v in _FEATURE_SQL.items())} FROM rec a JOIN rec b ON b.rid IN (a.rid, a.rid + 1)""")
+def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features of production, but for those by sorted words, of each record with itself and with the next one."""
+    given = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("rid"), *[F.expr(v).alias(c) for c, v in _FULL.items()])
+    cosines = {"name_retrieval_cosine": F.col("q") % 10 / 10, "address_retrieval_cosine": F.col("q") % 7 / 7}
+    pairs = given.select(F.col("rid").alias("q"), F.explode(F.array("rid", F.col("rid") + 1)).alias("r")).withColumns(cosines)
+    found = features.pair_features(pairs, given)
+    return found.select("q", "r", *[F.round(F.col(n).cast("double"), 6).alias(n) for n in _FEATURE_SQL])
+
+
+# The five keys of channel A and the four of channel C all differ here, and a sixth of the records is of country IN.
+_KEYED = {
+    "entity_id": "'S' || (1 + p_partkey % 3) || '-' || p_partkey",
+    **{c: _FULL[c] for c in ("name_basic", "name_expanded", "name_without_suffix", "postal_code_candidate", "state_candidate", "city_candidate", "house_number_zero_normalized")},
+    "address_normalized": "p_size || ' near ' || substr(p_brand, 7) || ' ' || lower(p_type) || ' mill' || p_partkey % 3 || ' road'",
+    "country_key": "CASE WHEN p_partkey % 7 = 0 THEN '' WHEN p_partkey % 6 = 1 THEN 'IN' ELSE 'US' END",
+}
+
+
+@query(f"""WITH rec AS (SELECT p_partkey AS rid, 1 + p_partkey % 3 AS source, {", ".join(f"{v} AS {c}" for c, v in _KEYED.items())} FROM part),
+named AS (SELECT *, CASE WHEN name_without_suffix <> '' THEN name_without_suffix ELSE name_basic END AS core FROM rec),
+keys AS (SELECT rid, 'A' AS ch, unnest([CASE WHEN name_basic <> '' THEN 'basic|' || name_basic END, CASE WHEN core <> '' THEN 'core|' || core END, CASE WHEN name_without_suffix <> '' THEN 'free|' || name_without_suffix END,
+    CASE WHEN name_expanded <> '' THEN 'expanded|' || name_expanded END, CASE WHEN core <> '' THEN 'sorted|' || array_to_string(list_sort(string_split(core, ' ')), ' ') END]) AS key FROM named
+  UNION ALL SELECT rid, 'C', unnest([CASE WHEN state_candidate <> '' AND postal_code_candidate <> '' THEN 'postal|' || state_candidate || '|' || postal_code_candidate END, CASE WHEN postal_code_candidate <> '' THEN 'only|' || postal_code_candidate END,
+    CASE WHEN city_candidate <> '' AND core <> '' THEN 'city|' || city_candidate || '|' || array_to_string(string_split(core, ' ')[1:3], ' ') END]) FROM named
+  UNION ALL SELECT rid, 'C', CASE WHEN city_candidate <> '' THEN 'token|' || city_candidate || '|' || t END FROM (SELECT rid, city_candidate, unnest(list_distinct(string_split(address_normalized, ' '))) AS t FROM named)
+    WHERE length(t) >= 3 AND NOT regexp_matches(t, '^[0-9]+$') AND t NOT IN ('road', 'street', 'avenue', 'lane', 'block', 'near', 'and', 'the') AND NOT list_contains(string_split(city_candidate, ' '), t)),
+met AS (SELECT DISTINCT q.rid AS q, r.rid AS r, a.ch, q.core AS qn, r.core AS rn FROM keys a JOIN keys b ON a.ch = b.ch AND a.key = b.key JOIN named q ON q.rid = a.rid JOIN named r ON r.rid = b.rid
+  WHERE q.source = 1 AND r.source IN (2, 3) AND (q.country_key = '' OR r.country_key = '' OR q.country_key = r.country_key)),
+sized AS (SELECT *, count(*) OVER (PARTITION BY q, ch) AS n FROM met),
+cut AS (SELECT *, row_number() OVER (PARTITION BY q, ch ORDER BY r) AS nth FROM sized WHERE n <= {LIMIT} OR (qn <> '' AND list_has_any(string_split(qn, ' '), string_split(rn, ' '))))
+SELECT q, r, ch AS channel FROM cut WHERE n <= {LIMIT} OR nth <= {LIMIT}""")
+def block_all_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channels A and C under the limit of production, by keys of names, postal codes, places and address words."""
+    given = read_table(spark, sf_dir, "part").select(F.col("p_partkey").alias("rid"), (1 + F.col("p_partkey") % 3).alias("source"), *[F.expr(v).alias(c) for c, v in _KEYED.items()])
+    filled = staged(blocking.with_texts(given.withColumns({c: F.lit("") for c in RECORD_TEXTS if c not in _KEYED})), "keyed")
+    queries, references = filled.where("source = 1"), filled.where("source IN (2, 3)")
+    words = tfidf.longest_words(queries, "name", 16).withColumnRenamed("rid", "q").withColumn("field", F.lit("name"))
+    met, _ = blocking.limited_blocks(queries, references, words, LIMIT, "AC")
+    return met.select("q", "r", "channel")
+
+
 @query(f"WITH {_REC} SELECT a.rid, round(jaro_winkler_similarity(a.name, b.name), 6) AS jaro_winkler FROM rec a JOIN rec b ON b.rid = a.rid + 1")
 def pair_jaro_winkler(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours_by_key(spark, sf_dir).select("rid", F.round(sim.jaro_winkler("a.name_basic", "b.name_basic"), 6).alias("jaro_winkler"))
