@@ -162,8 +162,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     if not sizes:
         return None
     spark, wanted, span = docs.sparkSession, min(TRAIN_ROWS, TRAIN_TOTAL // len(sizes)), 1 << 40
-    # Twice as many as wanted are drawn by hash, or all, before they are ranked.
-    shares = spark.createDataFrame([(r["l"], span if r["n"] <= 20 * wanted else int(span * 2 * wanted / r["n"])) for r in sizes], "l string, share long")
+    # Twice as many as wanted are drawn by hash, 40 more at least, or all, before they are ranked: of so
+    # many expected, none at all or too few come with a chance below 1e-12.
+    draws = max(2 * wanted, wanted + 40)
+    shares = spark.createDataFrame([(r["l"], span if r["n"] <= 10 * draws else int(span * draws / r["n"])) for r in sizes], "l string, share long")
     order = F.xxhash64(F.col(id_col), F.col(text_col), F.lit(SEED))
     drawn = labelled.select(F.col(lang_col).alias("l"), F.col(text_col).alias("text"), order.alias("order")).join(F.broadcast(shares), "l").where(F.pmod("order", F.lit(span)) < F.col("share"))
     ranked = drawn.withColumn("rank", F.row_number().over(Window.partitionBy("l").orderBy("order")))

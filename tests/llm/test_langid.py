@@ -76,3 +76,10 @@ def test_many_languages_are_all_learned(documents, monkeypatch):
     assert model.languages == [f"l{k:02}" for k in range(70)]
     again = langid.train(docs.repartition(5))
     assert all((a == b).all() for a, b in zip(model.dense, again.dense, strict=True))
+
+
+def test_no_language_is_lost_where_each_gives_one_document(documents, monkeypatch):
+    monkeypatch.setattr(langid, "TRAIN_TOTAL", 60)
+    rows = [(i, f"word{chr(97 + i % 60 % 26)} text{i % 60} " * 3, f"l{i % 60:02}") for i in range(60 * 800)]
+    monkeypatch.setattr(langid.ByteCNN, "fit", lambda self, windows, labels: self)
+    assert langid.train(documents(rows)).languages == [f"l{k:02}" for k in range(60)]
