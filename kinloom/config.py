@@ -1,4 +1,6 @@
-"""Settings of the linkage plan. Unknown keys and values out of range are errors."""
+"""Settings of the linkage plan. Unknown keys and values out of range are errors.
+
+Names and defaults of settings are fixed values."""
 
 from __future__ import annotations
 
