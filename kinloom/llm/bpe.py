@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import sys
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
@@ -34,11 +35,13 @@ from pyspark.sql import types as T
 from kinloom.llm.arrow_map import map_text, texts_of
 
 #: Longest block of a piece, in bytes; each begins in the middle of the one before.
-BLOCK = 128
+BLOCK = 48
 #: Pieces in one recursive query, and its rows over all steps (a step keeps a row for each token).
 CHUNK, ROWS = 20_000, 4_000_000
-#: Pieces and runs that a worker keeps from slice to slice.
-CACHE = 1_400_000
+#: Bytes of pieces and runs, with what is known of them, that a worker keeps from slice to slice.
+CACHE_BYTES = 192 << 20
+#: What an entry takes besides its texts.
+ENTRY_BYTES = 160
 
 # One row for each token: its place, the next row's place and token. A step finds each live
 # piece's best pair (rank, place, next place packed in one number, so the minimum is the
@@ -129,6 +132,7 @@ class DuckBpe:
         self.run_ids: dict[str, str] = {}
         self.run_bytes: dict[str, bytes] = {}
         self.odd: set[str] = set()
+        self.held = 0
 
     def _contract(self, raw: list[bytes]) -> Iterator[tuple[list[str], bytes]]:
         """The ids of each byte string and the bytes decoded from them."""
@@ -146,7 +150,7 @@ class DuckBpe:
             yield [t[0] for t in tokens], bytes.fromhex("".join([t[2] for t in tokens]))
 
     def _learn_blocks(self, blocks: set[bytes]) -> None:
-        fresh = list(blocks - self.blocks.keys())
+        fresh = [block for block in blocks if block not in self.blocks]
         for part in batches(fresh):
             self.blocks.update((block, list(map(int, ids))) for block, (ids, _) in zip(part, self._contract(part), strict=True))
 
@@ -180,6 +184,10 @@ class DuckBpe:
                 reach *= 2
         return [tok for _, tok in out]
 
+    def _keep(self, piece: str, ids: str, decoded: bytes) -> None:
+        self.pieces[piece] = (ids, decoded)
+        self.held += ENTRY_BYTES + sys.getsizeof(piece) + len(ids) + len(decoded)
+
     def _learn(self, pieces: set[str]) -> None:
         rest, long = [], []
         for piece in pieces:
@@ -187,17 +195,18 @@ class DuckBpe:
                 raw = piece.encode()
                 rank = self.ranks.get(raw)
                 if rank is not None:
-                    self.pieces[piece] = (str(rank), self.tokens[rank])
+                    self._keep(piece, str(rank), self.tokens[rank])
                 elif len(raw) > BLOCK:
                     long.append(raw)
                 else:
                     rest.append(raw)
         for part in batches(rest):
-            self.pieces.update((raw.decode(), (",".join(ids), decoded)) for raw, (ids, decoded) in zip(part, self._contract(part), strict=True))
+            for raw, (ids, decoded) in zip(part, self._contract(part), strict=True):
+                self._keep(raw.decode(), ",".join(ids), decoded)
         self._learn_blocks({raw[start:end] for raw in long for start, end in grid(raw)})
         for raw in long:
             ids = self._joined_blocks(raw)
-            self.pieces[raw.decode()] = (",".join(map(str, ids)), b"".join([self.tokens[i] for i in ids]))
+            self._keep(raw.decode(), ",".join(map(str, ids)), b"".join([self.tokens[i] for i in ids]))
         self.blocks.clear()
 
     def _cut(self, text: str) -> list[str] | None:
@@ -210,9 +219,10 @@ class DuckBpe:
 
     def encode(self, texts: list[str]) -> list[tuple[str, int, bytes]]:
         """For each text: its ids joined by commas, their number, and the bytes decoded from them."""
-        if len(self.pieces) + len(self.run_ids) > CACHE:
+        if self.held > CACHE_BYTES:
             for kept in (self.pieces, self.run_ids, self.run_bytes, self.odd):
                 kept.clear()
+            self.held = 0
         runs = [self._cut(t) for t in texts]
         fresh = set().union(*[r for r in runs if r]) - self.run_ids.keys() - self.odd
         cuts = {}
@@ -221,10 +231,12 @@ class DuckBpe:
                 cuts[run] = self.pattern.findall(run)
             else:  # it begins or ends with other white space, which may touch its neighbour's
                 self.odd.add(run)
+                self.held += ENTRY_BYTES + sys.getsizeof(run)
         whole = {i: self.pattern.findall(t) for i, t in enumerate(texts) if runs[i] is None or (self.odd and not self.odd.isdisjoint(runs[i]))}
         self._learn({p for own in (*cuts.values(), *whole.values()) for p in own})
         for run, own in cuts.items():
-            self.run_ids[run], self.run_bytes[run] = self._join(own)
+            ids, decoded = self.run_ids[run], self.run_bytes[run] = self._join(own)
+            self.held += ENTRY_BYTES + sys.getsizeof(run) + len(ids) + len(decoded)
         out = []
         for i, own in enumerate(runs):
             if i in whole:

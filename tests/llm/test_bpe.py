@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import sys
 
 import public_tokenizers
 import pytest
@@ -55,7 +56,7 @@ def long_pieces():
     yield from ("a" * 3001, "ab" * 2000 + "c", "=" * 1999, "é" * 700, "x" + "a" * 517, "-_" * 700, "日" * 999)
 
 
-@pytest.mark.parametrize("block", [16, 128])
+@pytest.mark.parametrize("block", [16, 48, 128])
 def test_joined_blocks_are_one_piece(library, monkeypatch, block):
     """Small blocks share no token with their neighbours now and then, and are widened."""
     monkeypatch.setattr(bpe, "BLOCK", block)
@@ -74,3 +75,18 @@ def test_batches_bound_the_rows_of_a_query():
     parts = list(bpe.batches(raw))
     assert [x for part in parts for x in part] == raw
     assert all(len(p) <= bpe.CHUNK and sum(len(x) ** 2 for x in p) <= bpe.ROWS for p in parts)
+
+
+def test_the_cache_counts_bytes(library, monkeypatch):
+    """Clauses without spaces are long: the bound holds whatever the length of an entry."""
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 200_000)
+    encoder = bpe.DuckBpe(bpe.load_ranks(PATH), public_tokenizers.PATTERN)
+    chance = random.Random(7)
+    for _ in range(12):
+        texts = ["".join(chr(chance.randrange(0x4E00, 0x9FA5)) for _ in range(n)) + " é" for n in (3, 90, 400) * 8]
+        for text, (ids, n, decoded) in zip(texts, encoder.encode(texts), strict=True):
+            assert list(map(int, ids.split(","))) == library.encode_ordinary(text) and n == ids.count(",") + 1
+            assert decoded == text.encode()
+        really = sum(sys.getsizeof(x) for p, own in encoder.pieces.items() for x in (p, *own))
+        assert really / 2 < encoder.held < 200_000 + 300_000
+        assert not encoder.blocks
