@@ -54,6 +54,8 @@ FRAGMENT_BYTES, LEAST_FRAGMENTS = 32 << 20, 64
 SEGMENTS, CELL_PAIRS, CELL_BYTES = 4, 100_000, 64 << 20
 #: A bucket with more than one in HOT_SHARE postings (so fewer than HOT_SHARE are) is dealt to SALTS tasks.
 HOT_SHARE, SALTS = 1000, 32
+#: Words whose hashes a task keeps, and the longest of them in bytes (some 100 MB in all); longer ones are hashed anew.
+KEPT_WORDS, KEPT_BYTES = 500_000, 64
 _A, _M = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SHARED = 1  # added to owner numbers, so that 0 says "several documents of this slice"
 
@@ -66,10 +68,14 @@ def shingle_hashes(text: str, words_seen: dict[bytes, int], size: int = SHINGLE)
     try:
         codes = [words_seen[w] for w in words]
     except KeyError:
+        codes = []
         for w in words:
-            if w not in words_seen:
-                words_seen[w] = xxhash.xxh3_64_intdigest(w)
-        codes = [words_seen[w] for w in words]
+            code = words_seen.get(w)
+            if code is None:
+                code = xxhash.xxh3_64_intdigest(w)
+                if len(w) <= KEPT_BYTES:
+                    words_seen[w] = code
+            codes.append(code)
     given = np.array(codes, np.uint64)
     run = min(size, len(given))
     h = np.full(len(given) - run + 1, run, np.uint64)
@@ -83,7 +89,7 @@ def shingle_hashes(text: str, words_seen: dict[bytes, int], size: int = SHINGLE)
 
 
 def _slice_sets(texts: pa.Array, size: int, seen: dict[bytes, int]) -> list[np.ndarray]:
-    if len(seen) > 500_000:
+    if len(seen) > KEPT_WORDS:
         seen.clear()
     return [shingle_hashes(x, seen, size) for x in texts_of(texts)]
 

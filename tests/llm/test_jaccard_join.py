@@ -121,3 +121,12 @@ def test_equal_rows_with_other_columns_keep_the_same_one(documents):
     docs = documents([(1, prose(3, 50), "en"), (1, prose(3, 50), "de"), (1, prose(3, 50), None)])
     kept = {jaccard_join.distinct_documents(docs.repartition(n)).first()["lang"] for n in (1, 2, 3)}
     assert len(kept) == 1
+
+
+def test_long_words_are_hashed_but_not_kept():
+    clauses = ["日本語の文" * 40 + str(i) for i in range(30)]
+    text, seen = " ".join([*clauses, "and", "a", "few", "short", "words"]), {}
+    first = jaccard_join.shingle_hashes(text, seen)
+    assert sorted(seen) == [b"a", b"and", b"few", b"short", b"words"]
+    assert len(first) == 31 and (first == jaccard_join.shingle_hashes(text, seen)).all()
+    assert (first == jaccard_join.shingle_hashes(text, {w: jaccard_join.xxhash.xxh3_64_intdigest(w) for w in text.encode().split()})).all()
