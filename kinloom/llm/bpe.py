@@ -39,7 +39,7 @@ BLOCK = 48
 #: Pieces in one recursive query, and its rows over all steps (a step keeps a row for each token).
 CHUNK, ROWS = 20_000, 4_000_000
 #: Bytes of pieces and runs, with what is known of them, that a worker keeps from slice to slice.
-CACHE_BYTES = 192 << 20
+CACHE_BYTES = 384 << 20
 #: What an entry takes besides its texts.
 ENTRY_BYTES = 160
 
