@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,21 +70,26 @@ def contrastive_batches(positives: DataFrame, batch_size: int, lane: Column | No
     batch begins where a cluster repeats or the batch is full.
 
     The scan is sequential by nature; countries run in parallel, and within one, `lane` (LANES classes
-    of the cluster's hash, if not given) splits the scan, so that no task gets a country whole."""
+    of the cluster's hash, if not given) splits the scan, so that no task gets a country whole. Spark sorts a lane, on disk where need be; the scan holds one Arrow batch and
+    the clusters of one batch."""
     given = positives.withColumn("lane", F.pmod(F.xxhash64("cluster"), F.lit(LANES)).cast("int") if lane is None else lane.cast("int"))
     schema = given.schema.simpleString().removeprefix("struct<").removesuffix(">") + ",batch:int"
 
-    def scan(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["ordinal", "shuffle", "sid", "eid"], kind="stable")
-        numbers, seen, batch = [], set(), 0
-        for cluster in rows["cluster"]:
-            if cluster in seen or len(seen) >= batch_size:
-                batch, seen = batch + 1, set()
-            seen.add(cluster)
-            numbers.append(batch)
-        return rows.assign(batch=pd.Series(numbers, index=rows.index, dtype="int32"))
-
-    return given.groupBy("country", "lane").applyInPandas(scan, schema)
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen, batch = None, set(), 0
+        for some in batches:
+            numbers = []
+            for at in zip(*[some.column(c).to_pylist() for c in ("country", "lane", "cluster")], strict=True):
+                if at[:2] != own:
+                    own, seen, batch = at[:2], set(), 0
+                if at[2] in seen or len(seen) >= batch_size:
+                    batch, seen = batch + 1, set()
+                seen.add(at[2])
+                numbers.append(batch)
+            yield pa.RecordBatch.from_arrays([*some.columns, pa.array(numbers, pa.int32())], names=[*some.schema.names, "batch"])
+
+    order = [F.asc_nulls_last(c) for c in ("ordinal", "shuffle", "sid", "eid")]
+    return given.repartition("country", "lane").sortWithinPartitions("country", "lane", *order).mapInArrow(scan, schema)
 
 
 def lone_batches(batches: DataFrame) -> DataFrame:
