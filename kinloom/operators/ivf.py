@@ -191,8 +191,28 @@ def scan_block(vectors: np.ndarray, lists: list, coarse: list, own: np.ndarray,
             yield i, ids[rows[best]], scores[best]
 
 
-def shortlists(queries: DataFrame, codes: DataFrame, models: DataFrame, bins: DataFrame, config: DenseConfig) -> DataFrame:
-    """(q, r, part): each query's ann_shortlist best codes in its partition."""
+def nearest_in_block(vectors: np.ndarray, lists: list, own: np.ndarray, ids: np.ndarray, held: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row of the query, ids, cosines): of the vectors in its lists, the k nearest, ties by id."""
+    every = np.unique(own)
+    for at in range(0, len(vectors), TABLES):
+        products = vectors[at : at + TABLES] @ held.T
+        for i, row in enumerate(products, at):
+            if not np.isin(every, lists[i]).all():
+                row[~np.isin(own, lists[i])] = -np.inf
+            some = np.flatnonzero(np.isfinite(row))
+            if len(some) > k:
+                some = some[row[some] >= np.partition(row[some], -k)[-k] - 1e-9]
+            cosines = np.einsum("j,ij->i", vectors[i], held[some])
+            best = np.lexsort((ids[some], -cosines))[:k]
+            if len(best):
+                yield i, ids[some[best]], cosines[best]
+
+
+def shortlists(queries: DataFrame, codes: DataFrame, models: DataFrame, bins: DataFrame, config: DenseConfig, vectors_of: DataFrame | None = None) -> DataFrame:
+    """(q, r, part): each query's ann_shortlist best codes in its partition.
+
+    With `vectors_of` (r, embedding) of the references, where no shortlist cuts anything: (q, r, part, cosine) of the ann_top_k
+    nearest of each block; its rows then bring their vectors along, and no pair but these leaves it."""
     probes = staged(probe(queries, models, bins, config), "ivf-probes")
     key = ["part", "bin", "block", "asked"]
     counts = staged(probes.groupBy("part", "bin").agg(_blocks(F.count("*"), ASKED).alias("groups"), F.max("blocks").alias("blocks")), "ivf-bins")
@@ -200,6 +220,8 @@ def shortlists(queries: DataFrame, codes: DataFrame, models: DataFrame, bins: Da
     left = left.select(*key, "q", "lists", "coarse").join(queries.select("part", "q", "embedding"), ["part", "q"])
     met = bins.select("part", "list", "bin").join(counts, ["part", "bin"])
     right = codes.join(met, ["part", "list"]).withColumn("block", F.pmod(F.xxhash64("r"), F.col("blocks")).cast("int")).withColumn("asked", _numbers(F.col("groups")))
+    if vectors_of is not None:
+        return _whole_blocks(left, right.select(*key, "r", "list").join(vectors_of.select("r", F.col("embedding").alias("vector")), "r").select(*key, "r", "list", "vector"), key, config)
     # The codebooks come to each block as one more row, without an id.
     tables = models.select("part", "books").join(counts, "part").withColumn("block", _numbers(F.col("blocks"))).withColumn("asked", _numbers(F.col("groups")))
     right = right.select(*key, "r", "list", "code").unionByName(tables.select(*key, F.lit(None).cast("long").alias("r"), F.lit(None).cast("int").alias("list"), F.col("books").alias("code")))
@@ -226,6 +248,21 @@ def shortlists(queries: DataFrame, codes: DataFrame, models: DataFrame, bins: Da
     return met.withColumn("at", at).where(F.col("at") <= config.ann_shortlist).select("q", "r", "part")
 
 
+def _whole_blocks(left: DataFrame, right: DataFrame, key: list[str], config: DenseConfig) -> DataFrame:
+    kinds = {"q": pa.int64(), "r": pa.int64(), "part": pa.string(), "cosine": pa.float64()}
+
+    def own(asked: pa.Table, held: pa.Table) -> pa.Table:
+        if not len(asked) or not len(held):
+            return pa.table({c: pa.array([], kind) for c, kind in kinds.items()})
+        vectors, q, part = matrix(asked["embedding"], np.float64), asked["q"].to_numpy(), asked["part"][0].as_py()
+        found = list(nearest_in_block(vectors, asked["lists"].to_pylist(), held["list"].to_numpy(), held["r"].to_numpy(), matrix(held["vector"], np.float64), config.ann_top_k))
+        values = {"q": [x for i, ids, _ in found for x in [q[i]] * len(ids)], "r": [x for _, ids, _ in found for x in ids], "cosine": [x for _, _, c in found for x in c]}
+        values["part"] = [part] * len(values["q"])
+        return pa.table({c: pa.array(values[c], kind) for c, kind in kinds.items()})
+
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(own, "q long, r long, part string, cosine double")
+
+
 def cosines(pairs: DataFrame, queries: DataFrame, references: DataFrame) -> DataFrame:
     """(q, r, part, cosine) of pairs of unit vectors, by Arrow batches."""
     left = queries.select("q", "part", F.col("embedding").alias("a"))
@@ -278,10 +315,13 @@ def search(index: Index, queries: DataFrame, references: DataFrame, config: Dens
 
     Where a query's partition has k references, it gets k."""
     q, r = _own(queries, "q", on), _own(references, "r", on)
-    met = staged(shortlists(q, index.codes, index.models, index.bins, config), "ivf-shortlists")
+    largest = index.bins.groupBy("part").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] or 0
+    whole = largest <= config.ann_shortlist  # no shortlist cuts anything
+    met = staged(shortlists(q, index.codes, index.models, index.bins, config, r if whole else None), "ivf-shortlists")
     at = F.row_number().over(Window.partitionBy("q", "part").orderBy(F.desc("cosine"), "r"))
     kind = dict(references.dtypes)[on]
-    return cosines(met, q, r).withColumn("rank", at).where(F.col("rank") <= config.ann_top_k).select("q", "r", "cosine", "rank", F.col("part").cast(kind).alias(on))
+    scored = met if whole else cosines(met, q, r)
+    return scored.withColumn("rank", at).where(F.col("rank") <= config.ann_top_k).select("q", "r", "cosine", "rank", F.col("part").cast(kind).alias(on))
 
 
 def top_k(queries: DataFrame, references: DataFrame, config: DenseConfig, on: str = "part") -> DataFrame:
