@@ -240,3 +240,47 @@ def test_a_hot_word_is_split_and_scores_stay(documents):
     for i, text in rows:
         assert got[i]["base_score"] == pytest.approx(sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in tokens(text)), rel=1e-9)
         assert got[i]["score"] > got[i]["base_score"]
+
+
+def test_a_sweep_moves_every_customer():
+    counts = np.array([1, 2, 31, 32, 33, 1000, 11_830])
+    moves = np.array([hpylm.dealt(counts, turn, 32) for turn in range(32)])
+    assert (moves.sum(axis=0) == counts).all() and (np.diff(moves, axis=0) <= 0).all() and (moves.max(axis=0) - moves.min(axis=0) <= 1).all()
+
+
+def test_moves_until_a_change_have_the_law_of_single_moves():
+    """Parent tables of 300 customers after whole sweeps: the mean under S(c, t) w^t."""
+    c, d, w, n = 300, 0.4, 2.5, 4000
+    logs = np.array([-np.inf, 0.0])  # of S(1, t)
+    for k in range(1, c):
+        joined = np.log(np.maximum(k - d * np.arange(k + 1), 1e-300)) + logs
+        logs = np.logaddexp(np.append(-np.inf, logs), np.append(joined, -np.inf))
+    weights = logs + np.arange(c + 1) * math.log(w)
+    law = np.exp(weights - weights.max())
+    mean = (np.arange(c + 1) * law).sum() / law.sum()
+    rng, tables = np.random.default_rng(3), np.full(n, 1)
+    for _ in range(12):
+        tables = hpylm.reseat(np.full(n, c), tables, d, w, np.full(n, c), rng)
+    assert tables.mean() == pytest.approx(mean, rel=0.02)
+
+
+def test_frequent_pairs_leave_their_first_seats():
+    """40 pairs of 2,000 customers, begun with 200 tables each: whole sweeps beside moves made one by one."""
+    n, c, t = 40, 2000, 200
+
+    def begun():
+        none = np.zeros(0, np.int64)
+        totals = hpylm.Totals(n * c, n, float(n * t), float(n), 0.7, 0.5, hpylm.HotWords(none.astype(np.uint64), none), none, none, none)
+        one = np.ones(n, np.int64)
+        return hpylm.Seating(np.arange(n), np.arange(n), c * one, t * one, one, t * one, np.arange(n, dtype=np.uint64), totals)
+
+    whole, single = begun(), begun()
+    for turn in range(2):
+        whole.sweep(np.random.default_rng([1, turn]))
+        rng = np.random.default_rng([2, turn])
+        for _ in range(c):
+            single._move(np.arange(n), np.ones(n, np.int64), rng)
+        single.sweep_parent(rng)
+        for own in (whole, single):
+            assert (own.tables == own.opened).all() and (own.served == own.opened).all() and own.all_customers == own.opened.sum() and own.all_tables == own.seated.sum()
+    assert whole.opened.mean() < 100 and whole.opened.mean() == pytest.approx(single.opened.mean(), rel=0.15)
